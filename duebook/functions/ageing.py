@@ -58,6 +58,8 @@ def period_ageing_dates(periods: DataFrame, p: ReportParams) -> AgeingDates:
         rows = rows.filter((F.col("current_start") <= moment(p.today)) & (F.col("current_end") >= moment(p.today)))
     row = rows.drop("AM_GC_COMPANY", "AM_PERIOD").first()
     if row is None:
+        if p.all_transactions:
+            return AgeingDates(p.today)
         raise ValueError("no accounting period found for the ageing dates")
     return AgeingDates(**row.asDict())
 

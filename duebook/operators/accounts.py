@@ -158,10 +158,9 @@ def account_profile(
 ) -> DataFrame:
     """Accounts with the attributes a report shows, and no others.
 
-    A blank settlement group is filled from the account itself, code and name.
+    A blank settlement group is filled from the account itself, code and name. Accounts
+    within their limit are left out, where only the others are wanted, if credit is shown.
     """
-    if p.over_limit_only:
-        parts = parts | {CREDIT}
     unsettled = F.coalesce(F.col("PartyCode"), F.lit("")) == ""
     term = (
         credit_term(F.col("OB_ARCreditApproved"), F.col("OB_AROnCreditHold"))

@@ -46,21 +46,15 @@ def assigned_staff(tables: Tables, p: ReportParams) -> DataFrame:
         .groupBy("O8_OH")
         .agg(
             *[
-                first_row([code], [code.alias("code")], F.col("O8_Role") == role)["row"]["code"].alias(name)
+                first_row([code], [code.alias("code")], F.col("O8_Role") == role)["row"]["code"].alias(f"first_{name}")
                 for role, name in STAFF_ROLES.items()
             ]
         )
     )
     for name in STAFF_ROLES.values():
-        known = tables["GlbStaff"].select(
-            F.col("GS_Code").alias("known_code"), F.col("GS_FullName").alias(f"{name}Name")
-        )
-        firsts = (
-            firsts.join(known, F.col(name) == F.col("known_code"), "left")
-            .withColumn(name, F.col("known_code"))
-            .drop("known_code")
-        )
-    return firsts
+        known = tables["GlbStaff"].select(F.col("GS_Code").alias(name), F.col("GS_FullName").alias(f"{name}Name"))
+        firsts = firsts.join(known, F.col(f"first_{name}") == F.col(name), "left")
+    return firsts.select("O8_OH", *[c for name in STAFF_ROLES.values() for c in (name, f"{name}Name")])
 
 
 def contact_names(tables: Tables, p: ReportParams) -> DataFrame:
@@ -124,31 +118,27 @@ def main_offices(tables: Tables) -> DataFrame:
     return tables["OrgAddress"].join(capability.select("PZ_OA"), F.col("OA_PK") == F.col("PZ_OA"))
 
 
-def single_office_phones(tables: Tables) -> DataFrame:
-    """Phone of accounts with exactly one main office."""
-    return (
-        main_offices(tables)
-        .groupBy("OA_OH")
-        .agg(F.max("OA_Phone").alias("office_phone"), F.count(F.lit(1)).alias("offices"))
-        .filter(F.col("offices") == 1)
-        .select("OA_OH", "office_phone")
-    )
+def office_phones(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
+    """Per account with a main office: the phone of a sole one, and that of one in the company's country.
 
-
-def country_office_phones(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
-    """A main office in the company's country: the first of all, or the first of each account."""
-    offices = main_offices(tables).filter(F.substring("OA_RL_NKRelatedPortCode", 1, 2) == F.lit(ctx.country_code))
-    row = first_row([F.col("OA_PK")], [F.col("OA_OH"), F.col("OA_Phone")])["row"].alias("first")
-    firsts = (offices.groupBy("OA_OH") if p.country_office_scope == "per_org" else offices.groupBy()).agg(row)
-    return firsts.select(F.col("first.OA_OH").alias("OA_OH"), F.col("first.OA_Phone").alias("country_phone")).filter(
-        F.col("OA_OH").isNotNull()
+    A country office counts if it is the account's first, or if it is the first of all
+    accounts, depending on the scope.
+    """
+    offices = main_offices(tables)
+    at_home = F.substring("OA_RL_NKRelatedPortCode", 1, 2) == F.lit(ctx.country_code)
+    first = first_row([F.col("OA_PK")], [F.col("OA_PK"), F.col("OA_Phone")], at_home)["row"]
+    per_org = offices.groupBy("OA_OH").agg(
+        F.max("OA_Phone").alias("phone"), F.count(F.lit(1)).alias("offices"), first.alias("home")
     )
-
-
-def _marked(df: DataFrame, key: str, phone: str, prefix: str) -> DataFrame:
-    """A phone lookup whose presence can be told from a missing phone."""
-    return df.select(
-        F.col(key).alias(f"{prefix}_org"), F.col(phone).alias(f"{prefix}_phone"), F.lit(True).alias(f"{prefix}_found")
+    home = F.col("home").isNotNull()
+    if p.country_office_scope == "global":
+        home = home & (F.col("home.OA_PK") == offices.filter(at_home).agg(F.min("OA_PK")).scalar())
+    return per_org.select(
+        F.col("OA_OH").alias("office_org"),
+        (F.col("offices") == 1).alias("sole"),
+        "phone",
+        F.coalesce(home, F.lit(False)).alias("at_home"),
+        F.col("home.OA_Phone").alias("home_phone"),
     )
 
 
@@ -159,38 +149,31 @@ def with_contacts(accounts: DataFrame, tables: Tables, p: ReportParams, ctx: Run
     better through its office in the company's country. If that leaves no number, the
     account's own offices are tried in the same way, first come first served.
     """
-    single = single_office_phones(tables)
-    country = country_office_phones(tables, p, ctx)
-    df = accounts.join(primary_contacts(tables, p), F.col("AccountPK") == F.col("OC_OH"), "left").drop("OC_OH")
-    for key, lookup, phone, prefix in (
-        ("OC_OH_AddressOverride", single, "office_phone", "over_single"),
-        ("OC_OH_AddressOverride", country, "country_phone", "over_country"),
-        ("AccountPK", single, "office_phone", "own_single"),
-        ("AccountPK", country, "country_phone", "own_country"),
-    ):
-        df = df.join(_marked(lookup, "OA_OH", phone, prefix), F.col(key) == F.col(f"{prefix}_org"), "left")
-
-    def taken(prefix: str, otherwise: Column) -> Column:
-        return F.when(F.col(f"{prefix}_found"), F.col(f"{prefix}_phone")).otherwise(otherwise)
-
-    def if_blank(phone: Column, prefix: str) -> Column:
-        return F.when(phone.isNull() | (phone == ""), taken(prefix, phone)).otherwise(phone)
-
-    by_contact = F.when(F.col("OC_OH_AddressOverride").isNull(), F.col("own_phone")).otherwise(
-        taken("over_country", taken("over_single", F.lit(None).cast("string")))
+    offices = office_phones(tables, p, ctx)
+    of_override = offices.select(*[F.col(c).alias(f"over_{c}") for c in offices.columns])
+    df = (
+        accounts.join(primary_contacts(tables, p), F.col("AccountPK") == F.col("OC_OH"), "left")
+        .join(of_override, F.col("OC_OH_AddressOverride") == F.col("over_office_org"), "left")
+        .join(offices, F.col("AccountPK") == F.col("office_org"), "left")
+    )
+
+    def if_blank(phone: Column, found: str, other: str) -> Column:
+        blank = phone.isNull() | (phone == "")
+        return F.when(blank & F.col(found), F.col(other)).otherwise(phone)
+
+    by_contact = (
+        F.when(F.col("OC_OH_AddressOverride").isNull(), F.col("own_phone"))
+        .when(F.col("over_at_home"), F.col("over_home_phone"))
+        .when(F.col("over_sole"), F.col("over_phone"))
     )
     df = df.withColumn("ContactPhoneNo", by_contact)
-    df = df.withColumn("ContactPhoneNo", if_blank(F.col("ContactPhoneNo"), "own_single"))
-    df = df.withColumn("ContactPhoneNo", if_blank(F.col("ContactPhoneNo"), "own_country"))
-    helpers = [
-        f"{prefix}_{part}"
-        for prefix in ("over_single", "over_country", "own_single", "own_country")
-        for part in ("org", "phone", "found")
-    ]
-    text = F.concat(
-        F.coalesce(F.col("ContactName"), F.lit(NO_CONTACT)), F.lit(" (Ph:"), F.col("ContactPhoneNo"), F.lit(")")
+    df = df.withColumn("ContactPhoneNo", if_blank(F.col("ContactPhoneNo"), "sole", "phone"))
+    df = df.withColumn("ContactPhoneNo", if_blank(F.col("ContactPhoneNo"), "at_home", "home_phone"))
+    name = F.coalesce(F.col("ContactName"), F.lit(NO_CONTACT))
+    text = F.concat(name, F.lit(" (Ph:"), F.col("ContactPhoneNo"), F.lit(")"))
+    return df.select(
+        *accounts.columns, "ContactName", "ContactPhoneNo", "OC_OH_AddressOverride", text.alias("ContactInfo")
     )
-    return df.withColumn("ContactInfo", text).drop("own_phone", *helpers)
 
 
 def additional_company_names(tables: Tables, p: ReportParams) -> DataFrame:

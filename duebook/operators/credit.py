@@ -62,7 +62,7 @@ def outstanding_by_account(tables: Tables, p: ReportParams) -> DataFrame:
 
 def group_sets(members: DataFrame) -> DataFrame:
     """Distinct members of each group, its head among them."""
-    return members.unionByName(members.select("head", F.col("head").alias("member"))).distinct()
+    return members.select("head", F.explode(F.array("member", "head")).alias("member")).distinct()
 
 
 def group_totals(sets: DataFrame, owed: DataFrame) -> DataFrame:

@@ -9,41 +9,41 @@ from duebook.functions.columns import first_row
 from duebook.params import ReportParams
 from duebook.sources.tables import Tables, of_company
 
-# A record without department or branch holds for all of them. Closest fit first.
-_FITS = (("PY_GE", "PY_GB"), ("PY_GE",), ("PY_GB",), ())
-
-
-def _records(tables: Tables, p: ReportParams, fit: tuple[str, ...], tag: str) -> DataFrame:
-    """Term records of one closeness, at most one per key."""
-    terms = of_company(tables["ArTerms"], "PY_GC", p.company)
-    for column in ("PY_GE", "PY_GB"):
-        terms = terms.filter(F.col(column).isNotNull() if column in fit else F.col(column).isNull())
-    chosen = first_row(
-        [F.col("PY_InvoiceTerm"), F.col("PY_InvoiceDays")], [F.col("PY_InvoiceTerm"), F.col("PY_InvoiceDays")]
-    )
-    keys = ("PY_OH", *fit)
-    return terms.groupBy(*keys).agg(chosen["row"].alias(tag)).select(
-        *[F.col(k).alias(f"{tag}_{k}") for k in keys], tag
+def term_records(tables: Tables, p: ReportParams) -> DataFrame:
+    """Term records, at most one per account, department and branch; null stands for all of them."""
+    values = [F.col("PY_InvoiceTerm"), F.col("PY_InvoiceDays")]
+    return (
+        of_company(tables["ArTerms"], "PY_GC", p.company)
+        .groupBy("PY_OH", "PY_GE", "PY_GB")
+        .agg(first_row(values, values)["row"].alias("record"))
     )
 
 
-def with_best_terms(df: DataFrame, tables: Tables, p: ReportParams, org: str, out: str) -> DataFrame:
-    """Add, as a struct, the best fitting term record of an org column and the row's AH_GE and AH_GB.
+def best_terms(keys: DataFrame, tables: Tables, p: ReportParams) -> DataFrame:
+    """The closest fitting record for each (org, AH_GE, AH_GB).
 
-    Each closeness is one keyed join, so an org with many records is never paired with
-    all its rows.
+    A key fits records of its department and branch, of its department, of its branch
+    and of neither, closest first. Each key is spelled out in these four ways and joined
+    by equality, so an org with many records is never paired with all its keys.
     """
-    found = []
-    for n, fit in enumerate(_FITS):
-        tag = f"{out}{n}"
-        records = _records(tables, p, fit, tag)
-        on = F.col(org) == F.col(f"{tag}_PY_OH")
-        for column in fit:
-            on = on & (F.col(column.replace("PY_", "AH_")) == F.col(f"{tag}_{column}"))
-        df = df.join(records, on, "left").drop(*[f"{tag}_{k}" for k in ("PY_OH", *fit)])
-        found.append(F.col(tag))
-    best = df.withColumn(out, F.coalesce(*found))
-    return best.drop(*[f"{out}{n}" for n in range(len(_FITS))])
+    department, branch, every = F.col("AH_GE"), F.col("AH_GB"), F.lit(None)
+    ways = F.array(
+        *[
+            F.struct(F.lit(n).alias("fit"), ge.cast("string").alias("fit_ge"), gb.cast("string").alias("fit_gb"))
+            for n, (ge, gb) in enumerate([(department, branch), (department, every), (every, branch), (every, every)])
+        ]
+    )
+    spelled = keys.select("org", "AH_GE", "AH_GB", F.inline(ways)).filter(
+        # A key without department or branch fits only the records for all of them.
+        ~(F.col("fit").isin(0, 1) & department.isNull()) & ~(F.col("fit").isin(0, 2) & branch.isNull())
+    )
+    found = spelled.join(
+        term_records(tables, p),
+        (F.col("org") == F.col("PY_OH"))
+        & F.col("fit_ge").eqNullSafe(F.col("PY_GE").cast("string"))
+        & F.col("fit_gb").eqNullSafe(F.col("PY_GB").cast("string")),
+    )
+    return found.groupBy("org", "AH_GE", "AH_GB").agg(F.min(F.struct("fit", "record"))["record"].alias("record"))
 
 
 def worded_term(record: Column) -> Column:
@@ -62,20 +62,32 @@ def credit_term(approved: Column, on_hold: Column) -> Column:
     return F.when((approved == 0) | (on_hold == 1), "COD").otherwise("")
 
 
-def resolve_terms(df: DataFrame, tables: Tables, p: ReportParams) -> DataFrame:
-    """Fill the open InvoiceTerm of rows with AccountPK, SettlementPK, AH_GE and AH_GB.
+def resolve_terms(keys: DataFrame, tables: Tables, p: ReportParams) -> DataFrame:
+    """The term of each (AccountPK, SettlementPK, AH_GE, AH_GB) whose account has credit.
 
     The account's own record counts first. When that says to take the default, the
     record of the settlement group's account does.
     """
-    df = with_best_terms(df, tables, p, "AccountPK", "own_terms")
-    df = with_best_terms(df, tables, p, "SettlementPK", "group_terms")
-    own, group = F.col("own_terms"), F.col("group_terms")
-    defers = F.coalesce(own["PY_InvoiceTerm"], F.lit("")) == "DEF"
-    term = (
-        F.when(F.col("InvoiceTerm") != "", F.col("InvoiceTerm"))
-        .when(defers, worded_term(group))
-        .otherwise(worded_term(own))
-    )
-    return df.withColumn("InvoiceTerm", term).drop("own_terms", "group_terms")
-
+    orgs = keys.select(F.explode(F.array("AccountPK", "SettlementPK")).alias("org"), "AH_GE", "AH_GB").distinct()
+    best = best_terms(orgs, tables, p)
+
+    def record_of(name: str) -> DataFrame:
+        return best.select(
+            F.col("org").alias(f"{name}_org"),
+            F.col("AH_GE").alias(f"{name}_ge"),
+            F.col("AH_GB").alias(f"{name}_gb"),
+            F.col("record").alias(name),
+        )
+
+    def same(name: str, org: str) -> Column:
+        return (
+            (F.col(org) == F.col(f"{name}_org"))
+            & F.col("AH_GE").eqNullSafe(F.col(f"{name}_ge"))
+            & F.col("AH_GB").eqNullSafe(F.col(f"{name}_gb"))
+        )
+
+    df = keys.join(record_of("own"), same("own", "AccountPK"), "left")
+    df = df.join(record_of("group"), same("group", "SettlementPK"), "left")
+    defers = F.coalesce(F.col("own")["PY_InvoiceTerm"], F.lit("")) == "DEF"
+    term = F.when(defers, worded_term(F.col("group"))).otherwise(worded_term(F.col("own")))
+    return df.select(*keys.columns, term.alias("InvoiceTerm"))

@@ -63,7 +63,7 @@ def build_context(tables: Tables, p: ReportParams) -> RunContext:
         if p.ageing_option == "PER":
             dates = period_ageing_dates(tables["AccPeriodManagement"], p)
         else:
-            dates = day_ageing_dates(p)
+            dates = day_ageing_dates(p, period_dates(tables, p).end if p.period else None)
     ctx = RunContext(country, reciprocal, dates, use_outstanding=dates.report_date >= p.today)
     return _listing_context(tables, p, ctx) if p.all_transactions else ctx
 

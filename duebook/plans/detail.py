@@ -73,10 +73,10 @@ def detail_columns(df: DataFrame) -> list[Column]:
     return columns
 
 
-def marked_over_limit(profile: DataFrame, transactions: DataFrame) -> DataFrame:
+def marked_over_limit(profile: DataFrame, slim: DataFrame, transactions: DataFrame) -> DataFrame:
     """Mark accounts over their limit. Transactions are summed per account before they meet the profile."""
     owed = transactions.groupBy(F.col("AccountPK").alias("owing")).agg(F.sum("Balance").alias("Balance"))
-    balances = profile.select("AccountPK", "AccountCode", "CreditLimit").join(owed, F.col("AccountPK") == F.col("owing"))
+    balances = slim.select("AccountPK", "AccountCode", "CreditLimit").join(owed, F.col("AccountPK") == F.col("owing"))
     codes = over_limit_codes(balances)
     marked = profile.join(codes, F.col("AccountCode") == F.col("over_code"), "left")
     return marked.withColumn("IsOverLimit", F.when(F.col("over_code").isNotNull(), "*")).drop("over_code")
@@ -111,25 +111,24 @@ def fan_out_lines(df: DataFrame, profile: DataFrame, p: ReportParams) -> DataFra
     return joined.withColumns({c: (F.col(c) * factor).cast(MONEY) for c in sums}).drop("repeated", "times")
 
 
-def with_account_terms(
-    df: DataFrame, profile: DataFrame, tables: Tables, p: ReportParams, ctx: RunContext
-) -> DataFrame:
-    """Invoice terms of open receivables.
+def with_account_terms(df: DataFrame, tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
+    """Invoice terms of open receivables, for rows with account, department and branch.
 
     They are looked up once per account, settlement account, department and branch. The
     combinations come from the headers alone, so that finding them needs no match links.
     """
     keys = ["AccountPK", "SettlementPK", "AH_GE", "AH_GB"]
     found = reported_headers(tables, p, ctx).select(F.col("AH_OH").alias("AccountPK"), "AH_GE", "AH_GB").distinct()
-    slim = profile.select("AccountPK", "SettlementPK", "AccountTerm")
-    open_terms = join_profile(found, slim, p).filter(F.col("AccountTerm") == "").distinct()
-    resolved = resolve_terms(open_terms.withColumn("InvoiceTerm", F.col("AccountTerm")), tables, p)
+    slim = account_profile(tables, p, ctx, frozenset()).select("AccountPK", "SettlementPK", "AccountTerm")
+    open_keys = join_profile(found, slim, p).filter(F.col("AccountTerm") == "").select(*keys)
+    resolved = resolve_terms(open_keys.distinct(), tables, p)
     terms = resolved.select(*[F.col(c).alias(f"term_{c}") for c in keys], "InvoiceTerm")
     on = F.col("AccountTerm") == ""
     for c in keys:
         on = on & F.col(c).eqNullSafe(F.col(f"term_{c}"))
-    joined = df.join(terms, on, "left").drop(*[f"term_{c}" for c in keys])
-    return joined.withColumn("InvoiceTerm", F.coalesce("InvoiceTerm", "AccountTerm"))
+    joined = df.join(terms, on, "left")
+    kept = [c for c in df.columns if c != "InvoiceTerm"]
+    return joined.select(*kept, F.coalesce("InvoiceTerm", "AccountTerm").alias("InvoiceTerm"))
 
 
 def working_set(
@@ -138,11 +137,12 @@ def working_set(
     """All reported transactions with all their columns, not yet ordered."""
     profile = account_profile(tables, p, ctx, parts)
     if not p.over_limit_only:
-        profile = marked_over_limit(profile, ledger_amounts(tables, p, ctx, jobs=False))
+        slim = account_profile(tables, p, ctx, frozenset())
+        profile = marked_over_limit(profile, slim, ledger_amounts(tables, p, ctx, jobs=False))
     df = ledger_transactions(tables, p, ctx).filter(disbursement_kept(p))
     df = join_profile(fan_out_lines(df, profile, p), profile, p)
     if p.is_ar and not p.all_transactions:
-        df = with_account_terms(df, profile, tables, p, ctx)
+        df = with_account_terms(df, tables, p, ctx)
     df = with_match_status_text(df, tables, p)
     df = with_operator_initials(df, p)
     df = df.withColumns({"AccountCode2": F.col("AccountCode"), "CurrencyCode2": F.col("CurrencyCode")})

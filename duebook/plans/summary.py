@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 
 from duebook.functions.ageing import BUCKETS, LOCAL_SUFFIX
 from duebook.functions.columns import divide_money
-from duebook.operators.accounts import ALL_PARTS, STAFF, account_profile
+from duebook.operators.accounts import ALL_PARTS, CREDIT, STAFF, account_profile
 from duebook.operators.currency import with_period_end_rate, with_revaluation
 from duebook.operators.headers import is_overdue, overdue
-from duebook.operators.terms import resolve_terms
 from duebook.operators.transactions import disbursement_kept, ledger_transactions
 from duebook.params import BRANCH_SUMMARY_LABELS, ReportParams
 from duebook.plans.context import RunContext
-from duebook.plans.detail import fan_out_lines, join_profile
+from duebook.plans.detail import fan_out_lines, join_profile, with_account_terms
 from duebook.sources.tables import Tables
 
 # Summary labels, the columns each groups by beside type and currency, and the account parts needed.
@@ -81,7 +80,8 @@ def listing_summary(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFra
     if p.group_by not in LISTING_SUMMARIES:
         raise ValueError(f"unknown summary {p.group_by!r}")
     extra, parts = LISTING_SUMMARIES[p.group_by]
-    profile = account_profile(tables, p, ctx, frozenset(parts))
+    parts = frozenset(parts) | ({CREDIT} if p.over_limit_only else frozenset())
+    profile = account_profile(tables, p, ctx, parts)
     rows = ledger_transactions(tables, p, ctx, detail=False).filter(disbursement_kept(p))
     rows = fan_out_lines(overdue(rows, p), profile, p)
 
@@ -161,7 +161,7 @@ def ageing_summary(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFram
     df = join_profile(per_account, account_profile(tables, p, ctx, ALL_PARTS), p)
     df = marked_rows(df, p).filter("shown")
     if p.is_ar:
-        df = resolve_terms(df.withColumn("InvoiceTerm", F.col("AccountTerm")), tables, p)
+        df = with_account_terms(df, tables, p, ctx)
     else:
         df = df.withColumn("InvoiceTerm", F.lit(""))
     group = [*AGEING_KEYS, *branch_keys, *currency_keys, "PeriodEndRate"]
