@@ -31,7 +31,8 @@ def differences(spark, folder: str, key: str) -> tuple[str, int]:
     a, b = normal(ours, df.columns), normal(theirs, names)
     if a == b:
         return "", len(ours)
-    only_a, only_b = [r for r in a if r not in set(b)][:2], [r for r in b if r not in set(a)][:2]
+    in_a, in_b = set(a), set(b)
+    only_a, only_b = [r for r in a if r not in in_b][:2], [r for r in b if r not in in_a][:2]
     return f"rows {len(a)} and {len(b)}\n  ours  {only_a}\n  SQL   {only_b}\n  names {sorted(names, key=str.lower)}", len(ours)
 
 

@@ -233,7 +233,7 @@ def _filters() -> None:
     add_rows("date_range_filter", dates, listing(**ranges))
     add_rows("balance_use_outstanding", LIST_BASIC, listing(post_date_to=BLANK_DATE))
     add_rows("list_param_filter", BASIC, params(accounts="C00000001, C00000005,C00000010,,C00000099"))
-    add_rows("ledger_company_filter", BASIC, params("AP"))
+    add_rows("ledger_company_filter", BASIC, params("AP"), rows(BASIC, ledger_amounts))
     add_rows("transaction_type_filter", LIST_BASIC, listing(transaction_types=["CRD", "ADJ"]))
     add_rows(
         "multi_list_filter",

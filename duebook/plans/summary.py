@@ -173,7 +173,8 @@ def ageing_summary(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFram
         {
             **{c: F.lit(None).cast("string") for c in sorted(absent)},
             "AverageExchangeRate": average_rate(ctx),
-            "GainLossOnRevaluation": F.col("RevaluedLocalEquivalent") - F.col("BalanceInLocal"),
+            # Of a narrower sum, so that the difference keeps the decimals of the revaluation.
+            "GainLossOnRevaluation": F.col("RevaluedLocalEquivalent") - F.col("BalanceInLocal").cast("decimal(28,4)"),
         }
     )
     return df.select(*ageing_summary_columns()).orderBy(*ageing_summary_order(p))
