@@ -14,7 +14,7 @@ from checks.oracle import JUNE, KINDS, select_ageing_summary, select_listing_sum
 from duebook import BLANK_DATE, ReportParams, run_report
 from duebook.functions.ageing import BUCKETS, LOCAL_SUFFIX, period_boundaries
 from duebook.operators import contacts, credit, matching
-from duebook.operators.accounts import CREDIT, account_base, account_profile
+from duebook.operators.accounts import BASE_PARTS, CREDIT, account_base, account_profile
 from duebook.operators.contacts import NO_CONTACT
 from duebook.operators.currency import with_period_end_rate, with_revaluation
 from duebook.operators.headers import of_ledger
@@ -87,7 +87,7 @@ def scenario(build: Build, p: ReportParams, reciprocal: bool = False, digits: di
     return run
 
 
-def rows(columns: str, stage=base_transactions, parts: frozenset[str] = frozenset()) -> Build:
+def rows(columns: str, stage=base_transactions, parts: frozenset[str] = BASE_PARTS) -> Build:
     """Transactions up to a stage, joined to account attributes."""
 
     def build(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
@@ -103,14 +103,14 @@ def rows(columns: str, stage=base_transactions, parts: frozenset[str] = frozense
 
 def terms(columns: str) -> Build:
     def build(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
-        profile = account_profile(tables, p, ctx, frozenset())
+        profile = account_profile(tables, p, ctx, BASE_PARTS)
         df = join_profile(base_transactions(tables, p, ctx, jobs=False), profile, p)
         return with_account_terms(df, tables, p, ctx).select(*columns.split())
 
     return build
 
 
-def complete(columns: str, parts: frozenset[str] = frozenset()) -> Build:
+def complete(columns: str, parts: frozenset[str] = BASE_PARTS) -> Build:
     """The detail report's rows; parts not asked for are left null and not selected."""
 
     def build(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
@@ -373,7 +373,7 @@ def _accounts() -> None:
     add(
         "account_company_data",
         scenario(
-            lambda t, p, c: account_profile(t, p, c, frozenset()).select(
+            lambda t, p, c: account_profile(t, p, c, BASE_PARTS).select(
                 F.col("AccountPK").alias("org"), "CreditLimit", "OrgBranchCode", "OrgBranchName", "AccountGroup", "ARCategory",
                 "ConsolidationCategory",
             ),

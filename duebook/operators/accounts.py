@@ -13,29 +13,27 @@ from duebook.params import ReportParams
 from duebook.plans.context import RunContext
 from duebook.sources.tables import Tables
 
-# Parts of the profile a report can ask for.
+# Parts of the profile a report can ask for; each costs the joins it needs.
+COUNTRY, COMPANY, SETTLEMENT = "country", "company", "settlement"
 STAFF, COMPANY_NAME, CONTACT, CREDIT = "staff", "company_name", "contact", "credit"
-ALL_PARTS = frozenset((STAFF, COMPANY_NAME, CONTACT, CREDIT))
+BASE_PARTS = frozenset((COUNTRY, COMPANY, SETTLEMENT))
+ALL_PARTS = BASE_PARTS | {STAFF, COMPANY_NAME, CONTACT, CREDIT}
 
-# Report columns each part brings.
-BASE_COLUMNS = (
+# Report columns every profile has, and those each part brings.
+PROFILE_COLUMNS = (
     "AccountPK",
     "SettlementPK",
     "AccountCode",
     "AccountName",
-    "CountryCode",
-    "CountryName",
     "CreditLimit",
-    "AccountGroup",
-    "OrgBranchCode",
-    "OrgBranchName",
     "ARCategory",
     "ConsolidationCategory",
-    "SettlementCode",
-    "SettlementName",
     "AccountTerm",
 )
 PART_COLUMNS = {
+    COUNTRY: ("CountryCode", "CountryName"),
+    COMPANY: ("OrgBranchCode", "OrgBranchName", "AccountGroup"),
+    SETTLEMENT: ("SettlementCode", "SettlementName"),
     STAFF: (
         "SalesRep",
         "SalesRepName",
@@ -68,40 +66,40 @@ def with_country(orgs: DataFrame, tables: Tables) -> DataFrame:
 
 
 def with_company_data(orgs: DataFrame, tables: Tables, p: ReportParams) -> DataFrame:
-    """Company data of each org, its controlling branch and its debtor or creditor group."""
+    """The company's data of each org."""
     data = company_data(tables, p).withColumn("has_company_data", F.lit(True))
+    return orgs.join(data, F.col("OH_PK") == F.col("OB_OH"), "left")
+
+
+def with_branch_and_group(orgs: DataFrame, tables: Tables, p: ReportParams) -> DataFrame:
+    """Controlling branch of each org, and its debtor or creditor group."""
     branches = tables["GlbBranch"].select(
         F.col("GB_PK").alias("org_branch"),
         F.col("GB_Code").alias("OrgBranchCode"),
         F.col("GB_BranchName").alias("OrgBranchName"),
     )
-    if p.is_ar:
-        groups, key, code = tables["OrgDebtorGroup"], "OJ_PK", "OJ_Code"
-        group = "OB_OJ_ARDebtorGroup"
-    else:
-        groups, key, code = tables["OrgCreditorGroup"], "OG_PK", "OG_Code"
-        group = "OB_OG_APCreditorGroup"
-    return (
-        orgs.join(data, F.col("OH_PK") == F.col("OB_OH"), "left")
-        .join(branches, F.col("OB_GB_ControllingBranch") == F.col("org_branch"), "left")
-        .join(groups, F.col(group) == F.col(key), "left")
-        .withColumnRenamed(code, "AccountGroup")
-        .drop("org_branch", key)
+    table, key, code, group = (
+        ("OrgDebtorGroup", "OJ_PK", "OJ_Code", "OB_OJ_ARDebtorGroup")
+        if p.is_ar
+        else ("OrgCreditorGroup", "OG_PK", "OG_Code", "OB_OG_APCreditorGroup")
+    )
+    groups = tables[table].select(F.col(key).alias("org_group"), F.col(code).alias("AccountGroup"))
+    return orgs.join(branches, F.col("OB_GB_ControllingBranch") == F.col("org_branch"), "left").join(
+        groups, F.col(group) == F.col("org_group"), "left"
     )
 
 
 def with_settlement_party(orgs: DataFrame, tables: Tables, p: ReportParams) -> DataFrame:
     """The account that settles for each org. Several of them repeat the org."""
+    parties = settlement_parties(tables, p).withColumnRenamed("PR_OH_RelatedParty", "SettlementPK")
+    return orgs.join(parties, F.col("OH_PK") == F.col("PR_OH_Parent"), "left").drop("PR_OH_Parent")
+
+
+def with_party_name(orgs: DataFrame, tables: Tables) -> DataFrame:
     settling = tables["OrgHeader"].select(
-        F.col("OH_PK").alias("SettlementPK"),
-        F.col("OH_Code").alias("PartyCode"),
-        F.col("OH_FullName").alias("PartyName"),
-    )
-    return (
-        orgs.join(settlement_parties(tables, p), F.col("OH_PK") == F.col("PR_OH_Parent"), "left")
-        .join(settling, F.col("PR_OH_RelatedParty") == F.col("SettlementPK"), "left")
-        .drop("PR_OH_Parent", "PR_OH_RelatedParty")
+        F.col("OH_PK").alias("party"), F.col("OH_Code").alias("PartyCode"), F.col("OH_FullName").alias("PartyName")
     )
+    return orgs.join(settling, F.col("SettlementPK") == F.col("party"), "left")
 
 
 def has_account_filter(p: ReportParams) -> bool:
@@ -146,11 +144,18 @@ def filter_accounts(df: DataFrame, tables: Tables, p: ReportParams) -> DataFrame
     return df
 
 
-def account_base(tables: Tables, p: ReportParams) -> DataFrame:
-    """Filtered accounts with country, company data and settlement party, one row per party."""
-    df = with_country(tables["OrgHeader"], tables)
-    df = with_company_data(df, tables, p)
-    return filter_accounts(with_settlement_party(df, tables, p), tables, p)
+def account_base(
+    tables: Tables, p: ReportParams, parts: frozenset[str] = BASE_PARTS
+) -> DataFrame:
+    """Filtered accounts, one row per settling account, with what the parts or the filters need."""
+    df = with_settlement_party(with_company_data(tables["OrgHeader"], tables, p), tables, p)
+    if COUNTRY in parts or p.countries is not None or p.excluded_countries:
+        df = with_country(df, tables)
+    if COMPANY in parts or p.account_groups is not None or p.org_branch:
+        df = with_branch_and_group(df, tables, p)
+    if SETTLEMENT in parts or p.settlement_groups is not None:
+        df = with_party_name(df, tables)
+    return filter_accounts(df, tables, p)
 
 
 def account_profile(
@@ -161,27 +166,29 @@ def account_profile(
     A blank settlement group is filled from the account itself, code and name. Accounts
     within their limit are left out, where only the others are wanted, if credit is shown.
     """
-    unsettled = F.coalesce(F.col("PartyCode"), F.lit("")) == ""
     term = (
         credit_term(F.col("OB_ARCreditApproved"), F.col("OB_AROnCreditHold"))
         if p.is_ar and not p.all_transactions
         else F.lit(None).cast("string")
     )
-    df = account_base(tables, p).withColumns(
-        {
-            "AccountPK": F.col("OH_PK"),
-            "AccountCode": F.col("OH_Code"),
-            "AccountName": F.col("OH_FullName"),
-            "CountryCode": F.col("RN_Code"),
-            "CountryName": F.col("RN_Desc"),
-            "CreditLimit": credit_limit(p),
-            "ARCategory": F.col("OB_ARCategory" if p.is_ar else "OB_APCategory"),
-            "ConsolidationCategory": F.col("OB_ARConsolidatedAccountingCategory"),
+    columns = {
+        "AccountPK": F.col("OH_PK"),
+        "AccountCode": F.col("OH_Code"),
+        "AccountName": F.col("OH_FullName"),
+        "CreditLimit": credit_limit(p),
+        "ARCategory": F.col("OB_ARCategory" if p.is_ar else "OB_APCategory"),
+        "ConsolidationCategory": F.col("OB_ARConsolidatedAccountingCategory"),
+        "AccountTerm": term,
+    }
+    if COUNTRY in parts:
+        columns |= {"CountryCode": F.col("RN_Code"), "CountryName": F.col("RN_Desc")}
+    if SETTLEMENT in parts:
+        unsettled = F.coalesce(F.col("PartyCode"), F.lit("")) == ""
+        columns |= {
             "SettlementCode": F.when(unsettled, F.col("OH_Code")).otherwise(F.col("PartyCode")),
             "SettlementName": F.when(unsettled, F.col("OH_FullName")).otherwise(F.col("PartyName")),
-            "AccountTerm": term,
         }
-    )
+    df = account_base(tables, p, parts).withColumns(columns)
     if CREDIT in parts:
         df = with_settlement_credit(df, tables, p)
         if p.over_limit_only:
@@ -192,4 +199,4 @@ def account_profile(
         df = df.join(additional_company_names(tables, p), F.col("AccountPK") == F.col("CN_OH"), "left")
     if CONTACT in parts:
         df = with_contacts(df, tables, p, ctx)
-    return df.select(*BASE_COLUMNS, *[c for part in sorted(parts) for c in PART_COLUMNS[part]])
+    return df.select(*PROFILE_COLUMNS, *[c for part in sorted(parts) for c in PART_COLUMNS[part]])

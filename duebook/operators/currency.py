@@ -72,21 +72,19 @@ def period_end_rates(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFr
 
 
 def with_period_end_rate(df: DataFrame, tables: Tables, p: ReportParams, ctx: RunContext, always: bool) -> DataFrame:
-    """Join the rate table; use its rate always, or only when balances are in invoice currency.
+    """Join the rates of the period's last day; use them always, or only when balances are in invoice currency.
 
     The join is made either way: several valid rates repeat a row whether or not they are used.
     Repetitions are marked, for sums that must count a row once.
     """
-    currency = tables["RefCurrency"]
     # One currency has a handful of rates on a day, one per rate type.
     types = Window.partitionBy("RE_RX_NKExCurrency").orderBy("RE_ExRateType", "RE_SellRate")
     rates = period_end_rates(tables, p, ctx).withColumn("repeated_rate", F.row_number().over(types) > 1)
-    df = df.join(currency, F.col("RX_PK") == F.col("CurrencyPK"), "left").join(
-        rates, F.col("RE_RX_NKExCurrency") == F.col("RX_Code"), "left"
-    )
+    currency = {"RX_PK": "CurrencyPK", "RX_Code": "CurrencyCode", "RX_SubUnitRatio": "RXSubUnitRatio"}
+    df = df.withColumns({new: F.col(old) for new, old in currency.items()})
+    df = df.join(rates, F.col("RE_RX_NKExCurrency") == F.col("RX_Code"), "left")
     used = always or p.in_invoice_currency
-    rate = F.col("RE_SellRate") if used else F.lit(None).cast("decimal(18,9)")
-    return df.withColumn("PeriodEndRate", rate)
+    return df.withColumn("PeriodEndRate", F.col("RE_SellRate") if used else F.lit(None).cast("decimal(18,9)"))
 
 
 def with_revaluation(df: DataFrame, p: ReportParams, ctx: RunContext) -> DataFrame:

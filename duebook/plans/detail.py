@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from duebook.functions.columns import MONEY
 from duebook.operators.accounts import ALL_PARTS, account_profile, has_account_filter
-from duebook.operators.credit import over_limit_codes
+from duebook.operators.credit import over_limit_codes, settlement_parties
 from duebook.operators.currency import with_period_end_rate, with_revaluation
 from duebook.operators.dimensions import with_match_status_text, with_operator_initials
 from duebook.operators.headers import overdue, reported_headers
@@ -111,20 +111,25 @@ def fan_out_lines(df: DataFrame, profile: DataFrame, p: ReportParams) -> DataFra
     return joined.withColumns({c: (F.col(c) * factor).cast(MONEY) for c in sums}).drop("repeated", "times")
 
 
-def with_account_terms(df: DataFrame, tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
-    """Invoice terms of open receivables, for rows with account, department and branch.
+TERM_KEYS = ("AccountPK", "SettlementPK", "AH_GE", "AH_GB")
+
+
+def account_terms(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
+    """Terms of open receivables by account, settling account, department and branch.
 
-    They are looked up once per account, settlement account, department and branch. The
-    combinations come from the headers alone, so that finding them needs no match links.
+    The combinations come from the headers alone, so that finding them needs no match links.
     """
-    keys = ["AccountPK", "SettlementPK", "AH_GE", "AH_GB"]
     found = reported_headers(tables, p, ctx).select(F.col("AH_OH").alias("AccountPK"), "AH_GE", "AH_GB").distinct()
-    slim = account_profile(tables, p, ctx, frozenset()).select("AccountPK", "SettlementPK", "AccountTerm")
-    open_keys = join_profile(found, slim, p).filter(F.col("AccountTerm") == "").select(*keys)
-    resolved = resolve_terms(open_keys.distinct(), tables, p)
-    terms = resolved.select(*[F.col(c).alias(f"term_{c}") for c in keys], "InvoiceTerm")
+    parties = settlement_parties(tables, p).withColumnRenamed("PR_OH_RelatedParty", "SettlementPK").distinct()
+    found = found.join(parties, F.col("AccountPK") == F.col("PR_OH_Parent"), "left").select(*TERM_KEYS)
+    return resolve_terms(found, tables, p)
+
+
+def with_account_terms(df: DataFrame, tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
+    """Add invoice terms to rows with the columns they go by."""
+    terms = account_terms(tables, p, ctx).select(*[F.col(c).alias(f"term_{c}") for c in TERM_KEYS], "InvoiceTerm")
     on = F.col("AccountTerm") == ""
-    for c in keys:
+    for c in TERM_KEYS:
         on = on & F.col(c).eqNullSafe(F.col(f"term_{c}"))
     joined = df.join(terms, on, "left")
     kept = [c for c in df.columns if c != "InvoiceTerm"]

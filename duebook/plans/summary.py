@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from duebook.functions.ageing import BUCKETS, LOCAL_SUFFIX
-from duebook.functions.columns import divide_money
-from duebook.operators.accounts import ALL_PARTS, CREDIT, STAFF, account_profile
+from duebook.functions.ageing import BUCKETS, LOCAL_SUFFIX, bucket_conditions
+from duebook.functions.columns import MONEY, divide_money
+from duebook.operators.accounts import ALL_PARTS, COMPANY, COUNTRY, CREDIT, SETTLEMENT, STAFF, account_profile
 from duebook.operators.currency import with_period_end_rate, with_revaluation
 from duebook.operators.headers import is_overdue, overdue
 from duebook.operators.transactions import disbursement_kept, ledger_transactions
 from duebook.params import BRANCH_SUMMARY_LABELS, ReportParams
 from duebook.plans.context import RunContext
-from duebook.plans.detail import fan_out_lines, join_profile, with_account_terms
+from duebook.plans.detail import account_terms, fan_out_lines, join_profile
 from duebook.sources.tables import Tables
 
 # Summary labels, the columns each groups by beside type and currency, and the account parts needed.
@@ -21,14 +21,14 @@ LISTING_SUMMARIES = {
     "Transaction Type": ((), ()),
     "Consolidation Category": (("ConsolidationCategory",), ()),
     "Accounts Relationship": (("ARCategory",), ()),
-    "Organisation Branch": (("OrgBranchCode", "OrgBranchName"), ()),
-    "Transaction Branch": (("BranchCode", "CountryCode", "TranBranchName"), ()),
+    "Organisation Branch": (("OrgBranchCode", "OrgBranchName"), (COMPANY,)),
+    "Transaction Branch": (("BranchCode", "CountryCode", "TranBranchName"), (COUNTRY,)),
     "Sales Rep": (("SalesRep", "SalesRepName"), (STAFF,)),
     "Credit Controller": (("CreditController", "CreditControllerName"), (STAFF,)),
     "Customer Service Rep": (("CustomerService", "CustomerServiceName"), (STAFF,)),
-    "Settlement Group": (("SettlementCode", "SettlementName"), ()),
-    "Debtor Group": (("AccountGroup",), ()),
-    "Creditor Group": (("AccountGroup",), ()),
+    "Settlement Group": (("SettlementCode", "SettlementName"), (SETTLEMENT,)),
+    "Debtor Group": (("AccountGroup",), (COMPANY,)),
+    "Creditor Group": (("AccountGroup",), (COMPANY,)),
 }
 TYPE_KEYS = ("TransactionType", "TransactionTypeDesc", "CurrencyCode")
 LISTING_SUMS = ("OSTotal", "InvoiceTotal", "InvoiceExTax", "TaxAmount", "LineInvoiceExTaxAmount", "LineTaxAmount")
@@ -75,6 +75,10 @@ AGEING_KEYS = (
 )
 
 
+def null_amounts(names) -> dict:
+    return {c: F.lit(None).cast(MONEY) for c in names}
+
+
 def listing_summary(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
     """Totals, counts and averages of the listing by type and currency, and by one more attribute."""
     if p.group_by not in LISTING_SUMMARIES:
@@ -85,14 +89,17 @@ def listing_summary(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFra
     rows = ledger_transactions(tables, p, ctx, detail=False).filter(disbursement_kept(p))
     rows = fan_out_lines(overdue(rows, p), profile, p)
 
-    per_account = rows.groupBy("AccountPK", "BranchCode", "TranBranchName", *TYPE_KEYS).agg(
-        *[F.sum(c).alias(c) for c in LISTING_SUMS], F.count(F.lit(1)).alias("rows")
+    summed = [c for c in LISTING_SUMS if p.line_amounts or not c.startswith("Line")]
+    branch = [c for c in ("BranchCode", "TranBranchName") if c in extra]
+    per_account = rows.groupBy("AccountPK", *branch, *TYPE_KEYS).agg(
+        *[F.sum(c).alias(c) for c in summed], F.count(F.lit(1)).alias("rows")
     )
     sums = (
         join_profile(per_account, profile, p)
         .groupBy(*TYPE_KEYS, *extra)
-        .agg(*[F.sum(c).alias(c) for c in LISTING_SUMS], F.sum("rows").alias("NoOfTransactions"))
+        .agg(*[F.sum(c).alias(c) for c in summed], F.sum("rows").alias("NoOfTransactions"))
     )
+    sums = sums.withColumns(null_amounts(c for c in LISTING_SUMS if c not in summed))
     count = F.col("NoOfTransactions")
     sums = sums.withColumns(
         {
@@ -108,25 +115,59 @@ def listing_summary(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFra
     return sums.select(*order).orderBy("TransactionType", "CurrencyCode", *extra)
 
 
+def ageing_sums(p: ReportParams, ctx: RunContext) -> list[str]:
+    """The amounts of the ageing summary that can have a value at all."""
+    filled = bucket_conditions(p, ctx.dates)
+    never = {c for c in BUCKETS if c not in filled}
+    never |= {c + LOCAL_SUFFIX for c in BUCKETS if c in never or not p.local_equivalent}
+    if not p.is_ar:
+        never.add("DSBCharge")
+    if not p.future_matches_apart:
+        never |= {"MatchedInFuturePeriodInInvoiceCurrency", "MatchedInFuturePeriodInLocalCurrency"}
+    return [c for c in AGEING_SUMS if c not in never]
+
+
 def marked_rows(df: DataFrame, p: ReportParams) -> DataFrame:
     """Mark account codes where some sum by code and limit exceeds the limit.
 
     Rows are sums per account here, so a window never holds an account's transactions.
-    Accounts without a code are never marked and are spread by their key.
+    Accounts without a code are never marked and are spread by their key. One shuffle
+    serves both windows.
     """
     if p.over_limit_only:
         return df.withColumn("IsOverLimit", F.lit(None).cast("string"))
     unknown = F.when(F.col("AccountCode").isNull(), F.col("AccountPK"))
     by_limit = Window.partitionBy("AccountCode", unknown, "CreditLimit")
     by_code = Window.partitionBy("AccountCode", unknown)
+    df = df.repartition("AccountCode", unknown)
     df = df.withColumn("exceeded", F.sum("limit_balance").over(by_limit) > F.col("CreditLimit"))
     over = F.max(F.coalesce("exceeded", F.lit(False))).over(by_code) & F.col("AccountCode").isNotNull()
     return df.withColumn("IsOverLimit", F.when(over, "*")).drop("exceeded")
 
 
-def distinct_terms():
-    """Distinct trimmed terms, comma-separated, in their own order."""
-    return F.array_join(F.array_sort(F.collect_set(F.trim(F.coalesce("InvoiceTerm", F.lit(""))))), ",")
+def with_distinct_terms(df: DataFrame, tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
+    """Add the terms of a row's places as an array. A place is a department and branch of the account.
+
+    Terms and places are per department and branch, so their number does not grow with
+    the transactions.
+    """
+    if not p.is_ar:
+        return df.withColumn("terms", F.array(F.lit("")))
+    by_place = account_terms(tables, p, ctx).groupBy(
+        F.col("AccountPK").alias("term_account"), F.col("SettlementPK").alias("term_settlement")
+    ).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.struct("AH_GE", "AH_GB"), F.trim("InvoiceTerm")))).alias("by_place")
+    )
+    on = (F.col("AccountPK") == F.col("term_account")) & F.col("SettlementPK").eqNullSafe(F.col("term_settlement"))
+    found = F.array_distinct(F.transform("places", lambda place: F.element_at("by_place", place)))
+    terms = F.when(F.col("AccountTerm") == "", found).otherwise(F.array("AccountTerm"))
+    joined = df.join(by_place, on, "left").withColumn("terms", terms)
+    return joined.drop("term_account", "term_settlement", "by_place", "places")
+
+
+def listed_terms():
+    """Distinct trimmed terms of a group, comma-separated, in their own order."""
+    return F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("terms")))), ",")
 
 
 def average_rate(ctx: RunContext):
@@ -149,29 +190,32 @@ def ageing_summary(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFram
 
     currency_keys = ["CurrencyCode", "CurrencyPK"] if p.in_invoice_currency else []
     branch_keys = ["BranchCode", "TranBranchName"] if by_branch else []
-    # Terms depend on department and branch beside the account.
-    term_keys = ["AH_GE", "AH_GB"] if p.is_ar else []
-    keys = ["AccountPK", *term_keys, *branch_keys, *currency_keys, "PeriodEndRate"]
+    keys = ["AccountPK", *branch_keys, *currency_keys, "PeriodEndRate"]
+    sums = ageing_sums(p, ctx)
     once = ~F.coalesce("repeated_rate", F.lit(False))
-    per_account = rows.groupBy(*keys).agg(
-        *[F.sum(F.when(F.col("shown"), F.col(c))).alias(c) for c in AGEING_SUMS],
-        F.max("shown").alias("shown"),
+    totals = [F.sum(c).alias(c) for c in (*sums, "limit_balance")] + [F.max("shown").alias("shown")]
+    # Terms depend on department and branch too. These stay apart in the first sum, which has no
+    # arrays and so hashes, and are gathered in the second, over far fewer rows.
+    place = ["AH_GE", "AH_GB"] if p.is_ar else []
+    df = rows.groupBy(*keys, *place).agg(
+        *[F.sum(F.when(F.col("shown"), F.col(c))).alias(c) for c in sums],
         F.sum(F.when(once, F.col("Balance"))).alias("limit_balance"),
+        F.max("shown").alias("shown"),
     )
-    df = join_profile(per_account, account_profile(tables, p, ctx, ALL_PARTS), p)
+    if place:
+        places = F.collect_set(F.when(F.col("shown"), F.struct(*place))).alias("places")
+        df = df.groupBy(*keys).agg(*totals, places)
+    df = join_profile(df, account_profile(tables, p, ctx, ALL_PARTS), p)
     df = marked_rows(df, p).filter("shown")
-    if p.is_ar:
-        df = with_account_terms(df, tables, p, ctx)
-    else:
-        df = df.withColumn("InvoiceTerm", F.lit(""))
-    group = [*AGEING_KEYS, *branch_keys, *currency_keys, "PeriodEndRate"]
-    df = df.groupBy(*group).agg(
-        *[F.sum(c).alias(c) for c in AGEING_SUMS], distinct_terms().alias("InvoiceTerm")
+    df = with_distinct_terms(df, tables, p, ctx)
+    df = df.groupBy(*AGEING_KEYS, *branch_keys, *currency_keys, "PeriodEndRate").agg(
+        *[F.sum(c).alias(c) for c in sums], listed_terms().alias("InvoiceTerm")
     )
     absent = {"BranchCode", "TranBranchName", "CurrencyCode", "CurrencyPK"} - {*branch_keys, *currency_keys}
     df = df.withColumns(
         {
             **{c: F.lit(None).cast("string") for c in sorted(absent)},
+            **null_amounts(c for c in AGEING_SUMS if c not in sums),
             "AverageExchangeRate": average_rate(ctx),
             # Of a narrower sum, so that the difference keeps the decimals of the revaluation.
             "GainLossOnRevaluation": F.col("RevaluedLocalEquivalent") - F.col("BalanceInLocal").cast("decimal(28,4)"),
