@@ -58,23 +58,30 @@ DATES = AgeingDates(
 def ledger(spark):
     """Tables from a few rows each; those not given are small dimensions or empty."""
 
+    def literal(value) -> str:
+        if value is None:
+            return "null"
+        if isinstance(value, datetime):
+            return f"timestamp_ntz '{value}'"
+        return repr(value)
+
+    def frame(name: str, given: list[dict]):
+        schema = {c: TYPES[kind] for kind, names in SCHEMAS[name].items() for c in names.split()}
+        extra = {c for r in given for c in r} & set(OPTIONAL_COLUMNS.get(name, ()))
+        schema |= {c: "string" for c in sorted(extra)}
+        if name == "AccTransactionHeader":
+            given = [{**HEADER, **r} for r in given]
+        unknown = {c for r in given for c in r} - set(schema)
+        assert not unknown, unknown
+        columns = ", ".join(f"cast({c} as {t}) as {c}" for c, t in schema.items())
+        if not given:
+            return spark.sql("select " + ", ".join(f"cast(null as {t}) as {c}" for c, t in schema.items()) + " where false")
+        values = ", ".join("(" + ", ".join(literal(r.get(c)) for c in schema) + ")" for r in given)
+        return spark.sql(f"select {columns} from values {values} as t({', '.join(schema)})")
+
     def build(**rows) -> Tables:
-        frames = {}
-        for name, kinds in SCHEMAS.items():
-            given = rows.get(name, DIMENSIONS.get(name, []))
-            if name == "AccTransactionHeader":
-                given = [{**HEADER, **r} for r in given]
-            schema = {c: TYPES[kind] for kind, names in kinds.items() for c in names.split()}
-            extra = {c for r in given for c in r} & set(OPTIONAL_COLUMNS.get(name, ()))
-            schema |= {c: "string" for c in sorted(extra)}
-            values = [tuple(r.get(c) for c in schema) for r in given]
-            unknown = {c for r in given for c in r} - set(schema)
-            assert not unknown, unknown
-            plain = {c: "double" if t.startswith("decimal") else t for c, t in schema.items()}
-            values = [tuple(float(v) if plain[c] == "double" and v is not None else v for c, v in zip(schema, r)) for r in values]
-            frame = spark.createDataFrame(values, ", ".join(f"{c} {t}" for c, t in plain.items()))
-            frames[name] = frame.selectExpr(*[f"cast({c} as {t}) as {c}" for c, t in schema.items()])
-        return Tables.from_frames(frames)
+        assert set(rows) <= set(SCHEMAS)
+        return Tables(lambda name: frame(name, rows.get(name, DIMENSIONS.get(name, []))))
 
     return build
 
