@@ -179,12 +179,16 @@ def is_revalued(p: ReportParams) -> bool:
     )
 
 
-def detail_report(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
-    df = working_set(tables, p, ctx)
-    # The plain transaction order lists everything, due or not.
+def ordered(df: DataFrame, p: ReportParams) -> DataFrame:
+    """Rows in report order, and only overdue ones if asked. The plain transaction order lists all, due or not."""
     if p.order_by != ORDER_BY_TRANSACTION:
         df = overdue(df, p)
+    return df.orderBy(*detail_order(p))
+
+
+def detail_report(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
+    df = working_set(tables, p, ctx)
     if is_revalued(p):
         df = with_period_end_rate(df, tables, p, ctx, always=True).drop("repeated_rate")
         df = with_revaluation(df, p, ctx)
-    return df.orderBy(*detail_order(p))
+    return ordered(df, p)

@@ -19,7 +19,9 @@ TYPES = {"key": "string", "text": "string", "int": "int", "boolean": "boolean",
 def spark():
     from bench import session
 
-    return session("4")
+    spark = session("4")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    return spark
 
 
 def day(text: str) -> datetime:
