@@ -75,3 +75,25 @@ def adjusted_credit_limit(limit: Column, increase: Column, expiry: Column, as_of
     """A credit limit with its temporary increase, as long as that has not expired."""
     extra = F.when(expiry >= moment(as_of), increase)
     return money(limit + F.coalesce(extra, zero()))
+
+
+def join_sparse(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, row_key: str) -> DataFrame:
+    """Left join on a key that many rows lack.
+
+    Rows without it match nothing, yet a shuffle would send all of them to one task. A
+    second key, derived from the row's own key, spreads them. The lookup key is dropped.
+    """
+    spread = F.when(F.col(key).isNull(), F.xxhash64(F.col(row_key))).otherwise(F.lit(0).cast("bigint"))
+    keyed = lookup.withColumn("lookup_spread", F.when(F.col(lookup_key).isNotNull(), F.lit(0).cast("bigint")))
+    joined = df.withColumn("row_spread", spread).join(
+        keyed, (F.col(key) == F.col(lookup_key)) & (F.col("row_spread") == F.col("lookup_spread")), "left"
+    )
+    return joined.drop("row_spread", "lookup_spread", lookup_key)
+
+
+def broadcast_if_small(lookup: DataFrame, most_rows: int = 100_000) -> DataFrame:
+    """Broadcast a lookup after counting it; a larger one is joined in the way Spark chooses.
+
+    For lookups that a filter makes small, which their files' size does not show.
+    """
+    return F.broadcast(lookup) if lookup.limit(most_rows + 1).count() <= most_rows else lookup

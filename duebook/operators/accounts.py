@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duebook.functions.columns import in_list
+from duebook.functions.columns import in_list, join_sparse
 from duebook.operators.contacts import accounts_of_sales_rep, additional_company_names, assigned_staff, with_contacts
 from duebook.operators.credit import company_data, credit_limit, settlement_parties, with_settlement_credit
 from duebook.operators.terms import credit_term
@@ -99,7 +99,7 @@ def with_party_name(orgs: DataFrame, tables: Tables) -> DataFrame:
     settling = tables["OrgHeader"].select(
         F.col("OH_PK").alias("party"), F.col("OH_Code").alias("PartyCode"), F.col("OH_FullName").alias("PartyName")
     )
-    return orgs.join(settling, F.col("SettlementPK") == F.col("party"), "left")
+    return join_sparse(orgs, settling, "SettlementPK", "party", "OH_PK")
 
 
 def has_account_filter(p: ReportParams) -> bool:

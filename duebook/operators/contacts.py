@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duebook.functions.columns import first_row
+from duebook.functions.columns import first_row, join_sparse
 from duebook.params import ReportParams
 from duebook.plans.context import RunContext
 from duebook.sources.tables import Tables, of_company
@@ -151,11 +151,9 @@ def with_contacts(accounts: DataFrame, tables: Tables, p: ReportParams, ctx: Run
     """
     offices = office_phones(tables, p, ctx)
     of_override = offices.select(*[F.col(c).alias(f"over_{c}") for c in offices.columns])
-    df = (
-        accounts.join(primary_contacts(tables, p), F.col("AccountPK") == F.col("OC_OH"), "left")
-        .join(of_override, F.col("OC_OH_AddressOverride") == F.col("over_office_org"), "left")
-        .join(offices, F.col("AccountPK") == F.col("office_org"), "left")
-    )
+    df = accounts.join(primary_contacts(tables, p), F.col("AccountPK") == F.col("OC_OH"), "left")
+    df = df.join(offices, F.col("AccountPK") == F.col("office_org"), "left")
+    df = join_sparse(df, of_override, "OC_OH_AddressOverride", "over_office_org", "AccountPK")
 
     def if_blank(phone: Column, found: str, other: str) -> Column:
         blank = phone.isNull() | (phone == "")

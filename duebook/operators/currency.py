@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duebook.functions.columns import in_list, moment, money, round_by_subunit
+from duebook.functions.columns import broadcast_if_small, in_list, moment, money, round_by_subunit
 from duebook.params import ReportParams
 from duebook.plans.context import RunContext
 from duebook.sources.tables import Tables
@@ -82,7 +82,8 @@ def with_period_end_rate(df: DataFrame, tables: Tables, p: ReportParams, ctx: Ru
     rates = period_end_rates(tables, p, ctx).withColumn("repeated_rate", F.row_number().over(types) > 1)
     currency = {"RX_PK": "CurrencyPK", "RX_Code": "CurrencyCode", "RX_SubUnitRatio": "RXSubUnitRatio"}
     df = df.withColumns({new: F.col(old) for new, old in currency.items()})
-    df = df.join(rates, F.col("RE_RX_NKExCurrency") == F.col("RX_Code"), "left")
+    # Most rows share a few currencies, so a shuffle by currency would not spread them.
+    df = df.join(broadcast_if_small(rates), F.col("RE_RX_NKExCurrency") == F.col("RX_Code"), "left")
     used = always or p.in_invoice_currency
     return df.withColumn("PeriodEndRate", F.col("RE_SellRate") if used else F.lit(None).cast("decimal(18,9)"))
 

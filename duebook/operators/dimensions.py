@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duebook.functions.columns import in_list
+from duebook.functions.columns import in_list, join_sparse
 from duebook.params import ReportParams
 from duebook.sources.tables import Tables, of_company
 
@@ -69,7 +69,7 @@ def with_job(df: DataFrame, tables: Tables, p: ReportParams) -> DataFrame:
     if not p.all_transactions:
         return df.withColumn("JobNumber", F.lit(None).cast("string"))
     jobs = tables["JobHeader"].withColumnRenamed("JH_JobNum", "JobNumber")
-    return df.join(jobs, F.col("AH_JH") == F.col("JH_PK"), "left").drop("JH_PK")
+    return join_sparse(df, jobs, "AH_JH", "JH_PK", "AH_PK")
 
 
 def with_match_status_text(df: DataFrame, tables: Tables, p: ReportParams) -> DataFrame:

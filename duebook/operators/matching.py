@@ -38,20 +38,14 @@ def future_match_groups(tables: Tables, p: ReportParams, ctx: RunContext) -> Dat
 def future_matches(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
     """Per transaction, what was matched in those groups.
 
-    Links are summed per transaction and group first, so that a group holding many
-    links reaches the join on the group as few rows.
+    The links are cut down to the groups before anything is summed, as those groups are few.
     """
-    per_group = (
-        tables["AccTransactionMatchLink"]
-        .groupBy("AP_AH", "AP_MatchGroupNum")
-        .agg(F.sum("AP_Amount").alias("group_amount"))
-    )
+    groups = future_match_groups(tables, p, ctx)
     return (
-        per_group.join(
-            future_match_groups(tables, p, ctx), F.col("AP_MatchGroupNum") == F.col("future_group"), "left_semi"
-        )
+        tables["AccTransactionMatchLink"]
+        .join(groups, F.col("AP_MatchGroupNum") == F.col("future_group"), "left_semi")
         .groupBy("AP_AH")
-        .agg(money(F.sum("group_amount")).alias("future_matched"))
+        .agg(money(F.sum("AP_Amount")).alias("future_matched"))
     )
 
 

@@ -3,13 +3,18 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.compare import differences
 from checks.scenarios import ORACLE, QUERIES, listing, params
 from duebook import run_report
+from duebook.operators.accounts import BASE_PARTS, account_profile
 from duebook.operators.headers import reported_headers
+from duebook.operators.transactions import ledger_transactions
 from duebook.plans.context import build_context
+from duebook.plans.detail import join_profile
 from duebook.sources.sample import sample_tables
+from duebook.sources.tables import Tables
 
 FOLDER = "/root/testdata/sf0.001"
 CHECKED = [
@@ -64,3 +69,38 @@ def test_header_filters_reach_the_scan(spark):
 def test_current_balances_read_no_match_links(spark):
     text = plan(run_report(sample_tables(spark, FOLDER), params(current_date_time=params().now)))
     assert "AP_MatchDate" not in text
+
+
+def test_no_result_depends_on_broadcasts_and_a_hot_account_is_split(spark):
+    """A third of all transactions on one account, with every join shuffled."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    base = sample_tables(spark, "/root/testdata/sf0.01")
+    hot = base["AccTransactionHeader"].withColumn("AH_OH", F.when(F.col("AH_PK") % 3 == 0, 5).otherwise(F.col("AH_OH")))
+    tables = Tables(lambda name: hot if name == "AccTransactionHeader" else base[name])
+    p = listing(line_amounts=True)
+
+    def report():
+        ctx = build_context(tables, p)
+        df = ledger_transactions(tables, p, ctx)
+        return join_profile(df, account_profile(tables, p, ctx, BASE_PARTS), p)
+
+    expected = sorted(map(repr, report().collect()))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = report()
+        assert sorted(map(repr, df.collect())) == expected
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in text and "BroadcastHashJoin" not in text
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
