@@ -62,6 +62,14 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in taken])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not use yet."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def known_to_workers(spark: SparkSession) -> None:
     """Let Python workers on this machine import the package from where the driver did; a cluster gets it as --py-files."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))

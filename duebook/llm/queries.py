@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.llm import bpe, quality
+from duebook.llm import bpe, language, packing, quality, simhash
 from duebook.llm.common import known_to_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,3 +95,32 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
     n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, failed & 3 <> 0 as base_failed,
     failed = 0 as kept, failed from bits
 """
+
+
+@query
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    packed = packing.pack(packing.token_pieces(table(spark, folder, "documents"), path))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def held_out(id: str = "doc_id"):
+    """Documents never learned from, by their id's text alone."""
+    return F.coalesce(F.crc32(F.col(id).cast("string")) % 4 == 2, F.lit(False))
+
+
+@query
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.fit(documents.filter(~held_out()))
+    guessed = language.with_language(documents.select("doc_id", "text"), model)
+    return guessed.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
