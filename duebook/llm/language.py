@@ -136,7 +136,8 @@ def sample_rows(df: DataFrame, id: Column, lang: Column, text: Column, per_langu
     limit = F.lit(None).cast("long")
     if upto:
         limit = F.create_map(*[F.lit(v) for r in upto for v in (r["lang"], r["draw"])])[F.col("lang")]
-    return rows.filter(F.col("draw") <= limit)
+    # Repeated rows have one hash and are learned from once.
+    return rows.filter(F.col("draw") <= limit).groupBy("lang", "draw").agg(F.min("text").alias("text"))
 
 
 def fit(

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.llm import bpe, language, packing, quality, simhash
+from duebook.llm import bpe, language, licenses, packing, quality, sharding, simhash
 from duebook.llm.common import known_to_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +124,36 @@ def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     model = language.fit(documents.filter(~held_out()))
     guessed = language.with_language(documents.select("doc_id", "text"), model)
     return guessed.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases, notices and tags of every document."""
+    found = licenses.with_licenses(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *[F.col(c).cast("long") for c in ("n_words", "n_base", "first_word", "last_word")],
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+@query
+def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents dealt to 40 shards of near equal bytes, by way of fixed virtual slots."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    sized = sharding.with_size(documents)
+    shards = sharding.new_map(sharding.slot_loads(sized), 40)
+    placed = sharding.placed(sized, shards)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("place").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+        "virtual_slot",
+        "version",
+    )
