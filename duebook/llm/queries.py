@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.llm import bpe, language, licenses, packing, quality, sharding, simhash
+from duebook.llm import bpe, html, language, licenses, neighbours, packing, quality, sharding, simhash, warc
 from duebook.llm.common import known_to_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,3 +157,101 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
         "virtual_slot",
         "version",
     )
+
+
+@query
+def op7_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op6_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector."""
+    found = neighbours.nearest(table(spark, folder, "embeddings"), lambda id: id % 20 == 0, k=20)
+    return found.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+
+
+def archive_records(pages: DataFrame) -> DataFrame:
+    """A crawl of the pages: a response for each, and a later or earlier revisit by another spelling of its url."""
+    page, tag = F.col("page_id"), F.substring(F.md5(F.coalesce(F.col("html"), F.lit("")).cast("binary")), 1, 12)
+    at = 1_700_000_000 + page * 600
+    quoted = lambda x: F.concat(F.lit('"'), x, F.lit('"'))
+    size = F.coalesce(F.octet_length("html"), F.lit(0)).cast("string")
+    full = F.create_map(
+        *[F.lit("ETag"), quoted(tag), F.lit("Content-Length"), size, F.lit("Content-Type"), F.lit("text/html"), F.lit("Date"), at.cast("string")]
+    )
+    spelled = F.when(page % 4 == 1, F.regexp_replace("url", "^http://", "https://")).when(page % 4 == 2, F.concat("url", F.lit("#top"))).otherwise(F.col("url"))
+    later = at + (page % 5 - 1) * 1800
+    short = F.map_concat(
+        F.create_map(F.lit("date"), later.cast("string"), F.lit("content-length"), F.lit("0"), F.lit("cache-control"), F.lit("max-age=60")),
+        F.when(page % 7 < 5, F.create_map(F.lit("etag"), F.concat(F.lit("W/"), quoted(tag))))
+        .when(page % 7 == 5, F.create_map(F.lit("etag"), F.lit('"other"')))
+        .otherwise(F.create_map().cast("map<string,string>")),
+    )
+    first = pages.select((2 * page).alias("record_id"), "url", at.alias("captured"), F.lit(False).alias("is_revisit"), full.alias("headers"))
+    again = pages.select((2 * page + 1).alias("record_id"), spelled.alias("url"), later.alias("captured"), F.lit(True).alias("is_revisit"), short.alias("headers"))
+    return first.union(again)
+
+
+@query
+def op10_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    """Every revisit of a crawl of the pages with the response it stands for and its headers."""
+    resolved = warc.resolve(archive_records(table(spark, folder, "pages")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return resolved.select("record_id", "canonical_url", "captured", "resolved_id", "outcome", F.array_join(lines, "\n").alias("header_lines"))
+
+
+ORACLE["op10_revisits"] = r"""
+with crawl as (
+    select page_id, url, substr(md5(coalesce(html, '')), 1, 12) as tag, coalesce(strlen(html), 0)::varchar as size,
+        1700000000 + page_id * 600 as moment, 1700000000 + page_id * 600 + (page_id % 5 - 1) * 1800 as later from pages
+), headers as (
+    select 2 * page_id as record_id, unnest(['etag', 'content-length', 'content-type', 'date']) as name,
+        unnest(['"' || tag || '"', size, 'text/html', moment::varchar]) as value from crawl
+    union all
+    select 2 * page_id + 1, unnest(['date', 'content-length', 'cache-control']), unnest([later::varchar, '0', 'max-age=60']) from crawl
+    union all
+    select 2 * page_id + 1, 'etag', case when page_id % 7 < 5 then 'W/"' || tag || '"' else '"other"' end from crawl where page_id % 7 < 6
+), records as (
+    select 2 * page_id as record_id, url, moment as captured, 1 as is_response from crawl
+    union all
+    select 2 * page_id + 1, case when page_id % 4 = 1 and starts_with(url, 'http://') then 'https://' || substr(url, 8)
+        when page_id % 4 = 2 then url || '#top' else url end, later, 0 from crawl
+), bare as (
+    select *, split_part(url, '#', 1) as u from records
+), parts as (
+    select *, regexp_replace(lower(regexp_extract(u, '^[a-zA-Z]+://([^/?:]*)', 1)), '^www[0-9]*[.]', '') as host,
+        regexp_extract(u, '^[a-zA-Z]+://[^/?]*([^?]*)', 1) as path, regexp_extract(u, '[?](.*)$', 1) as asked from bare
+), kept as (
+    select record_id, string_agg(p, '&' order by p) as q from (select record_id, unnest(string_split(asked, '&')) as p from parts)
+    where p <> '' and not regexp_matches(lower(p), '^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)') group by record_id
+), named as (
+    select parts.record_id, captured, is_response,
+        host || case when rtrim(path, '/') = '' then '/' else rtrim(path, '/') end || coalesce('?' || q, '') as canonical_url
+    from parts left join kept using (record_id)
+), looked as (
+    select *, last_value(case when is_response = 1 then record_id end ignore nulls) over (
+        partition by canonical_url order by captured, is_response, record_id rows between unbounded preceding and current row) as found
+    from named
+), judged as (
+    select l.record_id, canonical_url, captured, found,
+        case when found is null then 'no response' when a.value is null or b.value is null then 'unchecked'
+            when ltrim(a.value, 'W/') = ltrim(b.value, 'W/') then 'matched' else 'validators differ' end as outcome
+    from looked l left join headers a on a.record_id = l.record_id and a.name = 'etag'
+        left join headers b on b.record_id = found and b.name = 'etag' where is_response = 0
+), settled as (
+    select record_id, found from judged where outcome in ('matched', 'unchecked')
+), permitted as (
+    select s.record_id, name, value from settled s join headers h using (record_id) where name not in ('content-length', 'content-type')
+), merged as (
+    select * from permitted
+    union all
+    select s.record_id, h.name, h.value from settled s join headers h on h.record_id = s.found
+    where not exists (select 1 from permitted p where p.record_id = s.record_id and p.name = h.name)
+), lines as (
+    select record_id, string_agg(name || ': ' || value, chr(10) order by name) as header_lines from merged group by record_id
+)
+select record_id, canonical_url, captured, s.found as resolved_id, outcome, header_lines
+from judged left join settled s using (record_id) left join lines using (record_id)
+"""
