@@ -75,11 +75,21 @@ def known_to_workers(spark: SparkSession) -> None:
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate data that the session names; where it names none, one in its warehouse."""
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    return (given or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints").rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, computed once and kept in the folder all executors share."""
     spark: SparkSession = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        given = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(given or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -223,3 +223,8 @@ def with_language(df: DataFrame, model: LanguageModel, text: str = "text") -> Da
     names = [f"`{c}`" for c in df.columns]
     guess = df.select(*names, predicted(df[f"`{text}`"], model, df).alias("_guess"))
     return guess.select(*names, F.col("_guess.lang").alias("lang_pred"), F.col("_guess.score").alias("score"))
+
+
+def held_out(id: Column) -> Column:
+    """Documents never learned from, by their id alone."""
+    return F.coalesce(F.crc32(id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -112,18 +112,13 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-def held_out(id: str = "doc_id"):
-    """Documents never learned from, by their id's text alone."""
-    return F.coalesce(F.crc32(F.col(id).cast("string")) % 4 == 2, F.lit(False))
-
-
 @query
 def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
     documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
-    model = language.fit(documents.filter(~held_out()))
+    model = language.fit(documents.filter(~language.held_out(F.col("doc_id"))))
     guessed = language.with_language(documents.select("doc_id", "text"), model)
-    return guessed.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return guessed.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
 @query

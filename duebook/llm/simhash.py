@@ -29,31 +29,49 @@ BUCKET = 256
 CHOICES = list(combinations(range(BLOCKS), BLOCKS - DIFFER))
 
 
-def fingerprint(text: bytes, words_in_shingle: int) -> int:
-    """A bit is set if it is set in over half of the shingles' hashes; a text without words has none set."""
+def shingle_hashes(text: bytes, words_in_shingle: int) -> np.ndarray:
+    """A 64-bit hash of each shingle, repeats included; fewer words than that make one shingle, no words none."""
     words = text.lower().split()
-    if not words:
-        return 0
-    if len(words) < words_in_shingle:
-        hashes = xxhash.xxh64_digest(b" ".join(words), SEED)
+    if len(words) <= words_in_shingle:
+        hashes = xxhash.xxh64_digest(b" ".join(words), SEED) if words else b""
     else:
         joined = b" ".join(words)
-        ends = np.cumsum([len(w) + 1 for w in words])
-        starts = (ends - [len(w) + 1 for w in words])[: len(words) - words_in_shingle + 1].tolist()
-        ends = (ends - 1)[words_in_shingle - 1 :].tolist()
+        sizes = np.array([len(w) + 1 for w in words])
+        ends = np.cumsum(sizes)
+        starts = (ends - sizes)[: len(words) - words_in_shingle + 1].tolist()
         digest = xxhash.xxh64_digest
-        hashes = b"".join([digest(joined[a:b], SEED) for a, b in zip(starts, ends)])
-    bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1)
-    set_bits = 2 * bits.sum(axis=0, dtype=np.int64) > len(bits)
-    return int(np.packbits(set_bits).view(">i8")[0])
+        hashes = b"".join([digest(joined[a:b], SEED) for a, b in zip(starts, (ends - 1)[words_in_shingle - 1 :].tolist())])
+    return np.frombuffer(hashes, ">u8").astype(np.uint64)
 
 
-def fingerprints(text, words_in_shingle: int = 3):
-    """The fingerprint of each whole text as a long, a column; null counts as empty."""
+def fingerprint(text: bytes, words_in_shingle: int, lanes: int = 1) -> np.ndarray:
+    """64 bits for each lane, as longs: a bit is set if it is set in over half of the shingles' hashes.
 
-    @F.arrow_udf(T.LongType())
+    The first lane takes the hashes themselves, the others mix them anew.
+    """
+    hashes = shingle_hashes(text, words_in_shingle)
+    set_in = np.zeros(lanes * 64, np.int64)
+    for a in range(0, len(hashes), 4096):
+        some = hashes[a : a + 4096]
+        wide = np.empty((len(some), lanes), np.uint64)
+        wide[:, 0] = some
+        for lane in range(1, lanes):
+            x = some * np.uint64(2 * lane * 0x5851F42D4C957F2D + 1 & (1 << 64) - 1)
+            x ^= x >> np.uint64(31)
+            x *= np.uint64(0x94D049BB133111EB)
+            wide[:, lane] = x ^ (x >> np.uint64(29))
+        set_in += np.unpackbits(wide.astype(">u8").view(np.uint8), axis=1).sum(axis=0, dtype=np.uint16)
+    return np.packbits(2 * set_in > len(hashes)).view(">i8").astype(np.int64)
+
+
+def fingerprints(text, words_in_shingle: int = 3, lanes: int = 1):
+    """The fingerprint of each whole text, a column: a long, or an array of them for several lanes; null counts as empty."""
+
+    @F.arrow_udf(T.LongType() if lanes == 1 else T.ArrayType(T.LongType()))
     def of(texts: pa.Array) -> pa.Array:
-        return pa.array([fingerprint(t, words_in_shingle) for block in text_blocks(texts) for t in each_text(*block)], pa.int64())
+        found = [fingerprint(t, words_in_shingle, lanes) for block in text_blocks(texts) for t in each_text(*block)]
+        flat = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64), pa.int64())
+        return flat if lanes == 1 else pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * lanes, pa.int32()), flat)
 
     return of(F.coalesce(text, F.lit("")))
 
@@ -88,12 +106,10 @@ def finer_keys(members: DataFrame, level: int) -> DataFrame:
     return members.select("code", "fp").mapInArrow(run, "code long, bits long, fp long")
 
 
-def forest(fps: np.ndarray) -> list[tuple[int, int]]:
-    """Links that join what is connected among a few fingerprints: one fewer than members, each verified."""
+def forest(fps: np.ndarray, differ: int) -> list[tuple[int, int]]:
+    """Places of links that join what is connected among a few fingerprints (rows of 64-bit lanes), each verified."""
     n = len(fps)
-    if n == 2:
-        return [(int(fps[0]), int(fps[1]))] if bin(int(fps[0] ^ fps[1])).count("1") <= DIFFER else []
-    close = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= DIFFER
+    close = np.bitwise_count(fps[:, None, :] ^ fps[None, :, :]).sum(axis=2, dtype=np.int64) <= differ
     left, links = np.ones(n, bool), []
     for seed in range(n):
         if not left[seed]:
@@ -102,31 +118,42 @@ def forest(fps: np.ndarray) -> list[tuple[int, int]]:
         edge = [seed]
         while edge:
             here = edge.pop()
-            near = np.flatnonzero(close[here] & left)
+            near = np.flatnonzero(close[here] & left).tolist()
             left[near] = False
-            links += [(int(fps[here]), int(fps[x])) for x in near]
-            edge += near.tolist()
+            links += [(here, x) for x in near]
+            edge += near
     return links
 
 
-def close_links(fps: DataFrame) -> DataFrame:
-    """Verified links (a, b) that connect all fingerprints within DIFFER bits of each other; input: distinct `fp`."""
-    members, found = fps.select(F.lit(0).cast("long").alias("code"), "fp"), None
+def bucket_links(buckets: DataFrame, differ: int, lanes: int = 1) -> DataFrame:
+    """Links (a, b) within each row's lists `ids` and `fps` (lanes longs for each id)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(0)
-            flat, at = lists.flatten().to_numpy().view(np.uint64), np.asarray(lists.offsets) - lists.offsets[0].as_py()
-            links = np.array([x for a, b in zip(at, at[1:]) for x in forest(flat[a:b])], np.uint64).view(np.int64).reshape(-1, 2)
-            low, high = links.min(axis=1, initial=2**63 - 1), links.max(axis=1, initial=-(2**63))
-            yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
+            ids, at = batch.column(0).flatten().to_numpy(), np.asarray(batch.column(0).offsets).astype(np.int64)
+            at = at - at[0]
+            fps = batch.column(1).flatten()
+            while pa.types.is_list(fps.type):
+                fps = fps.flatten()
+            fps = fps.to_numpy().view(np.uint64).reshape(-1, lanes)
+            places = [(a + x, a + y) for a, b in zip(at, at[1:]) for x, y in forest(fps[a:b], differ)]
+            links = ids[np.array(places, np.int64).reshape(-1, 2)]
+            low, high = (np.minimum, np.maximum)
+            columns = [pa.array(f(links[:, 0], links[:, 1])) for f in (low, high)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
+    return buckets.select("ids", "fps").mapInArrow(run, "a long, b long")
+
+
+def close_links(fps: DataFrame) -> DataFrame:
+    """Verified links (a, b) that connect all fingerprints within DIFFER bits of each other; input: distinct `fp`."""
+    members, found = fps.select(F.lit(0).cast("long").alias("code"), "fp"), None
     for level in (1, 2, 3):
         keys = finer_keys(members, level)
         shared = cut(keys.groupBy("code", "bits").agg(F.count("*").alias("n")).filter("n > 1"))
         small = keys.join(shared.filter(F.col("n") <= BUCKET), ["code", "bits"])
-        buckets = small.groupBy("code", "bits").agg(F.collect_list("fp").alias("fps")).select("fps")
-        links = buckets.mapInArrow(run, "a long, b long")
+        buckets = small.groupBy("code", "bits").agg(F.collect_list("fp").alias("ids")).select("ids", F.col("ids").alias("fps"))
+        links = bucket_links(buckets, DIFFER)
         found = links if found is None else found.union(links)
         large = shared.filter(F.col("n") > BUCKET)
         if large.isEmpty():
@@ -135,6 +162,94 @@ def close_links(fps: DataFrame) -> DataFrame:
     return found.distinct()
 
 
+# ---- a chosen similarity ------------------------------------------------------------------------------------------
+
+#: Lanes of a wide fingerprint, and bits in one of its blocks.
+LANES = 16
+WIDE_BLOCK = 8
+N_BLOCKS = LANES * 64 // WIDE_BLOCK
+#: Keys of three blocks that a fingerprint has, and finer ones in a large bucket.
+KEYS = 160
+FINER = 4
+
+
+def widest(similarity: float) -> int:
+    """Differing bits up to which two wide fingerprints count as similar: the expected number and two deviations."""
+    cosine = 2 * similarity / (1 + similarity)
+    share, n = np.arccos(cosine) / np.pi, LANES * 64
+    return int(n * share + 2 * np.sqrt(n * share * (1 - share)))
+
+
+@cache
+def wide_choices() -> list[np.ndarray]:
+    """For each key an order of all blocks: it begins with the key's three; no two keys have the same three."""
+    draw, seen, out = np.random.default_rng(SEED), set(), []
+    while len(out) < KEYS:
+        order = draw.permutation(N_BLOCKS)
+        if (first := frozenset(order[:3].tolist())) not in seen:
+            seen.add(first)
+            out.append(order)
+    return out
+
+
+def wide_keys(members: DataFrame, level: int) -> DataFrame:
+    """(code, bits, id) from (code, bits, id, fp): three blocks at the first level, one more at each further level."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code, bits, ids = (batch.column(i).to_numpy() for i in range(3))
+            blocks = batch.column(3).flatten().to_numpy().astype(">i8").view(np.uint8).reshape(len(ids), N_BLOCKS).astype(np.int64)
+            orders, rows = np.array(wide_choices()), np.arange(len(ids))
+            for k in range(KEYS if level == 1 else FINER):
+                if level == 1:
+                    new, value = np.full(len(ids), k, np.int64), np.zeros(len(ids), np.int64)
+                    for place in range(3):
+                        value = value << 8 | blocks[:, orders[k, place]]
+                else:
+                    # The next blocks of the key's order, other ones at each level.
+                    own = orders[code % KEYS, 3 + FINER * (level - 2) + k]
+                    new, value = code + KEYS * (k + 1) * 16 ** (level - 2), bits << 8 | blocks[rows, own]
+                yield pa.RecordBatch.from_arrays([pa.array(new), pa.array(value), pa.array(ids)], names=["code", "bits", "id"])
+
+    return members.select("code", "bits", "id", "fp").mapInArrow(run, "code long, bits long, id long")
+
+
+def similar_links(fps: DataFrame, similarity: float) -> DataFrame:
+    """Verified links (a, b) between ids of wide fingerprints; input: (id, fp), each id once.
+
+    Two texts of the similarity share one of the keys in about 19 of 20 cases, more similar ones nearly always. A bucket
+    that is large gets finer keys; what is still large after five levels agrees in seven blocks of eight bits and is
+    linked in runs by order of the fingerprint, each run sharing a member with the next.
+    """
+    zero, differ, found = F.lit(0).cast("long"), widest(similarity), None
+    members = fps.select(zero.alias("code"), zero.alias("bits"), "id", "fp")
+    for level in range(1, 6):
+        keys = wide_keys(members, level)
+        shared = cut(keys.groupBy("code", "bits").agg(F.count("*").alias("n")).filter("n > 1"))
+        large = shared.filter(F.col("n") > BUCKET)
+        more = not large.isEmpty()
+        small = keys.join(shared.filter(F.col("n") <= BUCKET).drop("n"), ["code", "bits"])
+        if more and level == 5:
+            last = keys.join(large.drop("n"), ["code", "bits"], "left_semi").join(fps, "id")
+            spread = F.pmod(F.xxhash64("id"), F.lit(1024))
+            run = F.floor((F.row_number().over(Window.partitionBy("code", "bits", spread).orderBy("fp")) - 1) / (BUCKET // 2))
+            last = last.withColumn("run", run).withColumn("spread", spread)
+            both = last.select("code", "bits", "spread", F.explode(F.array("run", F.col("run") + 1)).alias("run"), "id")
+            small_last = both.select(F.xxhash64("code", "spread", "run").alias("code"), "bits", "id")
+            small = small.unionByName(small_last)
+        # Buckets with the same members are compared once.
+        lists = small.groupBy("code", "bits").agg(F.array_sort(F.collect_set("id")).alias("ids")).select("ids").distinct()
+        numbered = lists.withColumn("list", F.xxhash64("ids"))
+        filled = numbered.select("list", F.explode("ids").alias("id")).join(fps, "id").groupBy("list").agg(F.collect_list(F.struct("id", "fp")).alias("m"))
+        links = bucket_links(filled.select(F.col("m.id").alias("ids"), F.col("m.fp").alias("fps")), differ, LANES)
+        links = cut(links.distinct())
+        found = links if found is None else found.union(links)
+        if not more:
+            break
+        members = keys.join(large.drop("n"), ["code", "bits"], "left_semi").join(fps, "id")
+    return found.distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """The smallest member (`root`) of each linked node's component; links: (a, b), a <> b.
 
@@ -156,25 +271,35 @@ def components(links: DataFrame) -> DataFrame:
         before = state
 
 
-def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", words_in_shingle: int = 3) -> DataFrame:
-    """Per row: `doc_id`, `text_key` (hash of the text), `fp` (long) and `component_id`, the smallest id reachable.
+def near_duplicates(
+    df: DataFrame, id: str = "doc_id", text: str = "text", words_in_shingle: int = 3, similarity: float | None = None
+) -> DataFrame:
+    """Per row: `doc_id`, `text_key` (hash of the text), `fp`, `class` and `component_id`, the smallest id reachable.
 
-    Texts whose fingerprints differ in at most DIFFER bits are linked. Null and empty texts have fingerprint zero and
-    are linked like others. Repeated rows stay separate rows of one component. A component whose ids are all null has
-    a null component_id. Other columns are not returned, so names cannot clash.
+    Without a similarity, texts whose 64-bit fingerprints (fp, a long) differ in at most DIFFER bits are linked, all of
+    them. With one, texts of that Jaccard similarity of shingles or more are looked for by wide fingerprints (fp, an array
+    of longs); see similar_links. Null and empty texts have fingerprint zero and are linked like others. Repeated rows
+    stay separate rows of one component. A component whose ids are all null has a null component_id. Other columns are
+    not returned, so names cannot clash.
     """
-    text_column = df[f"`{text}`"]
-    rows = cut(df.select(df[f"`{id}`"].alias("doc_id"), F.xxhash64(text_column).alias("text_key"), fingerprints(text_column, words_in_shingle).alias("fp")))
-    fps = rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    roots = components(close_links(fps))
-    classed = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least_id", F.coalesce("root", "fp").alias("class"))
+    text_column, lanes = df[f"`{text}`"], 1 if similarity is None else LANES
+    found = fingerprints(text_column, words_in_shingle, lanes).alias("fp")
+    rows = df.select(df[f"`{id}`"].alias("doc_id"), F.xxhash64(text_column).alias("text_key"), found)
+    rows = cut(rows.withColumn("node", F.col("fp") if similarity is None else F.xxhash64("fp")))
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("fp").alias("fp"))
+    links = close_links(nodes.select("fp")) if similarity is None else similar_links(cut(nodes.select(F.col("node").alias("id"), "fp")), similarity)
+    roots = components(links).withColumnRenamed("node", "linked")
+    classed = nodes.join(roots, nodes["node"] == roots["linked"], "left").select("node", "least_id", F.coalesce("root", "node").alias("class"))
     ids = classed.groupBy("class").agg(F.min("least_id").alias("component_id"))
-    return rows.join(classed.select("fp", "class"), "fp").join(ids, "class").select("doc_id", "text_key", "fp", "class", "component_id")
+    known = classed.select("node", "class").join(ids, "class")
+    return rows.join(known, "node").select("doc_id", "text_key", "fp", "class", "component_id")
 
 
-def one_of_each(df: DataFrame, id: str = "doc_id", text: str = "text", words_in_shingle: int = 3) -> DataFrame:
+def one_of_each(
+    df: DataFrame, id: str = "doc_id", text: str = "text", words_in_shingle: int = 3, similarity: float | None = None
+) -> DataFrame:
     """The table with one row of each component: the smallest id (nulls last), then one of the rows that share it."""
-    members = near_duplicates(df, id, text, words_in_shingle)
+    members = near_duplicates(df, id, text, words_in_shingle, similarity)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
     chosen = members.groupBy("class").agg(F.min(order).alias("row")).select(F.col("row.doc_id").alias("_id"), F.col("row.text_key").alias("_key"))
     key, nth = free_name(df, "_text_key"), free_name(df, "_nth")
