@@ -17,7 +17,7 @@ from duebook.operators import contacts, credit, matching
 from duebook.operators.accounts import BASE_PARTS, CREDIT, account_base, account_profile
 from duebook.operators.contacts import NO_CONTACT
 from duebook.operators.currency import with_period_end_rate, with_revaluation
-from duebook.operators.headers import of_ledger
+from duebook.operators.headers import of_ledger, overdue, reported_headers
 from duebook.operators.transactions import base_transactions, disbursement_kept, ledger_amounts, ledger_transactions
 from duebook.params import (
     ORDER_BY_INVOICE_DATE,
@@ -26,7 +26,7 @@ from duebook.params import (
     ORDER_BY_TRANSACTION,
     ORDER_BY_TYPE,
 )
-from duebook.plans.context import RunContext, build_context, company_context, period_dates
+from duebook.plans.context import RunContext, build_context, company_context
 from duebook.plans.detail import join_profile, with_account_terms, working_set
 from duebook.sources.sample import sample_tables
 from duebook.sources.tables import Tables
@@ -129,7 +129,8 @@ def detail(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
 
 def revalued_rows(columns: str) -> Build:
     def build(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
-        df = with_period_end_rate(ledger_amounts(tables, p, ctx, jobs=False), tables, p, ctx, always=True)
+        df = join_profile(ledger_amounts(tables, p, ctx, jobs=False), account_profile(tables, p, ctx, BASE_PARTS), p)
+        df = with_period_end_rate(df, tables, p, ctx, always=True)
         return with_revaluation(df, p, ctx).select(*columns.split())
 
     return build
@@ -147,14 +148,8 @@ def add(key: str, query: Query, sql: str) -> None:
 
 
 def add_rows(key: str, columns: str, p: ReportParams, build=None, reciprocal: bool = False, where: str = "true") -> None:
-    """A query whose rows are transactions, against the step-by-step SQL."""
+    """A query whose rows are transactions, against the step-by-step SQL; where: of the SQL's rows only."""
     build = build or rows(columns)
-    if where != "true":
-        inner = build
-
-        def build(tables, params, ctx):
-            return inner(tables, params, ctx).filter(where)
-
     add(key, scenario(build, p, reciprocal), select_working(p, columns.split(), reciprocal, where))
 
 
@@ -199,23 +194,19 @@ def _lookups() -> None:
     )
 
     def in_period(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
-        dates = period_dates(tables, p)
-        posted = F.to_date("AH_PostDate")
-        return (
-            of_ledger(tables["AccTransactionHeader"], p)
-            .filter((posted >= F.lit(dates.start.date())) & (posted <= F.lit(dates.end.date())))
-            .groupBy("AH_TransactionType")
-            .agg(F.count(F.lit(1)).alias("transactions"), F.sum("AH_LocalTotal").alias("total"))
+        posted = reported_headers(tables, p, ctx)
+        return posted.groupBy("AH_TransactionType").agg(
+            F.count(F.lit(1)).alias("transactions"), F.sum("AH_LocalTotal").alias("total")
         )
 
     add(
         "period_date_range",
-        scenario(in_period, params()),
+        scenario(in_period, params(all_transactions=True, transaction_types=ALL_TYPES)),
         sql(
             "select AH_TransactionType, count(*) as transactions, cast(sum(AH_LocalTotal) as double) as total "
             "from AccTransactionHeader join AccPeriodManagement on AM_GC_COMPANY = AH_GC and AM_PERIOD = 199806 "
             "and cast(AH_PostDate as date) between cast(AM_StartDate as date) and cast(AM_EndDate as date) "
-            "where AH_Ledger = 'AR' group by AH_TransactionType"
+            "where AH_Ledger = 'AR' and AH_GC = 1 group by AH_TransactionType"
         ),
     )
 
@@ -232,6 +223,12 @@ def _filters() -> None:
     }
     add_rows("date_range_filter", dates, listing(**ranges))
     add_rows("balance_use_outstanding", LIST_BASIC, listing(post_date_to=BLANK_DATE))
+    whole = {"post_date_to": None, "ageing_dates": None}
+    add_rows("listing_period", LIST_BASIC + " PostDate", listing(**whole, period=199806))
+    add_rows("batch_inactive_only", LIST_BASIC, listing(include_active_batch=False))
+    add_rows("not_in_batch_only", BASIC, params(not_in_active_batch_only=True))
+    add_rows("ap_credit_rating_listing", LIST_BASIC, listing("AP", credit_ratings="R1"), rows(LIST_BASIC, ledger_amounts))
+    add_rows("ap_credit_rating_ageing", BASIC, params("AP", credit_ratings="R1"), rows(BASIC, ledger_amounts))
     add_rows("list_param_filter", BASIC, params(accounts="C00000001, C00000005,C00000010,,C00000099"))
     add_rows("ledger_company_filter", BASIC, params("AP"), rows(BASIC, ledger_amounts))
     add_rows("transaction_type_filter", LIST_BASIC, listing(transaction_types=["CRD", "ADJ"]))
@@ -266,7 +263,8 @@ def _filters() -> None:
     limits = BASIC + " SettlementGroupOverCreditLimit SettlementGroupCreditLimit SettlementGroupOutstandingAmount"
     add_rows("over_limit_only", limits, params(over_limit_only=True), rows(limits, base_transactions, frozenset({CREDIT})))
     p = params(overdue_only=True)
-    add_rows("overdue_only", BASIC + " DueDate", p, rows(BASIC + " DueDate"), where="DueDate <= '1998-06-30'")
+    due = rows(BASIC + " DueDate", lambda t, p, c: overdue(base_transactions(t, p, c), p))
+    add_rows("overdue_only", BASIC + " DueDate", p, due, where="DueDate <= timestamp '1998-06-30 00:00:00'")
     add_rows("branch_management_filter", BASIC + " BranchCode", params(branch_management_code="G0", branches="B00,B02"))
 
 
@@ -363,12 +361,13 @@ def _accounts() -> None:
     def base(columns: dict[str, str]) -> Build:
         return lambda t, p, c: account_base(t, p).select(*[F.col(k).alias(v) for k, v in columns.items()])
 
-    joins = oracle.account_joins(ar, "left").split("left join RefUNLOCO", 1)[1]
-    orgs = "from OrgHeader o left join RefUNLOCO" + joins
+    def accounts(select: str) -> str:
+        return oracle.query([oracle.account_cte(ar)], f"select {select} from accounts")
+
     add(
         "account_country",
         scenario(base({"OH_PK": "org", "OH_Code": "code", "RN_Code": "country", "RN_Desc": "name"}), ar),
-        sql(f"select o.OH_PK as org, o.OH_Code as code, land.RN_Code as country, land.RN_Desc as name {orgs}"),
+        accounts("org, code, land as country, land_name as name"),
     )
     add(
         "account_company_data",
@@ -379,16 +378,15 @@ def _accounts() -> None:
             ),
             ar,
         ),
-        sql(
-            f"select o.OH_PK as org, cast({oracle.limit_sql(ar, 'cd.')} as double) as CreditLimit, ob.GB_Code as OrgBranchCode, "
-            "ob.GB_BranchName as OrgBranchName, grp.OJ_Code as AccountGroup, cd.OB_ARCategory as ARCategory, "
-            f"cd.OB_ARConsolidatedAccountingCategory as ConsolidationCategory {orgs}"
+        accounts(
+            f"org, cast({oracle.limit_sql(ar)} as double) as CreditLimit, home as OrgBranchCode, home_name as OrgBranchName, "
+            "grp as AccountGroup, OB_ARCategory as ARCategory, OB_ARConsolidatedAccountingCategory as ConsolidationCategory"
         ),
     )
     add(
         "settlement_party",
         scenario(base({"OH_PK": "org", "SettlementPK": "settling", "PartyCode": "code", "PartyName": "name"}), ar),
-        sql(f"select o.OH_PK as org, sg.OH_PK as settling, sg.OH_Code as code, sg.OH_FullName as name {orgs}"),
+        accounts("org, settling, settling_code as code, settling_name as name"),
     )
     roles = ", ".join(
         f"max(case when O8_Role = '{r}' then {c} end) as {n}{s}"
@@ -472,13 +470,17 @@ def _accounts() -> None:
     def credit_columns(columns: str) -> Build:
         return lambda t, p, c: account_profile(t, p, c, frozenset({CREDIT})).select("AccountPK", *columns.split())
 
-    settled = "from OrgHeader o left join settled s on s.OH_PK = o.OH_PK"
+    # An account is listed once for each account that settles for it.
+    settled = (
+        "from OrgHeader o left join OrgRelatedParty on PR_OH_Parent = o.OH_PK and PR_GC = 1 and PR_PartyType = '{party}' "
+        "left join settled s on s.OH_PK = o.OH_PK"
+    )
     add(
         "settlement_usage_flag",
         scenario(credit_columns("ARUseSettlementGroupCreditLimit UsingOrgAsOwnSettlementGroup"), ar),
         oracle.query(
             oracle.settlement_ctes(ar),
-            f"select o.OH_PK as AccountPK, s.flag as ARUseSettlementGroupCreditLimit, s.own as UsingOrgAsOwnSettlementGroup {settled}",
+            f"select o.OH_PK as AccountPK, s.flag as ARUseSettlementGroupCreditLimit, s.own as UsingOrgAsOwnSettlementGroup {settled.format(party='ARS')}",
         ),
     )
     for key, p in (("settlement_over_limit", ar), ("settlement_over_limit_ap", ap)):
@@ -491,7 +493,7 @@ def _accounts() -> None:
                 oracle.settlement_ctes(p),
                 "select o.OH_PK as AccountPK, cast(s.lim as double) as SettlementGroupCreditLimit, "
                 "cast(s.owed as double) as SettlementGroupOutstandingAmount, "
-                f"case when s.owed > s.lim then 'Y' else 'N' end as SettlementGroupOverCreditLimit {settled}",
+                f"case when s.owed > s.lim then 'Y' else 'N' end as SettlementGroupOverCreditLimit {settled.format(party=p.party_type)}",
             ),
         )
     add(
@@ -567,6 +569,8 @@ def _sums() -> None:
         "ageing_summary_currency",
         *summary(params(summary_only=True, in_invoice_currency=True, disbursement_only=True, overdue_only=True)),
     )
+    later = {"future_matches_apart": True, "exclude_future_matches": True}
+    add("ageing_summary_later_matches", *summary(params(summary_only=True, local_equivalent=True, **later)))
     names = ["AccountCode", "SettlementCode", "IsOverLimit", "Balance", "InvoiceTerm"]
     add("distinct_terms_agg", *summary(params(summary_only=True), names))
     names = ["AccountCode", "SettlementCode", "CurrencyCode", "Balance", "BalanceInLocal", "AverageExchangeRate"]

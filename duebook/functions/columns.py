@@ -39,6 +39,11 @@ def in_list(column: Column, values: Sequence[Any]) -> Column:
     return column.isin(list(values)) if values else F.lit(False)
 
 
+def three_places(number: Column) -> Column:
+    """A whole number as text of at most three characters; one that needs more is shown as a star."""
+    return F.when(number.between(-99, 999), number.cast("string")).when(number.isNotNull(), "*")
+
+
 def first_row(order: Sequence[Column], values: Sequence[Column], where: Column | None = None) -> Column:
     """The values of the first row of a group by an order, as one struct.
 
@@ -89,11 +94,3 @@ def join_sparse(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, row
         keyed, (F.col(key) == F.col(lookup_key)) & (F.col("row_spread") == F.col("lookup_spread")), "left"
     )
     return joined.drop("row_spread", "lookup_spread", lookup_key)
-
-
-def broadcast_if_small(lookup: DataFrame, most_rows: int = 100_000) -> DataFrame:
-    """Broadcast a lookup after counting it; a larger one is joined in the way Spark chooses.
-
-    For lookups that a filter makes small, which their files' size does not show.
-    """
-    return F.broadcast(lookup) if lookup.limit(most_rows + 1).count() <= most_rows else lookup

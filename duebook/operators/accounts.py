@@ -96,10 +96,15 @@ def with_settlement_party(orgs: DataFrame, tables: Tables, p: ReportParams) -> D
 
 
 def with_party_name(orgs: DataFrame, tables: Tables) -> DataFrame:
+    """Code and name of the settling account. One that does not exist has no key either."""
     settling = tables["OrgHeader"].select(
-        F.col("OH_PK").alias("party"), F.col("OH_Code").alias("PartyCode"), F.col("OH_FullName").alias("PartyName")
+        F.col("OH_PK").alias("party"),
+        F.col("OH_PK").alias("known_party"),
+        F.col("OH_Code").alias("PartyCode"),
+        F.col("OH_FullName").alias("PartyName"),
     )
-    return join_sparse(orgs, settling, "SettlementPK", "party", "OH_PK")
+    named = join_sparse(orgs, settling, "SettlementPK", "party", "OH_PK")
+    return named.withColumn("SettlementPK", F.col("known_party")).drop("known_party")
 
 
 def has_account_filter(p: ReportParams) -> bool:
@@ -108,13 +113,13 @@ def has_account_filter(p: ReportParams) -> bool:
         p.accounts,
         p.account_groups,
         p.countries,
-        p.excluded_countries,
         p.settlement_groups,
         p.relationships,
         p.consolidation_categories,
     )
     rated = p.credit_ratings is not None and (p.is_ar or p.all_transactions)
-    return any(v is not None for v in lists) or rated or bool(p.org_branch) or bool(p.sales_rep) or p.over_limit_only
+    excluding = bool(p.excluded_countries)
+    return any(v is not None for v in lists) or excluding or rated or bool(p.org_branch) or bool(p.sales_rep) or bool(p.over_limit_only)
 
 
 def filter_accounts(df: DataFrame, tables: Tables, p: ReportParams) -> DataFrame:

@@ -36,6 +36,18 @@ def settlement_parties(tables: Tables, p: ReportParams) -> DataFrame:
     )
 
 
+def settling_accounts(tables: Tables, p: ReportParams) -> DataFrame:
+    """Distinct (PR_OH_Parent, SettlementPK) of accounts that exist; the key is null where the settling one does not."""
+    accounts = tables["OrgHeader"].select("OH_PK")
+    parties = settlement_parties(tables, p).join(accounts, F.col("PR_OH_Parent") == F.col("OH_PK"), "left_semi")
+    known = accounts.withColumnRenamed("OH_PK", "SettlementPK")
+    return (
+        parties.join(known, F.col("PR_OH_RelatedParty") == F.col("SettlementPK"), "left")
+        .select("PR_OH_Parent", "SettlementPK")
+        .distinct()
+    )
+
+
 def group_members(tables: Tables, p: ReportParams) -> DataFrame:
     """Distinct (settling account, account) pairs of accounts that use their group's limit.
 
@@ -81,38 +93,34 @@ def exposure_in_groups(tables: Tables, p: ReportParams) -> DataFrame:
     Instead a group is summed once, and an account takes the total of its group. Where
     an account has several groups, the largest still comes in as a total, and only the
     members of the others that are not in the largest are looked up to be added. Accounts
-    with the same one or two groups share that work.
+    with the same groups share that work, however many groups these are.
     """
     members = group_members(tables, p)
     sets = group_sets(members)
     owed = outstanding_by_account(tables, p)
-    # Least and greatest head name a set of one or two heads in full; larger sets are kept by account.
-    heads = members.groupBy("member").agg(
-        F.min("head").alias("first"), F.max("head").alias("last"), F.count(F.lit(1)).alias("n")
-    )
-    accounts = heads.select(
-        F.col("member").alias("account"),
-        F.struct("first", "last", F.when(F.col("n") > 2, F.col("member")).alias("own")).alias("combination"),
+    # An account settles through a handful of groups; their keys name the combination.
+    accounts = members.groupBy(F.col("member").alias("account")).agg(
+        F.array_sort(F.collect_set("head")).alias("combination")
     )
     totals = group_totals(sets, owed)
+    group = F.struct("size", "head", "total")
     combined = (
-        members.join(accounts, F.col("member") == F.col("account"))
-        .select("combination", "head")
+        accounts.select("combination")
         .distinct()
+        .select("combination", F.explode("combination").alias("head"))
         .join(totals, "head")
+        .groupBy("combination")
+        .agg(F.sort_array(F.collect_list(group), asc=False).alias("groups"))
     )
-    size = F.struct("size", "head")
-    largest = combined.groupBy("combination").agg(
-        F.max(size)["head"].alias("largest"), F.max_by("total", size).alias("largest_total")
+    largest = combined.select(
+        "combination", F.col("groups")[0]["total"].alias("largest_total"), F.col("groups")[0]["head"].alias("largest"), "groups"
     )
-    others = combined.select("combination", "head").join(
-        largest.filter(F.col("combination.first") != F.col("combination.last")).select("combination", "largest"),
-        "combination",
+    others = largest.filter(F.size("combination") > 1).select(
+        "combination", "largest", F.explode(F.expr("transform(slice(groups, 2, size(groups)), g -> g.head)")).alias("head")
     )
     in_largest = sets.select(F.col("head").alias("largest"), "member")
     added = (
-        others.filter(F.col("head") != F.col("largest"))
-        .join(sets, "head")
+        others.join(sets, "head")
         .select("combination", "largest", "member")
         .distinct()
         .join(in_largest, ["largest", "member"], "left_anti")
@@ -137,7 +145,7 @@ def exposure_as_head(tables: Tables, p: ReportParams) -> DataFrame:
     return both.select(
         F.coalesce("head", "org").alias("account"),
         F.when(F.col("head").isNotNull(), F.col("total")).otherwise(F.col("owed")).alias("exposure"),
-    )
+    ).filter(F.col("account").isNotNull())
 
 
 def settling_limits(tables: Tables, p: ReportParams) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duebook.functions.columns import broadcast_if_small, in_list, moment, money, round_by_subunit
+from duebook.functions.columns import in_list, moment, money, round_by_subunit
 from duebook.params import ReportParams
 from duebook.plans.context import RunContext
 from duebook.sources.tables import Tables
@@ -21,6 +21,8 @@ SIGNED_AMOUNTS = (
     "MatchedInFuturePeriodInLocalCurrency",
     "MatchedInFuturePeriodInInvoiceCurrency",
 )
+#: Parts that the rows of one currency are dealt to when rates are joined and cannot be broadcast.
+CURRENCY_SPREAD = 64
 
 
 def flip_payable_signs(df: DataFrame, p: ReportParams) -> DataFrame:
@@ -59,7 +61,10 @@ def restate_in_invoice_currency(df: DataFrame, p: ReportParams, ctx: RunContext)
 
 
 def period_end_rates(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
-    """Rates valid on the last day of the current period. Several types give several rows."""
+    """Rates valid on the last day of the current period, of the types the company adjusts by.
+
+    Several such types give several rows.
+    """
     rates = tables["RefExchangeRate"].filter(F.col("RE_GC") == F.lit(p.company))
     end = ctx.dates.current_end
     if end is None:
@@ -67,11 +72,14 @@ def period_end_rates(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFr
     day = moment(end.replace(hour=0, minute=0, second=0, microsecond=0))
     rates = rates.filter((F.col("RE_StartDate") <= day) & (F.col("RE_ExpiryDate") >= day))
     if p.exchange_rate_types is not None:
-        rates = rates.filter(in_list(F.col("RE_ExRateType"), p.exchange_rate_types))
-    return rates
+        return rates.filter(in_list(F.col("RE_ExRateType"), p.exchange_rate_types))
+    types = tables["ExchangeRateTypes"].filter(F.col("ET_GC") == F.lit(p.company)).select("ExchangeRateType")
+    return rates.join(types, F.col("RE_ExRateType") == F.col("ExchangeRateType"), "left_semi")
 
 
-def with_period_end_rate(df: DataFrame, tables: Tables, p: ReportParams, ctx: RunContext, always: bool) -> DataFrame:
+def with_period_end_rate(
+    df: DataFrame, tables: Tables, p: ReportParams, ctx: RunContext, always: bool, spread_by: str = "TransactionPK"
+) -> DataFrame:
     """Join the rates of the period's last day; use them always, or only when balances are in invoice currency.
 
     The join is made either way: several valid rates repeat a row whether or not they are used.
@@ -82,8 +90,11 @@ def with_period_end_rate(df: DataFrame, tables: Tables, p: ReportParams, ctx: Ru
     rates = period_end_rates(tables, p, ctx).withColumn("repeated_rate", F.row_number().over(types) > 1)
     currency = {"RX_PK": "CurrencyPK", "RX_Code": "CurrencyCode", "RX_SubUnitRatio": "RXSubUnitRatio"}
     df = df.withColumns({new: F.col(old) for new, old in currency.items()})
-    # Most rows share a few currencies, so a shuffle by currency would not spread them.
-    df = df.join(broadcast_if_small(rates), F.col("RE_RX_NKExCurrency") == F.col("RX_Code"), "left")
+    # A shuffle by currency alone would send most rows to a few tasks; rates are few, so they are repeated instead.
+    spread = F.pmod(F.xxhash64(spread_by), F.lit(CURRENCY_SPREAD))
+    repeated = rates.withColumn("rate_spread", F.explode(F.sequence(F.lit(0), F.lit(CURRENCY_SPREAD - 1))))
+    on = (F.col("RE_RX_NKExCurrency") == F.col("RX_Code")) & (F.col("row_spread") == F.col("rate_spread"))
+    df = df.withColumn("row_spread", spread.cast("int")).join(repeated, on, "left").drop("row_spread", "rate_spread")
     used = always or p.in_invoice_currency
     return df.withColumn("PeriodEndRate", F.col("RE_SellRate") if used else F.lit(None).cast("decimal(18,9)"))
 

@@ -69,7 +69,7 @@ def with_job(df: DataFrame, tables: Tables, p: ReportParams) -> DataFrame:
     if not p.all_transactions:
         return df.withColumn("JobNumber", F.lit(None).cast("string"))
     jobs = tables["JobHeader"].withColumnRenamed("JH_JobNum", "JobNumber")
-    return join_sparse(df, jobs, "AH_JH", "JH_PK", "AH_PK")
+    return join_sparse(df, jobs, "AH_JH", "JH_PK", "TransactionPK")
 
 
 def with_match_status_text(df: DataFrame, tables: Tables, p: ReportParams) -> DataFrame:
@@ -91,5 +91,5 @@ def with_match_status_text(df: DataFrame, tables: Tables, p: ReportParams) -> Da
 
 def with_operator_initials(df: DataFrame, p: ReportParams) -> DataFrame:
     """Blank the operator's initials unless the detail report asks for them."""
-    hidden = p.summary_only or not p.show_operator
+    hidden = p.summary_only or p.show_operator is False
     return df.withColumn("OperatorInitials", F.lit("")) if hidden else df

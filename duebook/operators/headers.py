@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duebook.functions.columns import clock, in_list, moment
+from duebook.functions.columns import clock, in_list, moment, three_places
 from duebook.params import ReportParams
 from duebook.plans.context import DateRange, RunContext
 from duebook.sources.tables import Tables
@@ -102,7 +102,7 @@ def disbursement_mark(p: ReportParams) -> Column:
 def header_term() -> Column:
     """Invoice term as the listing words it: term, days on three places, unit."""
     term = F.col("AH_InvoiceTerm")
-    days = F.rpad(F.col("AH_InvoiceTermDays").cast("string"), 3, " ")
+    days = F.rpad(three_places(F.col("AH_InvoiceTermDays")), 3, " ")
     worded = (
         F.when(term.isin("COD", "PIA"), term)
         .when(term == "MIC", F.concat(term, F.lit(" "), days, F.lit(" Months")))

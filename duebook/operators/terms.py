@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duebook.functions.columns import first_row
+from duebook.functions.columns import first_row, three_places
 from duebook.params import ReportParams
 from duebook.sources.tables import Tables, of_company
 
@@ -49,7 +49,7 @@ def best_terms(keys: DataFrame, tables: Tables, p: ReportParams) -> DataFrame:
 def worded_term(record: Column) -> Column:
     """A term record as text; without a record, no days."""
     term = F.coalesce(record["PY_InvoiceTerm"], F.lit(""))
-    days = F.coalesce(record["PY_InvoiceDays"], F.lit(0)).cast("string")
+    days = three_places(F.coalesce(record["PY_InvoiceDays"], F.lit(0)))
     return (
         F.when(term.isin("COD", "PIA"), term)
         .when(term == "MIC", F.concat(days, F.lit(" Months "), term))

@@ -19,10 +19,10 @@ from duebook.sources.tables import Tables
 
 
 def base_transactions(tables: Tables, p: ReportParams, ctx: RunContext, jobs: bool = True) -> DataFrame:
-    """Reported headers with balance, branch, department, currency and job.
+    """Reported headers with balance, branch, department, currency and, if asked for, job.
 
     Joins on the transaction's key come first and next to each other, so that one
-    shuffle of the headers serves them all.
+    shuffle of the headers serves them all. The job, whose key is another, comes last.
     """
     df = reported_headers(tables, p, ctx)
     df = without_active_collections(df, tables, p)
@@ -30,13 +30,10 @@ def base_transactions(tables: Tables, p: ReportParams, ctx: RunContext, jobs: bo
     df = with_branch(df, tables, p)
     df = with_department(df, tables, p)
     df = with_currency(df, tables, p)
-    if jobs:
-        df = with_job(df, tables, p)
-    else:
-        df = df.withColumn("JobNumber", F.lit(None).cast("string"))
     kept = ["AH_GE", "AH_GB", "Balance", "BalanceInLocal", "BranchCode", "TranBranchName", "DepartmentCode"]
-    kept += ["CurrencyPK", "CurrencyCode", "RXSubUnitRatio", "JobNumber"]
-    return of_payment_status(df.select(*[v.alias(k) for k, v in header_columns(p).items()], *kept), p)
+    kept += ["CurrencyPK", "CurrencyCode", "RXSubUnitRatio", "AH_JH"]
+    df = of_payment_status(df.select(*[v.alias(k) for k, v in header_columns(p).items()], *kept), p)
+    return with_job(df, tables, p) if jobs else df
 
 
 def with_disbursement_charge(df: DataFrame, p: ReportParams) -> DataFrame:
@@ -62,7 +59,8 @@ def ledger_amounts(tables: Tables, p: ReportParams, ctx: RunContext, jobs: bool
 
 def ledger_transactions(tables: Tables, p: ReportParams, ctx: RunContext, detail: bool = True) -> DataFrame:
     """Transactions with all amounts, before the rows other than disbursements are dropped."""
-    df = ledger_amounts(tables, p, ctx, jobs=detail)
+    df = ledger_amounts(tables, p, ctx, jobs=False)
     df = with_disbursement_charge(df, p)
     df = with_buckets(df, p, ctx.dates)
-    return with_line_amounts(df, tables, p)
+    df = with_line_amounts(df, tables, p)
+    return with_job(df, tables, p) if detail else df

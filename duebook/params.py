@@ -228,7 +228,10 @@ class ReportParams:
         for name in _LISTS:
             object.__setattr__(self, name, split_list(getattr(self, name)))
         for name in _FLAGS:
-            object.__setattr__(self, name, is_on(getattr(self, name)))
+            value = getattr(self, name)
+            # An absent one of these two is neither on nor off.
+            absent = value is None and name in ("over_limit_only", "show_operator")
+            object.__setattr__(self, name, None if absent else is_on(value))
         if self.ledger not in ("AR", "AP"):
             raise ValueError(f"ledger must be 'AR' or 'AP', not {self.ledger!r}")
         if self.current_date_time is None:

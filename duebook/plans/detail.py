@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from duebook.functions.columns import MONEY
 from duebook.operators.accounts import ALL_PARTS, account_profile, has_account_filter
-from duebook.operators.credit import over_limit_codes, settlement_parties
+from duebook.operators.credit import over_limit_codes, settling_accounts
 from duebook.operators.currency import with_period_end_rate, with_revaluation
 from duebook.operators.dimensions import with_match_status_text, with_operator_initials
 from duebook.operators.headers import overdue, reported_headers
@@ -120,9 +120,8 @@ def account_terms(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame
     The combinations come from the headers alone, so that finding them needs no match links.
     """
     found = reported_headers(tables, p, ctx).select(F.col("AH_OH").alias("AccountPK"), "AH_GE", "AH_GB").distinct()
-    parties = settlement_parties(tables, p).withColumnRenamed("PR_OH_RelatedParty", "SettlementPK").distinct()
-    found = found.join(parties, F.col("AccountPK") == F.col("PR_OH_Parent"), "left").select(*TERM_KEYS)
-    return resolve_terms(found, tables, p)
+    found = found.join(settling_accounts(tables, p), F.col("AccountPK") == F.col("PR_OH_Parent"), "left")
+    return resolve_terms(found.select(*TERM_KEYS), tables, p)
 
 
 def with_account_terms(df: DataFrame, tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
@@ -141,7 +140,7 @@ def working_set(
 ) -> DataFrame:
     """All reported transactions with all their columns, not yet ordered."""
     profile = account_profile(tables, p, ctx, parts)
-    if not p.over_limit_only:
+    if p.over_limit_only is False:
         slim = account_profile(tables, p, ctx, frozenset())
         profile = marked_over_limit(profile, slim, ledger_amounts(tables, p, ctx, jobs=False))
     df = ledger_transactions(tables, p, ctx).filter(disbursement_kept(p))

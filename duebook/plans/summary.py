@@ -13,7 +13,7 @@ from duebook.operators.headers import is_overdue, overdue
 from duebook.operators.transactions import disbursement_kept, ledger_transactions
 from duebook.params import BRANCH_SUMMARY_LABELS, ReportParams
 from duebook.plans.context import RunContext
-from duebook.plans.detail import account_terms, fan_out_lines, join_profile
+from duebook.plans.detail import fan_out_lines, join_profile, with_account_terms
 from duebook.sources.tables import Tables
 
 # Summary labels, the columns each groups by beside type and currency, and the account parts needed.
@@ -134,7 +134,7 @@ def marked_rows(df: DataFrame, p: ReportParams) -> DataFrame:
     Accounts without a code are never marked and are spread by their key. One shuffle
     serves both windows.
     """
-    if p.over_limit_only:
+    if p.over_limit_only is not False:
         return df.withColumn("IsOverLimit", F.lit(None).cast("string"))
     unknown = F.when(F.col("AccountCode").isNull(), F.col("AccountPK"))
     by_limit = Window.partitionBy("AccountCode", unknown, "CreditLimit")
@@ -145,29 +145,9 @@ def marked_rows(df: DataFrame, p: ReportParams) -> DataFrame:
     return df.withColumn("IsOverLimit", F.when(over, "*")).drop("exceeded")
 
 
-def with_distinct_terms(df: DataFrame, tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
-    """Add the terms of a row's places as an array. A place is a department and branch of the account.
-
-    Terms and places are per department and branch, so their number does not grow with
-    the transactions.
-    """
-    if not p.is_ar:
-        return df.withColumn("terms", F.array(F.lit("")))
-    by_place = account_terms(tables, p, ctx).groupBy(
-        F.col("AccountPK").alias("term_account"), F.col("SettlementPK").alias("term_settlement")
-    ).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.struct("AH_GE", "AH_GB"), F.trim("InvoiceTerm")))).alias("by_place")
-    )
-    on = (F.col("AccountPK") == F.col("term_account")) & F.col("SettlementPK").eqNullSafe(F.col("term_settlement"))
-    found = F.array_distinct(F.transform("places", lambda place: F.element_at("by_place", place)))
-    terms = F.when(F.col("AccountTerm") == "", found).otherwise(F.array("AccountTerm"))
-    joined = df.join(by_place, on, "left").withColumn("terms", terms)
-    return joined.drop("term_account", "term_settlement", "by_place", "places")
-
-
 def listed_terms():
     """Distinct trimmed terms of a group, comma-separated, in their own order."""
-    return F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("terms")))), ",")
+    return F.array_join(F.array_sort(F.collect_set(F.trim("InvoiceTerm"))), ",")
 
 
 def average_rate(ctx: RunContext):
@@ -193,21 +173,16 @@ def ageing_summary(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFram
     keys = ["AccountPK", *branch_keys, *currency_keys, "PeriodEndRate"]
     sums = ageing_sums(p, ctx)
     once = ~F.coalesce("repeated_rate", F.lit(False))
-    totals = [F.sum(c).alias(c) for c in (*sums, "limit_balance")] + [F.max("shown").alias("shown")]
-    # Terms depend on department and branch too. These stay apart in the first sum, which has no
-    # arrays and so hashes, and are gathered in the second, over far fewer rows.
+    # Terms depend on department and branch too, so these stay apart until the terms are known.
     place = ["AH_GE", "AH_GB"] if p.is_ar else []
     df = rows.groupBy(*keys, *place).agg(
         *[F.sum(F.when(F.col("shown"), F.col(c))).alias(c) for c in sums],
         F.sum(F.when(once, F.col("Balance"))).alias("limit_balance"),
         F.max("shown").alias("shown"),
     )
-    if place:
-        places = F.collect_set(F.when(F.col("shown"), F.struct(*place))).alias("places")
-        df = df.groupBy(*keys).agg(*totals, places)
     df = join_profile(df, account_profile(tables, p, ctx, ALL_PARTS), p)
     df = marked_rows(df, p).filter("shown")
-    df = with_distinct_terms(df, tables, p, ctx)
+    df = with_account_terms(df, tables, p, ctx) if p.is_ar else df.withColumn("InvoiceTerm", F.lit(""))
     df = df.groupBy(*AGEING_KEYS, *branch_keys, *currency_keys, "PeriodEndRate").agg(
         *[F.sum(c).alias(c) for c in sums], listed_terms().alias("InvoiceTerm")
     )

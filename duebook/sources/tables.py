@@ -65,6 +65,7 @@ SCHEMAS: dict[str, dict[str, str]] = {
     "CompanyNames": {"key": "CN_OH", "text": "CompanyName"},
     "MatchStatus": {"text": "Code Description"},
     "MatchStatusReason": {"text": "Code Description"},
+    "ExchangeRateTypes": {"key": "ET_GC", "text": "ExchangeRateType"},
 }
 
 # Columns a lookup may have beside those above: rows for one company, branch or ledger only.

@@ -48,6 +48,7 @@ DIMENSIONS = {
     "OrgHeader": [{"OH_PK": "o1", "OH_Code": "ONE", "OH_FullName": "One Ltd", "OH_RL_NKClosestPort": "AUSYD"}],
     "RefUNLOCO": [{"RL_Code": "AUSYD", "RL_RN_NKCountryCode": "AU"}],
     "RefCountry": [{"RN_Code": "AU", "RN_Desc": "Australia"}],
+    "ExchangeRateTypes": [{"ET_GC": "c1", "ExchangeRateType": "MTH"}],
 }
 DATES = AgeingDates(
     report_date=day("2024-03-31"), current_start=day("2024-03-01"), current_end=day("2024-03-31"),

@@ -14,6 +14,7 @@ def collected(tables, p):
     return run_report(tables, p).collect()
 
 
+TYPES = [{"ET_GC": "c1", "ExchangeRateType": t} for t in ("MTH", "BUY")]
 RATES = [{"RE_GC": "c1", "RE_RX_NKExCurrency": "JPY", "RE_ExRateType": t, "RE_StartDate": day("2024-03-01"),
           "RE_ExpiryDate": day("2024-03-31"), "RE_SellRate": r} for t, r in (("MTH", 2), ("BUY", 4))]
 DATA = [{"OB_OH": "o1", "OB_GC": "c1", "OB_ARCreditLimit": 150, "OB_ARCreditApproved": 1, "OB_AROnCreditHold": 0,
@@ -23,7 +24,7 @@ DATA = [{"OB_OH": "o1", "OB_GC": "c1", "OB_ARCreditLimit": 150, "OB_ARCreditAppr
 def test_revalued_detail_splits_gain_and_loss_and_repeats_rows_per_rate(ledger, make):
     headers = [{"AH_PK": "a", "AH_RX_NKTransactionCurrency": "JPY", "AH_ExchangeRate": 3, "AH_OSTotal": 300},
                {"AH_PK": "b", "AH_RX_NKTransactionCurrency": "USD"}]
-    tables = ledger(AccTransactionHeader=headers, RefExchangeRate=RATES)
+    tables = ledger(AccTransactionHeader=headers, RefExchangeRate=RATES, ExchangeRateTypes=TYPES)
     rows = collected(tables, make(in_invoice_currency=True))
     assert [c for names in DETAIL_COLUMNS.values() for c in names.split()] == rows[0].__fields__[:85]
     got = {(r["TransactionPK"], r["RE_ExRateType"]): (r["RevaluedLocalEquivalent"], r["GainOnRevaluation"], r["LossOnRevaluation"]) for r in rows}
@@ -37,7 +38,7 @@ def test_revalued_detail_splits_gain_and_loss_and_repeats_rows_per_rate(ledger,
 
 def test_several_rates_inflate_summary_sums_but_not_the_limit_mark(ledger, make):
     headers = [{"AH_PK": "a", "AH_RX_NKTransactionCurrency": "JPY"}]
-    tables = ledger(AccTransactionHeader=headers, RefExchangeRate=RATES, OrgCompanyData=DATA)
+    tables = ledger(AccTransactionHeader=headers, RefExchangeRate=RATES, ExchangeRateTypes=TYPES, OrgCompanyData=DATA)
     (row,) = collected(tables, make(summary_only=True))
     assert row["Balance"] == 200 and row["IsOverLimit"] is None and row["PeriodEndRate"] is None
     assert row["RevaluedLocalEquivalent"] == 200
