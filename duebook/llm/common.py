@@ -70,9 +70,19 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def known_to_workers(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package from where the driver did; a cluster gets it as --py-files."""
+#: Spark's own bound for the bytes of an Arrow batch, and the one used here: a task holds several copies of a batch.
+DEFAULT_BATCH, BATCH = 64 << 20, 4 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """Bound the Arrow batches of a session that has not set a bound, and let workers on this machine import the package.
+
+    A cluster gets the package as --py-files.
+    """
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound) in (f"{DEFAULT_BATCH}b", "64m", "64MB", str(DEFAULT_BATCH)):
+        spark.conf.set(bound, str(BATCH))
 
 
 def shared_folder(spark: SparkSession) -> str:

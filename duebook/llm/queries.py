@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duebook.llm import bpe, html, language, licenses, neighbours, packing, quality, sharding, simhash, warc
-from duebook.llm.common import known_to_workers
+from duebook.llm.common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,7 +18,7 @@ ORACLE: dict[str, str] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    known_to_workers(spark)
+    prepare(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -15,9 +15,9 @@ CLASHING = "ids decoded labels score lang lang_pred size shard place version fp
 
 @pytest.fixture(scope="session", autouse=True)
 def workers(spark):
-    from duebook.llm.common import known_to_workers
+    from duebook.llm.common import prepare
 
-    known_to_workers(spark)
+    prepare(spark)
 
 
 @pytest.fixture(scope="session")
