@@ -168,9 +168,12 @@ def close_links(fps: DataFrame) -> DataFrame:
 LANES = 16
 WIDE_BLOCK = 8
 N_BLOCKS = LANES * 64 // WIDE_BLOCK
-#: Keys of three blocks that a fingerprint has, and finer ones in a large bucket.
+#: Keys of three blocks that a fingerprint has, and the following blocks of a key's order that sort a large bucket.
 KEYS = 160
-FINER = 4
+KEY_BLOCKS = 3
+SORT_BLOCKS = 8
+#: Members of a bucket that are numbered by one task.
+SORTED_TOGETHER = 1 << 16
 
 
 def widest(similarity: float) -> int:
@@ -181,73 +184,77 @@ def widest(similarity: float) -> int:
 
 
 @cache
-def wide_choices() -> list[np.ndarray]:
-    """For each key an order of all blocks: it begins with the key's three; no two keys have the same three."""
+def block_orders() -> np.ndarray:
+    """For each key an order of all blocks that begins with the key's own; no two keys have the same."""
     draw, seen, out = np.random.default_rng(SEED), set(), []
     while len(out) < KEYS:
         order = draw.permutation(N_BLOCKS)
-        if (first := frozenset(order[:3].tolist())) not in seen:
+        if (first := frozenset(order[:KEY_BLOCKS].tolist())) not in seen:
             seen.add(first)
             out.append(order)
-    return out
+    return np.array(out)
 
 
-def wide_keys(members: DataFrame, level: int) -> DataFrame:
-    """(code, bits, id) from (code, bits, id, fp): three blocks at the first level, one more at each further level."""
+def blocks_of(fps: pa.Array, rows: int) -> np.ndarray:
+    return fps.flatten().to_numpy().astype(">i8").view(np.uint8).reshape(rows, N_BLOCKS)
+
+
+def wide_keys(fps: DataFrame) -> DataFrame:
+    """(code, bits, id) for every key of every fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            code, bits, ids = (batch.column(i).to_numpy() for i in range(3))
-            blocks = batch.column(3).flatten().to_numpy().astype(">i8").view(np.uint8).reshape(len(ids), N_BLOCKS).astype(np.int64)
-            orders, rows = np.array(wide_choices()), np.arange(len(ids))
-            for k in range(KEYS if level == 1 else FINER):
-                if level == 1:
-                    new, value = np.full(len(ids), k, np.int64), np.zeros(len(ids), np.int64)
-                    for place in range(3):
-                        value = value << 8 | blocks[:, orders[k, place]]
-                else:
-                    # The next blocks of the key's order, other ones at each level.
-                    own = orders[code % KEYS, 3 + FINER * (level - 2) + k]
-                    new, value = code + KEYS * (k + 1) * 16 ** (level - 2), bits << 8 | blocks[rows, own]
-                yield pa.RecordBatch.from_arrays([pa.array(new), pa.array(value), pa.array(ids)], names=["code", "bits", "id"])
-
-    return members.select("code", "bits", "id", "fp").mapInArrow(run, "code long, bits long, id long")
+            ids, blocks = batch.column(0), blocks_of(batch.column(1), len(batch)).astype(np.int32)
+            for k, order in enumerate(block_orders()):
+                bits = blocks[:, order[0]] << 16 | blocks[:, order[1]] << 8 | blocks[:, order[2]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), k, np.int32)), pa.array(bits), ids], names=["code", "bits", "id"])
+
+    return fps.select("id", "fp").mapInArrow(run, "code int, bits int, id long")
+
+
+def sorted_runs(members: DataFrame, fps: DataFrame) -> DataFrame:
+    """(code, bits, run, id): members of large buckets (code, bits, n, id) by how alike the blocks after their key are.
+
+    They are numbered in the order of these blocks and cut into runs; each run comes with the one before it. A bucket that
+    is too large for one task is first split by the leading bits of those blocks.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code, n = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            blocks = blocks_of(batch.column(4), len(batch))
+            after = block_orders()[code, KEY_BLOCKS : KEY_BLOCKS + SORT_BLOCKS]
+            order = np.take_along_axis(blocks, after, axis=1).copy().view(">u8").ravel().astype(np.uint64) >> np.uint64(1)
+            split = np.ceil(np.log2(np.maximum(n / SORTED_TOGETHER, 1))).astype(np.uint64)
+            part = np.where(split > 0, order >> (np.uint64(63) - split), np.uint64(0))
+            columns = [batch.column(0), batch.column(1), pa.array(part.astype(np.int64)), pa.array(order.astype(np.int64)), batch.column(3)]
+            yield pa.RecordBatch.from_arrays(columns, names=["code", "bits", "part", "place", "id"])
+
+    known = members.join(fps, "id").select("code", "bits", "n", "id", "fp")
+    placed = known.mapInArrow(run, "code int, bits int, part long, place long, id long")
+    nth = F.row_number().over(Window.partitionBy("code", "bits", "part").orderBy("place", "id")) - 1
+    runs = placed.withColumn("run", F.floor(nth / (BUCKET // 2)).cast("long"))
+    both = F.explode(F.array("run", F.col("run") + 1))
+    return runs.select("code", "bits", "part", both.alias("run"), "id").select("code", "bits", F.xxhash64("part", "run").alias("run"), "id")
 
 
 def similar_links(fps: DataFrame, similarity: float) -> DataFrame:
     """Verified links (a, b) between ids of wide fingerprints; input: (id, fp), each id once.
 
-    Two texts of the similarity share one of the keys in about 19 of 20 cases, more similar ones nearly always. A bucket
-    that is large gets finer keys; what is still large after five levels agrees in seven blocks of eight bits and is
-    linked in runs by order of the fingerprint, each run sharing a member with the next.
+    Two texts of the similarity share one of the keys in about 19 of 20 cases, more similar ones nearly always. Within a
+    bucket all are compared; in a large one each member meets the members next to it by the blocks that follow, in an
+    order of its own for every key, so that the work grows with the members and not with their pairs.
     """
-    zero, differ, found = F.lit(0).cast("long"), widest(similarity), None
-    members = fps.select(zero.alias("code"), zero.alias("bits"), "id", "fp")
-    for level in range(1, 6):
-        keys = wide_keys(members, level)
-        shared = cut(keys.groupBy("code", "bits").agg(F.count("*").alias("n")).filter("n > 1"))
-        large = shared.filter(F.col("n") > BUCKET)
-        more = not large.isEmpty()
-        small = keys.join(shared.filter(F.col("n") <= BUCKET).drop("n"), ["code", "bits"])
-        if more and level == 5:
-            last = keys.join(large.drop("n"), ["code", "bits"], "left_semi").join(fps, "id")
-            spread = F.pmod(F.xxhash64("id"), F.lit(1024))
-            run = F.floor((F.row_number().over(Window.partitionBy("code", "bits", spread).orderBy("fp")) - 1) / (BUCKET // 2))
-            last = last.withColumn("run", run).withColumn("spread", spread)
-            both = last.select("code", "bits", "spread", F.explode(F.array("run", F.col("run") + 1)).alias("run"), "id")
-            small_last = both.select(F.xxhash64("code", "spread", "run").alias("code"), "bits", "id")
-            small = small.unionByName(small_last)
-        # Buckets with the same members are compared once.
-        lists = small.groupBy("code", "bits").agg(F.array_sort(F.collect_set("id")).alias("ids")).select("ids").distinct()
-        numbered = lists.withColumn("list", F.xxhash64("ids"))
-        filled = numbered.select("list", F.explode("ids").alias("id")).join(fps, "id").groupBy("list").agg(F.collect_list(F.struct("id", "fp")).alias("m"))
-        links = bucket_links(filled.select(F.col("m.id").alias("ids"), F.col("m.fp").alias("fps")), differ, LANES)
-        links = cut(links.distinct())
-        found = links if found is None else found.union(links)
-        if not more:
-            break
-        members = keys.join(large.drop("n"), ["code", "bits"], "left_semi").join(fps, "id")
-    return found.distinct()
+    keys, differ = wide_keys(fps), widest(similarity)
+    shared = cut(keys.groupBy("code", "bits").agg(F.count("*").alias("n")).filter("n > 1"))
+    members = cut(keys.join(shared, ["code", "bits"]))
+    small = members.filter(F.col("n") <= BUCKET).select("code", "bits", F.lit(0).cast("long").alias("run"), "id")
+    large = sorted_runs(members.filter(F.col("n") > BUCKET), fps)
+    # Buckets with the same members are compared once.
+    lists = small.union(large).groupBy("code", "bits", "run").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    numbered = lists.select("ids").distinct().withColumn("list", F.xxhash64("ids"))
+    filled = numbered.select("list", F.explode("ids").alias("id")).join(fps, "id").groupBy("list").agg(F.collect_list(F.struct("id", "fp")).alias("m"))
+    return bucket_links(filled.select(F.col("m.id").alias("ids"), F.col("m.fp").alias("fps")), differ, LANES).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
