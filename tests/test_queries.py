@@ -54,9 +54,11 @@ def test_plans_join_by_keys_and_stay_in_the_jvm(spark, name):
         assert operator not in text
 
 
-def test_header_filters_reach_the_scan(spark):
+def test_header_filters_reach_the_scan(spark, tmp_path):
     p = params()
-    tables = sample_tables(spark, FOLDER)
+    base, home = sample_tables(spark, FOLDER), str(tmp_path / "headers")
+    base["AccTransactionHeader"].write.partitionBy("AH_Ledger").parquet(home)
+    tables = Tables(lambda name: spark.read.parquet(home) if name == "AccTransactionHeader" else base[name])
     text = plan(reported_headers(tables, p, build_context(tables, p)).select("AH_PK"))
     pushed = re.search(r"PushedFilters: \[([^\]]*)\]", text).group(1)
     for column in ("AH_GC", "AH_PostDate", "AH_FullyPaidDate", "AH_TransactionType"):
