@@ -126,9 +126,24 @@ def forest(fps: np.ndarray, differ: int) -> list[tuple[int, int]]:
 
 
 def bucket_links(buckets: DataFrame, differ: int, lanes: int = 1) -> DataFrame:
-    """Links (a, b) within each row's lists `ids` and `fps` (lanes longs for each id)."""
+    """Links (a, b) within each row's lists `ids` and `fps` (lanes longs for each id).
+
+    A task leaves out links between ids that its earlier links connect already.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = x = parent.get(up, up)
+            return x
+
+        def joins(a: int, b: int) -> bool:
+            a, b = root(a), root(b)
+            parent[max(a, b)] = min(a, b)
+            return a != b
+
         for batch in batches:
             ids, at = batch.column(0).flatten().to_numpy(), np.asarray(batch.column(0).offsets).astype(np.int64)
             at = at - at[0]
@@ -137,9 +152,9 @@ def bucket_links(buckets: DataFrame, differ: int, lanes: int = 1) -> DataFrame:
                 fps = fps.flatten()
             fps = fps.to_numpy().view(np.uint64).reshape(-1, lanes)
             places = [(a + x, a + y) for a, b in zip(at, at[1:]) for x, y in forest(fps[a:b], differ)]
-            links = ids[np.array(places, np.int64).reshape(-1, 2)]
-            low, high = (np.minimum, np.maximum)
-            columns = [pa.array(f(links[:, 0], links[:, 1])) for f in (low, high)]
+            pairs = ids[np.array(places, np.int64).reshape(-1, 2)].tolist()
+            links = np.array([p for p in pairs if joins(*p)], np.int64).reshape(-1, 2)
+            columns = [pa.array(f(links[:, 0], links[:, 1])) for f in (np.minimum, np.maximum)]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
     return buckets.select("ids", "fps").mapInArrow(run, "a long, b long")
