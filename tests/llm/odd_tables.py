@@ -1,9 +1,7 @@
-import os
-import sys
+"""Tables with odd rows, as fixtures the tests import; a second conftest would hide the first one."""
 
 import pytest
-
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+from pyspark.sql import functions as F
 
 LONG = "many words and lines of a very long text " * 20_000
 PROSE = "The quick brown fox jumps over the lazy dog near the river bank while seven wizards mix potions in an old tower"
@@ -25,7 +23,7 @@ def frame(spark):
     def build(rows, schema="doc_id long, text string", extra=CLASHING):
         names = [c for c in extra.split() if c not in schema.split()]
         df = spark.createDataFrame(rows, schema)
-        return df.select("*", *[__import__("pyspark").sql.functions.lit("x").alias(n) for n in names])
+        return df.select("*", *[F.lit("x").alias(n) for n in names])
 
     return build
 

@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
-from conftest import EDGES, SAMPLE
+from odd_tables import EDGES, SAMPLE, edges, frame, nothing, workers  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 

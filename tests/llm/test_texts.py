@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from conftest import EDGES, SAMPLE  # noqa: F401
+from odd_tables import EDGES, SAMPLE, edges, frame, nothing, workers  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
