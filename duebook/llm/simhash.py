@@ -186,6 +186,8 @@ N_BLOCKS = LANES * 64 // WIDE_BLOCK
 #: Keys of three blocks that a fingerprint has, and the following blocks of a key's order that sort a large bucket.
 KEYS = 160
 KEY_BLOCKS = 3
+#: Keys looked at first; the others need only tell components of these apart.
+FIRST_KEYS = 40
 SORT_BLOCKS = 8
 #: Members of a bucket that are numbered by one task.
 SORTED_TOGETHER = 1 << 16
@@ -214,17 +216,18 @@ def blocks_of(fps: pa.Array, rows: int) -> np.ndarray:
     return fps.flatten().to_numpy().astype(">i8").view(np.uint8).reshape(rows, N_BLOCKS)
 
 
-def wide_keys(fps: DataFrame) -> DataFrame:
-    """(code, bits, id) for every key of every fingerprint."""
+def wide_keys(fps: DataFrame, first: int, last: int) -> DataFrame:
+    """(code, bits, id, root) for a range of the keys of every fingerprint (id, root, fp)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, blocks = batch.column(0), blocks_of(batch.column(1), len(batch)).astype(np.int32)
-            for k, order in enumerate(block_orders()):
+            ids, roots, blocks = batch.column(0), batch.column(1), blocks_of(batch.column(2), len(batch)).astype(np.int32)
+            for k in range(first, last):
+                order = block_orders()[k]
                 bits = blocks[:, order[0]] << 16 | blocks[:, order[1]] << 8 | blocks[:, order[2]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), k, np.int32)), pa.array(bits), ids], names=["code", "bits", "id"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), k, np.int32)), pa.array(bits), ids, roots], names=["code", "bits", "id", "root"])
 
-    return fps.select("id", "fp").mapInArrow(run, "code int, bits int, id long")
+    return fps.select("id", "root", "fp").mapInArrow(run, "code int, bits int, id long, root long")
 
 
 def sorted_runs(members: DataFrame, fps: DataFrame) -> DataFrame:
@@ -258,18 +261,31 @@ def similar_links(fps: DataFrame, similarity: float) -> DataFrame:
 
     Two texts of the similarity share one of the keys in about 19 of 20 cases, more similar ones nearly always. Within a
     bucket all are compared; in a large one each member meets the members next to it by the blocks that follow, in an
-    order of its own for every key, so that the work grows with the members and not with their pairs.
+    order of its own for every key, so that the work grows with the members and not with their pairs. Only components are
+    wanted, so buckets whose members are all of one component by the first keys are not compared by the others.
     """
-    keys, differ = wide_keys(fps), widest(similarity)
-    shared = cut(keys.groupBy("code", "bits").agg(F.count("*").alias("n")).filter("n > 1"))
-    members = cut(keys.join(shared, ["code", "bits"]))
-    small = members.filter(F.col("n") <= BUCKET).select("code", "bits", F.lit(0).cast("long").alias("run"), "id")
-    large = sorted_runs(members.filter(F.col("n") > BUCKET), fps)
-    # Buckets with the same members are compared once.
-    lists = small.union(large).groupBy("code", "bits", "run").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    numbered = lists.select("ids").distinct().withColumn("list", F.xxhash64("ids"))
-    filled = numbered.select("list", F.explode("ids").alias("id")).join(fps, "id").groupBy("list").agg(F.collect_list(F.struct("id", "fp")).alias("m"))
-    return bucket_links(filled.select(F.col("m.id").alias("ids"), F.col("m.fp").alias("fps")), differ, LANES).distinct()
+    differ, found = widest(similarity), None
+    known = fps.withColumn("root", F.col("id"))
+    for first, last in ((0, FIRST_KEYS), (FIRST_KEYS, KEYS)):
+        keys = wide_keys(known, first, last)
+        mixed = cut(keys.groupBy("code", "bits").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("code", "bits"))
+        members = cut(keys.select("code", "bits", "id").join(mixed, ["code", "bits"]))
+        members = members.join(members.groupBy("code", "bits").agg(F.count("*").alias("n")), ["code", "bits"])
+        small = members.filter(F.col("n") <= BUCKET).select("code", "bits", F.lit(0).cast("long").alias("run"), "id")
+        large = sorted_runs(members.filter(F.col("n") > BUCKET), fps)
+        # Buckets with the same members are compared once.
+        lists = small.union(large).groupBy("code", "bits", "run").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+        numbered = lists.select("ids").distinct().withColumn("list", F.xxhash64("ids"))
+        filled = numbered.select("list", F.explode("ids").alias("id")).join(fps, "id").groupBy("list")
+        filled = filled.agg(F.collect_list(F.struct("id", "fp")).alias("m"))
+        links = bucket_links(filled.select(F.col("m.id").alias("ids"), F.col("m.fp").alias("fps")), differ, LANES)
+        links = cut(links.distinct())
+        found = links if found is None else found.union(links)
+        if last < KEYS:
+            roots = components(found)
+            same = roots.select(F.col("node").alias("id"), "root")
+            known = fps.join(same, "id", "left").select("id", F.coalesce("root", "id").alias("root"), "fp")
+    return found.distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
