@@ -315,6 +315,8 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", keep: tuple[str,
                     columns.append(pa.array(bpe.decode(ids, bounds), pa.binary()).cast(pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
                 done += n
+        # Python workers live on after a task; the words it met need not.
+        bpe.forget()
 
     return source.mapInArrow(run, schema)
 

@@ -84,6 +84,8 @@ def token_pieces(
                     columns.append(pa.ListArray.from_arrays(pa.array([*spans, len(ids)], pa.int32()), pa.array(ids, pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
                 done += len(offsets) - 1
+        # Python workers live on after a task; the words it met need not.
+        bpe.forget()
 
     return source.mapInArrow(run, schema)
 
