@@ -26,6 +26,8 @@ SEED = 42
 DIFFER = 3
 BLOCKS = 6
 BUCKET = 256
+#: Fingerprints up to which all pairs are compared at once.
+MATRIX = 256
 CHOICES = list(combinations(range(BLOCKS), BLOCKS - DIFFER))
 
 
@@ -109,6 +111,8 @@ def finer_keys(members: DataFrame, level: int) -> DataFrame:
 def forest(fps: np.ndarray, differ: int) -> list[tuple[int, int]]:
     """Places of links that join what is connected among a few fingerprints (rows of 64-bit lanes), each verified."""
     n = len(fps)
+    if n > MATRIX:
+        return whole_forest(fps, differ)
     close = np.bitwise_count(fps[:, None, :] ^ fps[None, :, :]).sum(axis=2, dtype=np.int64) <= differ
     left, links = np.ones(n, bool), []
     for seed in range(n):
@@ -125,10 +129,42 @@ def forest(fps: np.ndarray, differ: int) -> list[tuple[int, int]]:
     return links
 
 
+def whole_forest(fps: np.ndarray, differ: int) -> list[tuple[int, int]]:
+    """As forest, row by row, so that memory grows with the fingerprints and not with their pairs."""
+    left, links = np.arange(len(fps)), []
+    while len(left):
+        edge, left = [int(left[0])], left[1:]
+        while edge and len(left):
+            here = edge.pop()
+            close = np.bitwise_count(fps[left] ^ fps[here]).sum(axis=1, dtype=np.int64) <= differ
+            near = left[close].tolist()
+            left = left[~close]
+            links += [(here, x) for x in near]
+            edge += near
+    return links
+
+
+def cross_forest(fps: np.ndarray, first: int, differ: int) -> list[tuple[int, int]]:
+    """The same for links between the first so many fingerprints and the others; memory grows with their number only."""
+    left, links = [np.arange(first), np.arange(first, len(fps))], []
+    while len(left[0]) and len(left[1]):
+        edge, left[0] = [int(left[0][0])], left[0][1:]
+        while edge:
+            here = edge.pop()
+            other = int(here < first)
+            close = np.bitwise_count(fps[left[other]] ^ fps[here]).sum(axis=1, dtype=np.int64) <= differ
+            near = left[other][close].tolist()
+            left[other] = left[other][~close]
+            links += [(here, x) for x in near]
+            edge += near
+    return links
+
+
 def bucket_links(buckets: DataFrame, differ: int, lanes: int = 1) -> DataFrame:
     """Links (a, b) within each row's lists `ids` and `fps` (lanes longs for each id).
 
-    A task leaves out links between ids that its earlier links connect already.
+    Where a column `first` is above 0, only links between the first so many ids and the others count. A task leaves out
+    links between ids that its earlier links connect already.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,13 +187,17 @@ def bucket_links(buckets: DataFrame, differ: int, lanes: int = 1) -> DataFrame:
             while pa.types.is_list(fps.type):
                 fps = fps.flatten()
             fps = fps.to_numpy().view(np.uint64).reshape(-1, lanes)
-            places = [(a + x, a + y) for a, b in zip(at, at[1:]) for x, y in forest(fps[a:b], differ)]
+            places = []
+            for a, b, first in zip(at, at[1:], batch.column(2).to_pylist()):
+                found = cross_forest(fps[a:b], first, differ) if first else forest(fps[a:b], differ)
+                places += [(a + x, a + y) for x, y in found]
             pairs = ids[np.array(places, np.int64).reshape(-1, 2)].tolist()
             links = np.array([p for p in pairs if joins(*p)], np.int64).reshape(-1, 2)
             columns = [pa.array(f(links[:, 0], links[:, 1])) for f in (np.minimum, np.maximum)]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
-    return buckets.select("ids", "fps").mapInArrow(run, "a long, b long")
+    first = F.col("first") if "first" in buckets.columns else F.lit(0)
+    return buckets.select("ids", "fps", first.cast("long")).mapInArrow(run, "a long, b long")
 
 
 def close_links(fps: DataFrame) -> DataFrame:
@@ -183,14 +223,13 @@ def close_links(fps: DataFrame) -> DataFrame:
 LANES = 16
 WIDE_BLOCK = 8
 N_BLOCKS = LANES * 64 // WIDE_BLOCK
-#: Keys of three blocks that a fingerprint has, and the following blocks of a key's order that sort a large bucket.
+#: Keys of three blocks that a fingerprint has.
 KEYS = 160
 KEY_BLOCKS = 3
 #: Keys looked at first; the others need only tell components of these apart.
 FIRST_KEYS = 40
-SORT_BLOCKS = 8
-#: Members of a bucket that are numbered by one task.
-SORTED_TOGETHER = 1 << 16
+#: A bucket with more members than this is cut into parts of about as many, and parts are compared with each other.
+PART = 1024
 
 
 def widest(similarity: float) -> int:
@@ -202,7 +241,7 @@ def widest(similarity: float) -> int:
 
 @cache
 def block_orders() -> np.ndarray:
-    """For each key an order of all blocks that begins with the key's own; no two keys have the same."""
+    """For each key an order of all blocks that begins with the key's own; no two keys have the same blocks."""
     draw, seen, out = np.random.default_rng(SEED), set(), []
     while len(out) < KEYS:
         order = draw.permutation(N_BLOCKS)
@@ -230,62 +269,81 @@ def wide_keys(fps: DataFrame, first: int, last: int) -> DataFrame:
     return fps.select("id", "root", "fp").mapInArrow(run, "code int, bits int, id long, root long")
 
 
-def sorted_runs(members: DataFrame, fps: DataFrame) -> DataFrame:
-    """(code, bits, run, id): members of large buckets (code, bits, n, id) by how alike the blocks after their key are.
+def mixed_members(keys: DataFrame) -> DataFrame:
+    """(code, bits, n, id, root): members of buckets that hold more than one root, with the number of members."""
+    sums = keys.groupBy("code", "bits").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"))
+    mixed = cut(sums.filter("a <> b").select("code", "bits", "n"))
+    return cut(keys.join(mixed, ["code", "bits"]).select("code", "bits", "n", "id", "root"))
 
-    They are numbered in the order of these blocks and cut into runs; each run comes with the one before it. A bucket that
-    is too large for one task is first split by the leading bits of those blocks.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            code, n = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            blocks = blocks_of(batch.column(4), len(batch))
-            after = block_orders()[code, KEY_BLOCKS : KEY_BLOCKS + SORT_BLOCKS]
-            order = np.take_along_axis(blocks, after, axis=1).copy().view(">u8").ravel().astype(np.uint64) >> np.uint64(1)
-            split = np.ceil(np.log2(np.maximum(n / SORTED_TOGETHER, 1))).astype(np.uint64)
-            part = np.where(split > 0, order >> (np.uint64(63) - split), np.uint64(0))
-            columns = [batch.column(0), batch.column(1), pa.array(part.astype(np.int64)), pa.array(order.astype(np.int64)), batch.column(3)]
-            yield pa.RecordBatch.from_arrays(columns, names=["code", "bits", "part", "place", "id"])
-
-    known = members.join(fps, "id").select("code", "bits", "n", "id", "fp")
-    placed = known.mapInArrow(run, "code int, bits int, part long, place long, id long")
-    nth = F.row_number().over(Window.partitionBy("code", "bits", "part").orderBy("place", "id")) - 1
-    runs = placed.withColumn("run", F.floor(nth / (BUCKET // 2)).cast("long"))
-    both = F.explode(F.array("run", F.col("run") + 1))
-    return runs.select("code", "bits", "part", both.alias("run"), "id").select("code", "bits", F.xxhash64("part", "run").alias("run"), "id")
+def filled_lists(lists: DataFrame, fps: DataFrame) -> DataFrame:
+    """(list, ids, fps) of each different list of ids; buckets with the same members become one."""
+    numbered = lists.select("ids").distinct().withColumn("list", F.xxhash64("ids"))
+    filled = numbered.select("list", F.explode("ids").alias("id")).join(fps, "id").groupBy("list")
+    return filled.agg(F.collect_list(F.struct("id", "fp")).alias("m")).select("list", F.col("m.id").alias("ids"), F.col("m.fp").alias("fps"))
+
+
+def inner_links(members: DataFrame, fps: DataFrame, differ: int) -> DataFrame:
+    """Links among members (code, bits, part, id) of the same part of a bucket."""
+    lists = members.groupBy("code", "bits", "part").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    return bucket_links(filled_lists(lists, fps), differ, LANES)
+
+
+def cross_links(members: DataFrame, fps: DataFrame, differ: int) -> DataFrame | None:
+    """Links between members (code, bits, n, id, root) of different roots in large buckets: every such pair is compared.
+
+    A root with many members in a bucket has parts of its own, the others are dealt to parts by their root, so members of
+    one part are of one root or were in one list. Each two parts of a bucket meet as one row, unless both are of the same
+    root: a component that fills a bucket meets only what is not yet part of it.
+    """
+    sizes = members.groupBy("code", "bits", "root").agg(F.count("*").alias("m"))
+    wide = F.col("m") >= PART
+    totals = sizes.groupBy("code", "bits").agg(F.count("*").alias("roots"), F.sum(F.when(~wide, F.col("m")).otherwise(0)).alias("rest"))
+    sizes = sizes.join(totals.filter("roots > 1"), ["code", "bits"]).withColumn("own", F.when(wide, F.col("root")))
+    by_id = F.pmod(F.xxhash64("id"), F.greatest(F.ceil(F.col("m") / PART), F.lit(1)))
+    by_root = F.pmod(F.xxhash64("root"), F.greatest(F.ceil(F.col("rest") / PART), F.lit(1)))
+    dealt = members.join(sizes, ["code", "bits", "root"]).withColumn("part", F.when(wide, by_id).otherwise(by_root))
+    lists = dealt.groupBy("code", "bits", "own", "part").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    lists = cut(lists.withColumn("list", F.xxhash64("ids")))
+    if lists.isEmpty():
+        return None
+    filled = cut(filled_lists(lists, fps))
+    rest = lists.filter(F.col("own").isNull()).select("list").distinct()
+    inner = filled.join(rest, "list", "left_semi").select("ids", "fps", F.lit(0).alias("first"))
+    one, two = ([F.col(c).alias(f"{c}_{x}") for c in ("own", "part", "list")] for x in "ab")
+    pairs = lists.select("code", "bits", *one).join(lists.select("code", "bits", *two), ["code", "bits"])
+    # Each two once; those without a root of their own have null there, which counts as different from any root.
+    ordered = F.struct(F.col("own_a").isNull(), "own_a", "part_a") < F.struct(F.col("own_b").isNull(), "own_b", "part_b")
+    pairs = pairs.filter(ordered & ~F.coalesce(F.col("own_a") == F.col("own_b"), F.lit(False)))
+    pairs = pairs.select(F.least("list_a", "list_b").alias("list_a"), F.greatest("list_a", "list_b").alias("list_b")).distinct()
+    half = lambda x: filled.select(F.col("list").alias(f"list_{x}"), F.col("ids").alias(f"ids_{x}"), F.col("fps").alias(f"fps_{x}"))
+    met = pairs.join(half("a"), "list_a").join(half("b"), "list_b")
+    met = met.select(F.concat("ids_a", "ids_b").alias("ids"), F.concat("fps_a", "fps_b").alias("fps"), F.size("ids_a").alias("first"))
+    return bucket_links(inner.union(met), differ, LANES)
 
 
 def similar_links(fps: DataFrame, similarity: float) -> DataFrame:
     """Verified links (a, b) between ids of wide fingerprints; input: (id, fp), each id once.
 
-    Two texts of the similarity share one of the keys in about 19 of 20 cases, more similar ones nearly always. Within a
-    bucket all are compared; in a large one each member meets the members next to it by the blocks that follow, in an
-    order of its own for every key, so that the work grows with the members and not with their pairs. Only components are
-    wanted, so buckets whose members are all of one component by the first keys are not compared by the others.
+    Two texts of the similarity share one of the keys in about 19 of 20 cases, more similar ones nearly always. All that
+    share a key and are within the bound are connected by the links, whatever the size of their bucket. Only components are
+    wanted, so what the first keys have connected is not compared again: first the members of each part of a bucket are,
+    then, in buckets whose members are not all of one component, those of different components. In a large bucket without
+    components that is every pair: comparisons then grow with the square of its members, rows with that of its parts.
     """
-    differ, found = widest(similarity), None
-    known = fps.withColumn("root", F.col("id"))
-    for first, last in ((0, FIRST_KEYS), (FIRST_KEYS, KEYS)):
-        keys = wide_keys(known, first, last)
-        mixed = cut(keys.groupBy("code", "bits").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("code", "bits"))
-        members = cut(keys.select("code", "bits", "id").join(mixed, ["code", "bits"]))
-        members = members.join(members.groupBy("code", "bits").agg(F.count("*").alias("n")), ["code", "bits"])
-        small = members.filter(F.col("n") <= BUCKET).select("code", "bits", F.lit(0).cast("long").alias("run"), "id")
-        large = sorted_runs(members.filter(F.col("n") > BUCKET), fps)
-        # Buckets with the same members are compared once.
-        lists = small.union(large).groupBy("code", "bits", "run").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-        numbered = lists.select("ids").distinct().withColumn("list", F.xxhash64("ids"))
-        filled = numbered.select("list", F.explode("ids").alias("id")).join(fps, "id").groupBy("list")
-        filled = filled.agg(F.collect_list(F.struct("id", "fp")).alias("m"))
-        links = bucket_links(filled.select(F.col("m.id").alias("ids"), F.col("m.fp").alias("fps")), differ, LANES)
-        links = cut(links.distinct())
-        found = links if found is None else found.union(links)
-        if last < KEYS:
-            roots = components(found)
-            same = roots.select(F.col("node").alias("id"), "root")
-            known = fps.join(same, "id", "left").select("id", F.coalesce("root", "id").alias("root"), "fp")
-    return found.distinct()
+    differ = widest(similarity)
+    first = mixed_members(wide_keys(fps.withColumn("root", F.col("id")), 0, FIRST_KEYS))
+    part = F.pmod(F.xxhash64("id", "code"), F.ceil(F.col("n") / PART))
+    found = cut(inner_links(first.withColumn("part", part), fps, differ).distinct())
+    roots = components(found).select(F.col("node").alias("id"), "root")
+    rooted = lambda rows: rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    later = mixed_members(wide_keys(rooted(fps), FIRST_KEYS, KEYS))
+    small = later.filter(F.col("n") <= PART).withColumn("part", F.lit(0))
+    large = rooted(first.filter(F.col("n") > PART).drop("root")).select(*later.columns).union(later.filter(F.col("n") > PART))
+    across = cross_links(large, fps, differ)
+    links = inner_links(small, fps, differ)
+    links = cut((links if across is None else links.union(across)).distinct())
+    return found.union(links).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -98,6 +98,33 @@ def test_similar_texts(spark):
     assert len({r.component_id for r in got}) >= 60 and all(r.component_id // 10 == r.doc_id // 10 for r in got)
 
 
+def test_large_buckets_of_wide_fingerprints_are_compared_whole(spark, monkeypatch):
+    """Texts that share half of their blocks and differ in the rest, as long boilerplate makes them, each with a near copy."""
+    monkeypatch.setattr(simhash, "BUCKET", 8)
+    monkeypatch.setattr(simhash, "PART", 8, raising=False)
+    draw = np.random.default_rng(3)
+    blocks = draw.permutation(simhash.N_BLOCKS)[: simhash.N_BLOCKS // 2]
+    free = (blocks[:, None] * 8 + np.arange(8)).ravel()
+    base = draw.integers(0, 2, 1024, dtype=np.uint8)
+
+    def changed(bits, n):
+        bits = bits.copy()
+        bits[draw.choice(free, n, replace=False)] ^= 1
+        return bits
+
+    texts = [changed(base, 180) for _ in range(150)]
+    texts += [changed(t, 170) for t in texts] + [changed(texts[0], 20) for _ in range(40)]
+    rows = np.packbits(np.array(texts), axis=1)
+    keys = rows[:, simhash.block_orders()[:, : simhash.KEY_BLOCKS]]
+    met = lambda a, b: (keys[a] == keys[b]).all(axis=1).any()
+    near = [(a, b) for a in range(len(rows)) for b in range(a) if np.bitwise_count(rows[a] ^ rows[b]).sum() <= simhash.widest(0.8) and met(a, b)]
+    want = linked(len(rows), near)
+    assert 100 < len(set(want)) < 200
+    fps = rows.view(">i8").astype(np.int64).tolist()
+    links = simhash.similar_links(spark.createDataFrame(list(enumerate(fps)), "id long, fp array<long>"), 0.8)
+    assert linked(len(rows), [(r.a, r.b) for r in links.collect()]) == want
+
+
 # ---- packing ------------------------------------------------------------------------------------------------------
 
 
