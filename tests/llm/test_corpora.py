@@ -289,6 +289,13 @@ def test_statistics_remove_what_a_host_repeats(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("tag", ["article", "p"])
+def test_depth_does_not_wear_off(spark, tag):
+    rows = [(i, f"http://deep.org/{i}", f"<html><body>{'<div>' * 20}<{tag}>Text {i}</{tag}>{'</div>' * 20}<p>Same</p></body></html>") for i in range(10)]
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: f"Text {i}" for i in range(10)}
+
+
 def test_op7_is_the_article(spark):
     import re
     from html import unescape
