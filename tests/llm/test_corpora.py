@@ -289,6 +289,24 @@ def test_statistics_remove_what_a_host_repeats(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='layout has-sidebar'><article>Text</article><div class='sidebar'>no</div></div>",
+        "<main class='no-sidebar'>Text<div class='comment-list'>no</div></main>",
+        "<article class='post comment-open'>Text</article>",
+        "<div id='page' class='ad-free'><p>Text</p><div id='site-footer'>no</div></div>",
+        "<div class='widget'><article>Text<p class='share'>no</p></article></div><div class='related'>no</div>",
+        "<div class='related'><main class='banner'>Text</main></div>",
+        "<article>Text</article><div class='comments'><article class='comment'>no</article></div>",
+        "<main>Text<div id='comments'><article class='comment-body'>no</article></div></main>",
+        "<div class='fixed-layout-header'><p>Text</p></div><div class='cookie-banner'>no</div>",
+    ],
+)
+def test_names_are_noise_as_wholes_and_below_articles(page):
+    assert html.main_text(html.parse(f"<html><body>{page}</body></html>"), {}) == "Text"
+
+
 @pytest.mark.parametrize("tag", ["article", "p"])
 def test_depth_does_not_wear_off(spark, tag):
     rows = [(i, f"http://deep.org/{i}", f"<html><body>{'<div>' * 20}<{tag}>Text {i}</{tag}>{'</div>' * 20}<p>Same</p></body></html>") for i in range(10)]
