@@ -314,6 +314,19 @@ def test_depth_does_not_wear_off(spark, tag):
     assert {r.page_id: r.text for r in got} == {i: f"Text {i}" for i in range(10)}
 
 
+def test_statistics_count_different_pages(spark):
+    page = "<html><body><h1>Head {0}</h1><p>Text {0}</p></body></html>"
+    rows = [(i, f"http://copies.org/{i}", page.format(i % 4)) for i in range(104)]
+    rows += [(200 + i, "http://one.org/", page.format("x")) for i in range(8)]
+    cells = "".join(f"<td>{'0' if i < 18 else i}</td>" for i in range(20))
+    rows += [(300, "http://table.org/", f"<html><body><table><tr>{cells}</tr></table></body></html>")]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i] == f"Head {i % 4}\nText {i % 4}" for i in range(104))
+    assert all(got[200 + i] == "Head x\nText x" for i in range(8))
+    assert got[300].split("\n") == ["0"] * 18 + ["18", "19"]
+
+
 def test_op7_is_the_article(spark):
     import re
     from html import unescape
