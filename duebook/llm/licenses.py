@@ -86,6 +86,7 @@ FOUND = T.StructType(
 
 #: How tightly the operators bind.
 BINDS = {"or": 1, "and": 2, "with": 3}
+IDENTIFIER = re.compile(r"[a-z0-9][a-z0-9.+:-]*")
 
 
 @dataclass(frozen=True)
@@ -120,7 +121,7 @@ def postfix(expression: str) -> list[str]:
             stack.append(token)
             operand = True
         else:
-            if not operand or not re.fullmatch(r"[a-z0-9][a-z0-9.+:-]*", token):
+            if not operand or not IDENTIFIER.fullmatch(token):
                 raise ValueError(expression)
             out.append(token)
             operand = False
@@ -131,32 +132,54 @@ def postfix(expression: str) -> list[str]:
 
 def evaluate(expression: str) -> Licence:
     """`or` needs one side, `and` both; `with` adds permissions to its left side and names no licence itself."""
-    stack: list[Licence] = []
+    stack: list[tuple[set[str], bool]] = []
     for token in postfix(expression):
         if token in BINDS:
             right, left = stack.pop(), stack.pop()
             if token == "with":
                 stack.append(left)
             else:
-                either = left.permissive or right.permissive if token == "or" else left.permissive and right.permissive
-                stack.append(Licence(left.labels | right.labels, either))
+                either = left[1] or right[1] if token == "or" else left[1] and right[1]
+                few, many = sorted((left[0], right[0]), key=len)
+                many |= few
+                stack.append((many, either))
         else:
             label = SAME_AS.get(token.rstrip("+"), token.rstrip("+"))
-            stack.append(Licence(frozenset({label}), label in PERMISSIVE))
-    return stack.pop()
+            stack.append(({label}, label in PERMISSIVE))
+    labels, permissive = stack.pop()
+    return Licence(frozenset(labels), permissive)
 
 
 def tag_expression(rest: str) -> str | None:
-    """The longest well-formed expression at the start of what follows a tag."""
+    """The longest well-formed expression at the start of what follows a tag, found in one pass over all tokens."""
     tokens = re.findall(r"[()]|[^\s()]+", rest)
-    for n in range(min(len(tokens), 64), 0, -1):
-        text = " ".join(tokens[:n]).rstrip(",;.*/ ")
-        try:
-            postfix(text)
-        except ValueError:
-            continue
-        return text
-    return None
+    best, depth, operand = None, 0, True
+    for n, token in enumerate(tokens):
+        word = token.lower()
+        if token == "(":
+            if not operand:
+                break
+            depth += 1
+        elif token == ")":
+            if operand or not depth:
+                break
+            depth -= 1
+            if not depth:
+                best = n, token
+        elif word in BINDS:
+            if operand:
+                break
+            operand = True
+        else:
+            if not operand:
+                break
+            ended = token.rstrip(",;.*/ ")
+            if not depth and ended.lower() not in BINDS and IDENTIFIER.fullmatch(ended.lower()):
+                best = n, ended
+            if not IDENTIFIER.fullmatch(word):
+                break
+            operand = False
+    return " ".join([*tokens[: best[0]], best[1]]) if best else None
 
 
 # ---- texts --------------------------------------------------------------------------------------------------------

@@ -85,6 +85,31 @@ def test_expressions():
             licenses.postfix(wrong)
 
 
+def test_expressions_of_any_length():
+    flat = " AND ".join(["MIT"] * 40 + ["GPL-3.0-only"] + [f"own-{i}" for i in range(1000)])
+    nested = f"( {' OR '.join(f'own-{i}' for i in range(100))} )"
+    assert licenses.tag_expression(flat) == flat and licenses.tag_expression(f"{nested} */") == nested
+    text = f"SPDX-License-Identifier: {flat}"
+    words = " ".join(re.findall("[a-z0-9]+", text.lower()))
+    _, _, _, _, labels, _, permissive, _ = licenses.scan(text.encode(), f" {words} ")
+    assert len(labels) == 1002 and "gpl-3" in labels and not permissive
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["(", ")", "or", "and", "with", "mit", "mit.", "x,", "and.", "or;", "*/", "b+"]), max_size=12))
+def test_the_expression_is_the_longest_well_formed_prefix(tokens):
+    want = None
+    for n in range(len(tokens), 0, -1):
+        text = " ".join(tokens[:n]).rstrip(",;.*/ ")
+        try:
+            licenses.postfix(text)
+        except ValueError:
+            continue
+        want = text
+        break
+    assert licenses.tag_expression(" ".join(tokens)) == want
+
+
 def test_licenses_of_texts(frame, edges, nothing):
     texts = {
         1: "Under the MIT license, under the mit-license; and Apache License, Version 2.0",
