@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.llm import bpe, html, language, licenses, neighbours, packing, quality, sharding, simhash, warc
+from duebook.llm import bpe, html, language, licenses, manifest, neighbours, packing, pieces, quality, sharding, simhash, warc
 from duebook.llm.common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -250,3 +250,95 @@ with crawl as (
 select record_id, canonical_url, captured, s.found as resolved_id, outcome, header_lines
 from judged left join settled s using (record_id) left join lines using (record_id)
 """
+
+
+@query
+def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole documents encoded and decoded, as digests."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    done = pieces.encode_texts(table(spark, folder, "documents"), path, decode=True)
+    return done.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, proof and roots of every document, and what a tampered document's proof comes to."""
+    documents = table(spark, folder, "documents")
+    picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    text = F.when(picked, F.translate("text", UPPER, LOWER))
+    made = manifest.manifest(documents, other={"text": text})
+    folded = manifest.folded(F.coalesce("other", "leaf"), F.col("above"))
+    return made.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        manifest.proof(F.col("above")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _crc32(value: str) -> str:
+    """Unsigned CRC-32 of an ASCII string in DuckDB SQL: each byte, then eight shifts."""
+    steps = f"flatten(list_transform(string_split({value}, ''), lambda ch: [ascii(ch)::bigint, 0, 0, 0, 0, 0, 0, 0]))"
+    step = "lambda c, b: xor(xor(c, b) >> 1, case when xor(c, b) & 1 = 1 then 3988292384 else 0 end)"
+    return f"xor(list_reduce({steps}, {step}, 4294967295::bigint), 4294967295)"
+
+
+def _field(name: str) -> str:
+    return f"coalesce(strlen({name}::varchar) || ':' || {name}::varchar, '-')"
+
+
+ORACLE["op13_manifest"] = f"""
+with recursive docs as (
+    select row_number() over () as r, coalesce(':' || source, '-') as tree, doc_id,
+        {_field("doc_id")} || {_field("source")} || {_field("lang")} || {_field("n_chars")} as head, text,
+        doc_id is not null and {_crc32("coalesce(doc_id, 0)::varchar")} % 5 = 0 as picked
+    from documents
+), leaves as (
+    select r, tree, doc_id, sha256(head || {_field("text")}) as leaf,
+        case when picked then sha256(head || {_field(f"translate(text, '{UPPER}', '{LOWER}')")}) end as other
+    from docs
+), placed as (
+    select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by tree) as total from leaves
+), nodes as (
+    select 0 as lvl, tree, pos, total, leaf as digest from placed
+    union all
+    select lvl + 1, tree, pos // 16, (any_value(total) + 15) // 16, sha256(string_agg(digest, '' order by pos)) from nodes
+    where total > 1 group by lvl, tree, pos // 16
+), subroots as (
+    select tree, digest, row_number() over (order by encode(tree)) - 1 as pos, count(*) over () as total from nodes where total = 1
+), tops as (
+    select 0 as lvl, pos, total, digest from subroots
+    union all
+    select lvl + 1, pos // 16, (any_value(total) + 15) // 16, sha256(string_agg(digest, '' order by pos)) from tops where total > 1 group by lvl, pos // 16
+), sides as (
+    select tree, lvl, pos, coalesce(string_agg(digest, '') over (w rows between unbounded preceding and 1 preceding), '') as lhs,
+        coalesce(string_agg(digest, '') over (w rows between 1 following and unbounded following), '') as rhs
+    from nodes window w as (partition by tree, lvl, pos // 16 order by pos)
+), top_sides as (
+    select lvl, pos, coalesce(string_agg(digest, '') over (w rows between unbounded preceding and 1 preceding), '') as lhs,
+        coalesce(string_agg(digest, '') over (w rows between 1 following and unbounded following), '') as rhs
+    from tops window w as (partition by lvl, pos // 16 order by pos)
+), walks as (
+    select r, tree, 0 as lvl, pos, total, '' as proof, coalesce(other, leaf) as node from placed
+    union all
+    select r, tree, lvl + 1, pos // 16, (total + 15) // 16, proof || lhs || rhs, sha256(lhs || node || rhs)
+    from walks join sides using (tree, lvl, pos) where total > 1
+), climbs as (
+    select r, 0 as lvl, s.pos, s.total, proof, node from walks w join subroots s using (tree) where w.total = 1
+    union all
+    select r, lvl + 1, pos // 16, (total + 15) // 16, proof || lhs || rhs, sha256(lhs || node || rhs)
+    from climbs join top_sides using (lvl, pos) where total > 1
+)
+select doc_id, leaf, s.digest as subroot, t.digest as root, sha256(proof) as proof_sha256, node as folded_root, node = t.digest as verified
+from placed p join climbs w on w.r = p.r and w.total = 1 join subroots s on s.tree = p.tree join tops t on t.total = 1
+"""
