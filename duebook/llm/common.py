@@ -86,8 +86,10 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate data that the session names; where it names none, one in its warehouse."""
+    """The folder for intermediate data that the session names. Only a local session may name none; it has one in its warehouse."""
     given = spark.conf.get("spark.checkpoint.dir", None)
+    if not given and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return (given or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints").rstrip("/")
 
 
@@ -99,6 +101,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(*frames: DataFrame | None) -> None:
+    """Delete what cut frames keep. Nothing that still is to be computed may read them."""
+    for df in frames:
+        if df is not None:
+            file = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+            if file.isDefined():
+                delete(df.sparkSession, file.get())
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder that this library wrote."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,14 +1,18 @@
 """Main text of web pages by site style trees.
 
-Pages of a host are merged into one tree of element paths. Each path's importance is an entropy: of the layouts its
-elements have below them (presentation) or of the texts they hold (content), from 0 (the same on every page) to 1
-(different on every page). It is counted by grouping (host, path, value), so no host's pages ever meet in one task. Each
-page gets back which of its paths are unimportant; its branches are weighed from the leaves up and low ones removed. A
-branch is worth as much as the most important element in it, however deep that lies.
-
-Elements that declare what they are have their importance fixed: menus, headers, footers, sidebars, notices, adverts,
-forms and comments are worth 0, an article is worth 1. Where a page declares an article, all outside it is worth 0. Names
-count as wholes, and a declared article or main outranks the names of what is around it.
+Pages of a host are merged into one tree of element paths. A path has two importances, each an entropy from 0 (the same on
+every page) to 1 (different on every page): of presentation, the layouts its elements have below them, and of content, the
+texts they hold. They are counted by grouping (host, path, value), so no host's pages ever meet in one task. Each page gets
+back what its paths are worth; its branches are weighed from the leaves up and low ones removed, inside a declared article
+as outside. A branch is worth as much as the most important element in it, however deep that lies.
+
+Elements that declare what they are have a prior: menus, headers, footers, sidebars, notices, adverts, forms and comments
+are worth 0. Of a declared article and a declared main (or a box named content) the one with more text is the article, and
+all outside it is worth 0; articles inside a main that has more text of its own are teasers. A form that holds the article,
+or most of the page, is no form in this sense. Names count as wholes; inside an article ids are anchors and say nothing,
+and a paragraph that is called an alert or a notice is one of the article's.
+
+All passes over a page are linear in its elements, however deep these lie.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ from pyspark.sql import types as T
 LEAST_PAGES = 8
 #: Branches below this are removed.
 THRESHOLD = 0.3
+#: The largest share of a declared article that statistics may take for template.
+LARGEST_SHARE = 1 / 3
 
 #: Elements of the HTML standard by how they are read.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,6 +63,13 @@ NOISE_WORDS = frozenset(
 )
 #: Inside an article a header is a heading of it and stays.
 HEADER_WORDS = frozenset(("header",))
+#: Inside an article these are names of its own paragraphs.
+CALLOUT_WORDS = frozenset("alert notice notices".split())
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr blockquote pre figure figcaption".split())
+#: Ids and classes of boxes that hold the article where nothing declares it better.
+CONTENT_NAMES = frozenset(
+    "content main-content maincontent page-content article-content article-body post-content post-body entry-content story-body".split()
+)
 #: Words that only say where or what kind of box something is: a name like site-footer or comment-list is noise as its other words are.
 BOX_WORDS = frozenset(
     "area bar block body bottom box btn button buttons center col column container content desktop div fixed form global group header "
@@ -68,7 +81,8 @@ _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>?|<[!?/][^>]*+>?",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_TOLD = frozenset(("class", "id", "role", "itemprop", "hidden"))
 _WORD = re.compile(r"[a-z]+|\d+")
 
 
@@ -77,14 +91,14 @@ class Node:
     tag: str
     parent: int
     words: tuple[str, ...] = ()
-    role: str = ""  # "noise", "article", "main" or nothing
+    role: str = ""  # "noise", "article", "main", "content" or nothing
     named_noise: bool = False  # words of class, id and role say noise, the tag does not
-    children: list[int] = field(default_factory=list)
+    layout: list[str] = field(default_factory=list)  # tags of the children
 
 
 @dataclass
 class Page:
-    nodes: list[Node]
+    nodes: list[Node]  # a parent comes before its children
     texts: list[str]  # of blocks, in page order
     owner: list[int]  # node of each text
 
@@ -96,68 +110,86 @@ def _names_noise(token: str, noise: frozenset[str]) -> bool:
     return bool(told) and noise.issuperset(told)
 
 
-def _role(tag: str, attributes: str, inside_article: bool) -> tuple[tuple[str, ...], str, bool]:
+def _role(tag: str, attributes: str, in_article: bool, in_main: bool) -> tuple[tuple[str, ...], str, bool]:
     """Words of class, id and role, the role that an element declares, and whether these words name noise."""
     words: list[str] = []
     tokens: list[str] = []
-    role, main = "", tag == "main" or tag == "article"
-    if attributes:
-        for name, *values in _ATTRIBUTE.findall(attributes):
-            value = next(filter(None, values), "").lower()
-            name = name.lower()
-            if name == "hidden" and not value:
-                role = "noise"
-            elif name == "itemprop":
-                main |= value == "articlebody"
-            elif name != "hidden":
-                words += _WORD.findall(value)
+    role, declares = "", {"main": "main", "article": "article"}.get(tag, "")
+    for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
+        name = name.lower()
+        if name not in _TOLD:
+            continue
+        value = next(filter(None, values), "").lower()
+        if name == "hidden":
+            role = "noise" if value in ("", "hidden") else role
+        elif name == "itemprop":
+            declares = declares or ("article" if value == "articlebody" else "")
+        else:
+            words += _WORD.findall(value)
+            if name == "role" and value in ("main", "article"):
+                declares = value
+            if name != "role" and not declares and CONTENT_NAMES.intersection(value.split()):
+                declares = "content"
+            if name != "id" or not in_article:
                 tokens += value.split()
-                main |= name == "role" and value in ("main", "article")
-    noise = NOISE_WORDS if inside_article else NOISE_WORDS | HEADER_WORDS
+    inside = in_article or in_main
+    noise = NOISE_WORDS if inside else NOISE_WORDS | HEADER_WORDS
+    if in_article and tag in PROSE:
+        noise = noise - CALLOUT_WORDS
     named = tag not in ("html", "body") and any(_names_noise(t, noise) for t in tokens)
-    if tag in NOISE_TAGS or tag == "header" and not inside_article:
+    if tag in NOISE_TAGS or tag == "header" and not inside:
         role = "noise"
-    if not role and main:
-        role = "main" if tag == "main" or "main" in tokens else "article"
-    return tuple(w for w in dict.fromkeys(words) if not w.isdigit()), role, named
-
-
-def _settle(nodes: list[Node]) -> None:
-    """Elements that words name noise become it, but for those that a declared main or article outranks.
-
-    A main outranks the words of its own and of all around it. So does an article where else none would stand; one that
-    is itself named noise, as comments are, only where no main stands either.
-    """
-
-    def line(i: int) -> list[int]:
-        found = []
-        while i > 0:
-            found.append(i)
-            i = nodes[i].parent
-        return found
+    return tuple(w for w in dict.fromkeys(words) if not w.isdigit()), role or declares, named
+
+
+class Open:
+    """The open elements, with the depths at which each tag, each block and each fence of inline ends lies."""
+
+    def __init__(self):
+        self.nodes, self.tags = [0], ["#"]
+        self.depths: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.fences: list[int] = []
+        self.roles = {"article": 0, "main": 0}
+        self.held: list[str] = [""]
+
+    def push(self, node: int, tag: str, role: str) -> None:
+        depth = len(self.nodes)
+        self.nodes.append(node)
+        self.tags.append(tag)
+        self.held.append(role)
+        self.depths.setdefault(tag, []).append(depth)
+        if tag in BLOCKS:
+            self.blocks.append(depth)
+        if tag in FENCES:
+            self.fences.append(depth)
+        if role in self.roles:
+            self.roles[role] += 1
+
+    def close(self, depth: int) -> None:
+        while len(self.nodes) > depth:
+            self.nodes.pop()
+            tag, role = self.tags.pop(), self.held.pop()
+            self.depths[tag].pop()
+            if tag in BLOCKS:
+                self.blocks.pop()
+            if tag in FENCES:
+                self.fences.pop()
+            if role in self.roles:
+                self.roles[role] -= 1
 
-    declared = [(i, line(i)) for i, n in enumerate(nodes) if n.role in ("main", "article")]
-    declared = [(i, above) for i, above in declared if not any(nodes[j].role == "noise" for j in above)]
-    mains = [above for i, above in declared if nodes[i].role == "main"]
-    articles = [(i, above) for i, above in declared if nodes[i].role == "article"]
+    def deepest(self, tags) -> int:
+        """The depth of the nearest open element of these tags, or 0."""
+        return max((own[-1] for t in tags if (own := self.depths.get(t))), default=0)
 
-    def outrank(lines: list[list[int]]) -> None:
-        for j in {j for above in lines for j in above}:
-            nodes[j].named_noise = False
 
-    outrank(mains)
-    if not any(not any(nodes[j].named_noise for j in above) for _, above in articles):
-        proper = [above for i, above in articles if not nodes[i].named_noise]
-        outrank(proper or ([] if mains else [above for _, above in articles]))
-    for node in nodes:
-        if node.named_noise:
-            node.role = "noise"
+FENCES = frozenset(("td", "th", "table", "article", "main"))
 
 
 def parse(html: str) -> Page:
     """Elements and block texts of a page, in page order; what is not closed is closed as browsers do."""
     nodes, texts, owner = [Node("#", -1)], [], []
-    stack, parts, at = [0], [], 0
+    stack, parts, at = Open(), [], 0
 
     def flush() -> None:
         if parts:
@@ -165,10 +197,7 @@ def parse(html: str) -> Page:
             parts.clear()
             if text:
                 texts.append(text)
-                owner.append(stack[-1])
-
-    def close(depth: int) -> None:
-        del stack[depth:]
+                owner.append(stack.nodes[-1])
 
     while True:
         match = _TOKEN.search(html, at)
@@ -185,13 +214,9 @@ def parse(html: str) -> Page:
         if match[1]:
             if tag in BLOCKS:
                 flush()
-            for depth in range(len(stack) - 1, 0, -1):
-                name = nodes[stack[depth]].tag
-                if name == tag:
-                    close(depth)
-                    break
-                if name in ("td", "th", "table", "article", "main") and tag not in BLOCKS:
-                    break
+            depth = stack.deepest((tag,))
+            if depth and (tag in BLOCKS or not stack.fences or stack.fences[-1] <= depth):
+                stack.close(depth)
             continue
         if tag == "br":
             parts.append(" ")
@@ -200,34 +225,27 @@ def parse(html: str) -> Page:
         if block:
             flush()
         if tag in ENDS_PARAGRAPH:
-            for depth in range(len(stack) - 1, 0, -1):
-                if nodes[stack[depth]].tag == "p":
-                    close(depth)
-                    break
-                if nodes[stack[depth]].tag in BLOCKS:
-                    break
+            if stack.blocks and stack.tags[stack.blocks[-1]] == "p":
+                stack.close(stack.blocks[-1])
         elif tag in GROUPS:
             same, outer = GROUPS[tag]
-            for depth in range(len(stack) - 1, 0, -1):
-                if nodes[stack[depth]].tag in same:
-                    close(depth)
-                    break
-                if nodes[stack[depth]].tag in outer:
-                    break
+            depth = stack.deepest(same)
+            if depth > stack.deepest(outer):
+                stack.close(depth)
         if tag in VOID:
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, at)
             at = end.end() if end else len(html)
             continue
-        words, role, named = _role(tag, match[3], any(nodes[i].role in ("article", "main") for i in stack))
+        words, role, named = _role(tag, match[3], stack.roles["article"] > 0, stack.roles["main"] > 0)
         if (role == "noise" or named) and not block:
             flush()
-        nodes[stack[-1]].children.append(len(nodes))
-        nodes.append(Node(tag, stack[-1], words, role, named))
-        stack.append(len(nodes) - 1)
+        parent = stack.nodes[-1]
+        nodes[parent].layout.append(tag)
+        nodes.append(Node(tag, parent, words, role, named))
+        stack.push(len(nodes) - 1, tag, role)
     flush()
-    _settle(nodes)
     return Page(nodes, texts, owner)
 
 
@@ -240,78 +258,147 @@ def paths(page: Page) -> list[int]:
     return named
 
 
+def below(page: Page, marked: list[bool]) -> list[bool]:
+    """Which nodes have a marked one below them."""
+    has = [False] * len(marked)
+    for i in range(len(marked) - 1, 0, -1):
+        if marked[i] or has[i]:
+            has[page.nodes[i].parent] = True
+    return has
+
+
+def inherited(page: Page, marked: list[bool]) -> list[bool]:
+    """Which nodes are marked or lie in a marked one."""
+    own = list(marked)
+    for i in range(1, len(own)):
+        own[i] = own[i] or own[page.nodes[i].parent]
+    return own
+
+
+def noise_of(page: Page) -> list[bool]:
+    """Elements that are noise themselves: by their tag, or by words that no declared article outranks.
+
+    A main outranks the words of its own and of all around it. So does an article where else none would stand; one that
+    is itself named noise, as comments are, only where no main stands either.
+    """
+    nodes, n = page.nodes, len(page.nodes)
+    hard = [node.role == "noise" for node in nodes]
+    if any(hard[i] and nodes[i].tag == "form" for i in range(n)):
+        hard = _without_page_forms(page, hard)
+    named, in_hard = [node.named_noise for node in nodes], inherited(page, hard)
+    mains = [nodes[i].role == "main" and not in_hard[i] for i in range(n)]
+    articles = [nodes[i].role == "article" and not in_hard[i] for i in range(n)]
+
+    def outrank(chosen: list[bool]) -> None:
+        for i, holds in enumerate(below(page, chosen)):
+            if holds or chosen[i]:
+                named[i] = False
+
+    outrank(mains)
+    in_named = inherited(page, named)
+    if not any(articles[i] and not in_named[i] for i in range(n)):
+        proper = [articles[i] and not named[i] for i in range(n)]
+        outrank(proper if any(proper) or any(mains) else articles)
+    return [h or x for h, x in zip(hard, named)]
+
+
+def _without_page_forms(page: Page, hard: list[bool]) -> list[bool]:
+    """A form around a declared article, or around most of the text that is in no other noise, is part of the page."""
+    nodes, n = page.nodes, len(page.nodes)
+    other = inherited(page, [h and node.tag != "form" for h, node in zip(hard, nodes)])
+    size = [0] * n
+    for text, i in zip(page.texts, page.owner):
+        size[i] += 0 if other[i] else len(text)
+    total = sum(size)
+    for i in range(n - 1, 0, -1):
+        size[nodes[i].parent] += size[i]
+    holds = below(page, [node.role in ("article", "main") and not other[i] for i, node in enumerate(nodes)])
+    return [h and not (node.tag == "form" and (holds[i] or 2 * size[i] > total > 0)) for i, (h, node) in enumerate(zip(hard, nodes))]
+
+
+def article_of(page: Page, noise: list[bool]) -> tuple[list[bool], list[bool]] | None:
+    """The elements that are the article, and those in it that are teasers of others; None where nothing declares one."""
+    nodes, n = page.nodes, len(page.nodes)
+    lost = inherited(page, noise)
+    articles = [nodes[i].role == "article" and not lost[i] for i in range(n)]
+    boxes = [nodes[i].role in ("main", "content") and not lost[i] for i in range(n)]
+    if any(nodes[i].role == "main" for i in range(n) if boxes[i]):
+        boxes = [boxes[i] and nodes[i].role == "main" for i in range(n)]
+    elif not any(articles):
+        return None
+    in_article = inherited(page, articles)
+    whole, own = [0] * n, [0] * n
+    for text, i in zip(page.texts, page.owner):
+        if not lost[i]:
+            whole[i] += len(text)
+            own[i] += 0 if in_article[i] else len(text)
+    for i in range(n - 1, 0, -1):
+        whole[nodes[i].parent] += whole[i]
+        own[nodes[i].parent] += own[i]
+    best_article = max((whole[i] for i in range(n) if articles[i]), default=-1)
+    best_box = max((own[i] for i in range(n) if boxes[i]), default=-1)
+    if best_article >= best_box:
+        return articles, [False] * n
+    chosen = [boxes[i] and (nodes[i].role == "main" or own[i] == best_box) for i in range(n)]
+    return chosen, articles
+
+
 def declared(page: Page) -> list[float | None]:
-    """Importance fixed by what elements declare, inherited downwards; None where statistics decide."""
-    wanted = next((r for r in ("article", "main") if any(_stands(page, i, r) for i in range(len(page.nodes)))), None)
-    fixed: list[float | None] = [None] * len(page.nodes)
-    for i, node in enumerate(page.nodes):
-        above = fixed[node.parent] if i else None
-        if node.role == "noise" or above == 0.0 and i and not _may_hold(page, i, wanted):
-            fixed[i] = 0.0
-        elif above == 1.0 or wanted and node.role == wanted:
-            fixed[i] = 1.0
-        elif wanted:
-            fixed[i] = None if _may_hold(page, i, wanted) else 0.0
-    return fixed
-
-
-def _stands(page: Page, i: int, role: str) -> bool:
-    """Whether a node has the role and lies in no noise."""
-    if page.nodes[i].role != role:
-        return False
-    while i > 0:
-        if page.nodes[i].role == "noise":
-            return False
-        i = page.nodes[i].parent
-    return True
-
-
-def _may_hold(page: Page, i: int, wanted: str | None) -> bool:
-    """Whether a declared article lies below a node that is not noise itself."""
-    if wanted is None or page.nodes[i].role == "noise":
-        return False
-    below = list(page.nodes[i].children)
-    while below:
-        node = page.nodes[j := below.pop()]
-        if node.role == wanted:
-            return True
-        if node.role != "noise":
-            below += page.nodes[j].children
-    return False
+    """What declarations fix: 0 for noise, teasers and all outside a declared article; None where statistics decide."""
+    noise = noise_of(page)
+    found = article_of(page, noise)
+    if found is None:
+        return [0.0 if x else None for x in inherited(page, noise)]
+    chosen, teasers = found
+    inside, around = inherited(page, chosen), below(page, chosen)
+    gone = inherited(page, [x or t for x, t in zip(noise, teasers)])
+    return [0.0 if gone[i] or not (inside[i] or around[i]) else None for i in range(len(page.nodes))]
 
 
 def main_text(page: Page, importance: dict[int, float]) -> str:
-    """The page's blocks without branches of low importance; importance: of paths that statistics speak of."""
-    named, fixed, n = paths(page), declared(page), len(page.nodes)
-    has_article = any(f == 1.0 for f in fixed)
-    worth = [0.0] * n
-    for i in range(n - 1, -1, -1):
-        if fixed[i] is not None:
-            worth[i] = fixed[i]
-            continue
-        own, below = importance.get(named[i], 1.0), page.nodes[i].children
-        worth[i] = max([own, *(worth[c] for c in below)])
-    keep = [True] * n
-    for i in range(1, n):
-        keep[i] = keep[page.nodes[i].parent] and worth[i] >= THRESHOLD
-    return "\n".join(t for t, o in zip(page.texts, page.owner) if keep[o] and (not has_article or fixed[o] == 1.0))
-
+    """The page's blocks without branches of low importance; importance: of paths that statistics speak of.
 
-def features(page: Page) -> list[tuple[int, int, bool]]:
-    """(path, value, is the path's first) of nodes that no declaration fixes, each once; value: layout, or text without children."""
+    In a declared article statistics only remove boxes, and not more than LARGEST_SHARE of the text; where nothing is
+    declared they must leave some. Beyond that, what pages have in common are copies of a text and no template.
+    """
+    named, fixed, nodes = paths(page), declared(page), page.nodes
+    found = article_of(page, noise_of(page))
+    inside = inherited(page, found[0]) if found else [True] * len(nodes)
+    worth = [importance.get(named[i], 1.0) if fixed[i] is None else 0.0 for i in range(len(nodes))]
+    for i in range(len(nodes) - 1, 0, -1):
+        worth[nodes[i].parent] = max(worth[nodes[i].parent], worth[i])
+    low = [i > 0 and fixed[i] is None and worth[i] < THRESHOLD for i in range(len(nodes))]
+    if found:
+        low = [x and inside[nodes[i].parent] and nodes[i].tag not in PROSE for i, x in enumerate(low)]
+    low = inherited(page, low)
+    blocks = [(t, o) for t, o in zip(page.texts, page.owner) if fixed[o] is None and inside[o]]
+    total, removed = sum(len(t) for t, _ in blocks), sum(len(t) for t, o in blocks if low[o])
+    if removed > total * (LARGEST_SHARE if found else 1) or removed == total:
+        return "\n".join(t for t, _ in blocks)
+    return "\n".join(t for t, o in blocks if not low[o])
+
+
+LAYOUT, CONTENT = False, True
+
+
+def features(page: Page) -> list[tuple[int, bool, int, bool]]:
+    """(path, is content, value, is the path's first of its kind) of the nodes that no declaration fixes, each value once.
+
+    Values are the layout below an element, and the text it holds, if any.
+    """
     named, fixed = paths(page), declared(page)
     texts: dict[int, list[str]] = {}
     for text, node in zip(page.texts, page.owner):
         texts.setdefault(node, []).append(text)
-    found: dict[tuple[int, int], bool] = {}
-    met: set[int] = set()
+    found: dict[tuple[int, bool, int], bool] = {}
+    met: set[tuple[int, bool]] = set()
     for i, node in enumerate(page.nodes):
         if i and fixed[i] is None:
-            layout = ">".join(page.nodes[c].tag for c in node.children)
-            value = f"{layout}|{' '.join(texts.get(i, []))}"
-            found.setdefault((named[i], xxhash.xxh64_intdigest(value) - (1 << 63)), named[i] not in met)
-            met.add(named[i])
-    return [(*pair, first) for pair, first in found.items()]
+            held = [(LAYOUT, ">".join(node.layout))] + ([(CONTENT, "\n".join(texts[i]))] if i in texts else [])
+            for kind, value in held:
+                found.setdefault((named[i], kind, xxhash.xxh64_intdigest(value) - (1 << 63)), (named[i], kind) not in met)
+                met.add((named[i], kind))
+    return [(*value, first) for value, first in found.items()]
 
 
 def host_of(url):
@@ -326,44 +413,67 @@ def extract(df: DataFrame, id: str = "page_id", url: str = "url", html: str = "h
     count. Pages of a host with the same html are one page there, and what a page repeats at a path counts once.
     Columns beyond the three are not returned.
     """
-    pages = df.select(df[f"`{id}`"].alias("page_id"), df[f"`{url}`"].alias("url"), df[f"`{html}`"].alias("html"))
-    pages = pages.withColumn("page_key", F.xxhash64("url", "html")).withColumn("site", host_of(F.col("url")))
+    source = F.coalesce(df[f"`{html}`"], F.lit(""))
+    pages = df.select(df[f"`{id}`"].alias("page_id"), df[f"`{url}`"].alias("url"), source.alias("html"))
+    pages = pages.withColumn("html_key", F.xxhash64("html")).withColumn("site", host_of(F.col("url")))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys, sites, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), []
-            for page_id, key, site, source in zip(ids, keys, sites, batch.column(3)):
-                source = source.as_py() or ""
-                html_key = xxhash.xxh64_intdigest(source) - (1 << 63)
-                rows += [(page_id, key, site, html_key, *feature) for feature in features(parse(source))]
-            columns = list(zip(*rows)) or [()] * 7
-            kinds = (batch.schema.field(0).type, pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=schema.names)
-
-    id_type = pages.schema["page_id"].dataType
-    schema = T.StructType([T.StructField("page_id", id_type), T.StructField("page_key", T.LongType()), T.StructField("site", T.StringType())])
-    schema = schema.add("html_key", T.LongType()).add("path", T.LongType()).add("value", T.LongType()).add("first", T.BooleanType())
-    seen = pages.select("page_id", "page_key", "site", "html").mapInArrow(collect, schema)
-    different = seen.select("site", "html_key", "path", "value", "first").distinct()
-    values = different.groupBy("site", "path", "value").agg(F.count("*").alias("n"), F.count_if("first").alias("pages"))
-    # Entropy to the base of the number of values: 1 - sum(n ln n) / (N ln N).
-    total = F.sum("n")
-    entropy = 1 - F.try_divide(F.sum(F.col("n") * F.ln("n")), total * F.ln(total))
-    importance = values.groupBy("site", "path").agg(F.sum("pages").alias("pages"), entropy.alias("worth")).filter(F.col("pages") >= LEAST_PAGES)
-    low = importance.filter(F.col("worth") < 1 - 1e-9).select("site", "path", "worth")
-    known = seen.filter("first").select("page_id", "page_key", "site", "path").join(low, ["site", "path"])
-    weights = known.groupBy("page_id", "page_key").agg(F.collect_set(F.struct("path", "worth")).alias("weights"))
-    w = weights.select(F.col("page_id").alias("_id"), F.col("page_key").alias("_key"), "weights")
-    joined = pages.join(w, pages["page_id"].eqNullSafe(w["_id"]) & (pages["page_key"] == w["_key"]), "left")
+            rows = []
+            for site, key, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                rows += [(site, key, *feature) for feature in features(parse(source.as_py()))]
+            columns = list(zip(*rows)) or [()] * 6
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=SEEN.names)
+
+    # Both uses of `different` read one shuffle: neither filters or drops what the other needs, and nothing is null.
+    different = pages.select("site", "html_key", "html").mapInArrow(collect, SEEN).distinct()
+    low = low_paths(different).select("site", "path")
+    known = different.groupBy("site", "html_key", "path").agg(F.count("*").alias("n")).join(low, ["site", "path"])
+    weights = known.groupBy("site", "html_key").agg(F.collect_list("path").alias("low"))
+    joined = pages.join(weights, ["site", "html_key"], "left").select("page_id", "url", "html", "low")
     out = T.StructType([pages.schema["page_id"], pages.schema["url"], T.StructField("text", T.StringType(), False)])
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for source, weight in zip(batch.column(2), batch.column(3)):
-                known = {x["path"]: x["worth"] for x in weight.as_py() or ()}
-                texts.append(main_text(parse(source.as_py() or ""), known))
+            texts = [main_text(parse(source.as_py()), dict.fromkeys(low.as_py() or (), 0.0)) for source, low in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=out.names)
 
-    done = joined.select("page_id", "url", "html", "weights").mapInArrow(prune, out)
-    return done.withColumn("n_chars", F.length("text").cast("long"))
+    return joined.mapInArrow(prune, out).withColumn("n_chars", F.length("text").cast("long"))
+
+
+SEEN = T.StructType(
+    [
+        T.StructField("site", T.StringType(), False),
+        T.StructField("html_key", T.LongType(), False),
+        T.StructField("path", T.LongType(), False),
+        T.StructField("content", T.BooleanType(), False),
+        T.StructField("value", T.LongType(), False),
+        T.StructField("first", T.BooleanType(), False),
+    ]
+)
+
+
+def importances(different: DataFrame) -> DataFrame:
+    """(site, path, presentation, content) of paths that LEAST_PAGES different pages have.
+
+    content is null where no page has text there, and 1 where fewer than LEAST_PAGES have.
+    """
+    values = different.groupBy("site", "path", "content", "value").agg(F.count("*").alias("n"), F.count_if("first").alias("pages"))
+    # Entropy to the base of the number of values: 1 - sum(n ln n) / (N ln N).
+    total = F.sum("n")
+    entropy = 1 - F.try_divide(F.sum(F.col("n") * F.ln("n")), total * F.ln(total))
+    kinds = values.groupBy("site", "path", "content").agg(F.sum("pages").alias("pages"), entropy.alias("worth"))
+    seen = F.max(F.when(~F.col("content"), F.col("pages")))
+    enough = F.when(F.col("pages") < LEAST_PAGES, 1.0).otherwise(F.coalesce("worth", F.lit(1.0)))
+    both = kinds.groupBy("site", "path").agg(
+        seen.alias("pages"),
+        F.max(F.when(~F.col("content"), enough)).alias("presentation"),
+        F.max(F.when(F.col("content"), enough)).alias("content"),
+    )
+    return both.filter(F.col("pages") >= LEAST_PAGES).drop("pages")
+
+
+def low_paths(different: DataFrame) -> DataFrame:
+    """Paths below THRESHOLD: those with text by it or by their layout, whichever differs more; others by their layout."""
+    return importances(different).filter(F.greatest("presentation", F.coalesce("content", F.lit(0.0))) < THRESHOLD)

@@ -27,7 +27,7 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 ARITY = 16
 #: Bits of an id within a word, of a word within a container, of a node within its parent.
 WORD, CONTAINER, FAN = 6, 6, 10
-#: Container of the rows without an id; below all others, and its ancestors below theirs.
+#: Container of the rows without an id; as a node it is -1, as are its ancestors, and so comes before all others.
 NO_ID = -(1 << 63)
 #: A tie of rows with one id is broken in pieces by so many hex digits of the leaf.
 TIE_DIGITS = 4
@@ -89,13 +89,13 @@ def with_bases(found: DataFrame) -> DataFrame:
     Sums climb a tree of nodes with 1024 children each, as many levels as the range of ids needs, and come down again.
     """
     span = found.filter(F.col("container") != NO_ID).agg(F.min("container"), F.max("container")).first()
-    nodes = [found.select("tree", F.col("container").alias("node"), "rows")]
-    if span[0] is not None:
-        low, high = span[0] >> FAN, span[1] >> FAN
-        while low != high:
-            up = nodes[-1].groupBy("tree", F.shiftright("node", FAN).alias("node")).agg(F.sum("rows").alias("rows"))
-            nodes.append(up)
-            low, high = low >> FAN, high >> FAN
+    low, high = (span[0], span[1]) if span[0] is not None else (0, 0)
+    node = F.when(F.col("container") == NO_ID, -1).otherwise(F.col("container") - low)
+    found = found.withColumn("node", node)
+    nodes, most = [found.select("tree", "node", "rows")], high - low
+    while most >= 1 << FAN:
+        nodes.append(nodes[-1].groupBy("tree", F.shiftright("node", FAN).alias("node")).agg(F.sum("rows").alias("rows")))
+        most >>= FAN
     before = lambda *by: F.coalesce(F.sum("rows").over(Window.partitionBy(*by).orderBy("node").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     top = nodes.pop()
     total = F.sum("rows").over(Window.partitionBy("tree"))
@@ -105,7 +105,7 @@ def with_bases(found: DataFrame) -> DataFrame:
         own = below.select("tree", "node", F.shiftright("node", FAN).alias("parent"), before("tree", F.shiftright("node", FAN)).alias("own"))
         parents = placed.withColumnRenamed("node", "parent")
         placed = own.join(parents, ["tree", "parent"]).select("tree", "node", (F.col("base") + F.col("own")).alias("base"), "total")
-    return found.drop("rows").join(placed.withColumnRenamed("node", "container"), ["tree", "container"])
+    return found.drop("rows").join(placed, ["tree", "node"]).drop("node")
 
 
 def with_rank(rows: DataFrame, directory: DataFrame) -> DataFrame:

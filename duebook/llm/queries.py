@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.llm import bpe, html, language, licenses, manifest, neighbours, packing, pieces, quality, sharding, simhash, warc
+from duebook.llm import bpe, dialogue, html, language, licenses, manifest, neighbours, packing, pieces, quality, sharding, simhash, warc
 from duebook.llm.common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -342,3 +342,96 @@ with recursive docs as (
 select doc_id, leaf, s.digest as subroot, t.digest as root, sha256(proof) as proof_sha256, node as folded_root, node = t.digest as verified
 from placed p join climbs w on w.r = p.r and w.total = 1 join subroots s on s.tree = p.tree join tops t on t.total = 1
 """
+
+
+@query
+def op11_dialogue(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, cheapest audit and repaired text of every conversation after damage."""
+    conversations = table(spark, folder, "conversations")
+    damaged = dialogue.damaged(conversations)
+    found, gaps = dialogue.summaries(dialogue.repair(damaged)), dialogue.gaps(damaged)
+    ids = conversations.select(F.col("conv_id").alias("conv")).distinct()
+    met = ids.join(found, ids["conv"].eqNullSafe(found["id"]), "left").drop("id")
+    met = met.join(gaps, met["conv"].eqNullSafe(gaps["id"]), "left")
+    return met.select(
+        F.col("conv").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def _dialogue_sql() -> str:
+    """The cheapest audits row by row, as a list of (cost, audit, repaired text) for each state."""
+
+    def edited(held: str, cost: str, letter: str, line: str | None) -> str:
+        text = f"{held}.t" if line is None else f"{held}.t || case when {held}.t = '' then '' else chr(10) end || {line}"
+        return f"case when {held} is not null then {{'c': {held}.c + {cost}, 'a': {held}.a || '{letter}', 't': {text}}} end"
+
+    def best(*options: str) -> str:
+        return f"list_sort(list_filter([{', '.join(options)}], lambda x: x is not null))[1]"
+
+    added = {"u": "'user:'", "a": "'assistant:'"}
+    one = lambda held, who: edited(held, "2", "I", added[who])
+    two = lambda held: (
+        f"case when {held} is not null then {{'c': {held}.c + 4, 'a': {held}.a || 'II', "
+        f"'t': {held}.t || case when {held}.t = '' then '' else chr(10) end || 'user:' || chr(10) || 'assistant:'}} end"
+    )
+    gone = lambda held: edited(held, "3", "D", None)
+    told = lambda held, who: f"case when not must then {edited(held, '2 + late', 'R', added[who] + ' || text')} end"
+    kept = lambda held, who: f"case when not must and initial = '{who}' then {edited(held, 'late', 'K', "role || ':' || text")} end"
+    before_user = ("e[1]", "e[2]", "e[4]")
+    reached = f"[st[1], st[2], {best('st[3]', one('st[1]', 'u'), one('st[2]', 'u'), one('st[4]', 'u'))}, {best('st[4]', one('st[3]', 'a'), two('st[1]'), two('st[2]'))}]"
+    after = ", ".join(
+        [
+            best(gone("e[1]")),
+            best(gone("e[2]"), kept("e[1]", "s")),
+            best(gone("e[3]"), *[kept(x, "u") for x in before_user], *[told(x, "u") for x in before_user]),
+            best(gone("e[4]"), kept("e[3]", "a"), told("e[3]", "a")),
+        ]
+    )
+    return rf"""
+with recursive filled as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+        {_crc32("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as kind from conversations
+), damaged as (
+    select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+        case when kind = 1 then '' when kind = 2 then translate(text, '.!?', '') else text end as text,
+        unnest(range(case when kind = 3 then 2 else 1 end)) as time
+    from filled where kind <> 0
+), ordered as (
+    select conv_id, turn, role, text, substr(role, 1, 1) as initial,
+        row_number() over (partition by conv_id order by turn nulls first, role, sha256(strlen(role) || ':' || role || text)) as i
+    from damaged
+), judged as (
+    select *, not regexp_matches(text, '[^\x20\x09-\x0D]') as blank,
+        row_number() over (partition by conv_id, role, text order by i) > 1 as again,
+        not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') as open_end,
+        coalesce(lag(initial) over (partition by conv_id order by i) || initial not in ('su', 'ua', 'au'), false) as odd
+    from ordered
+), rows as (
+    select *, blank or again as must, (open_end and not blank and not again)::int as late from judged
+), counts as (
+    select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (where blank) as blank,
+        count(*) filter (where again and not blank) as duplicate, sum(late) as truncated, count(*) filter (where odd) as illegal, max(i) as n
+    from rows group by conv_id
+), walk as (
+    select conv_id, 0::bigint as i, [{{'c': 0::bigint, 'a': ''::varchar, 't': ''::varchar}}, null, null, null] as st from counts
+    union all
+    select conv_id, i, [{after}] from (
+        select r.conv_id, r.i, r.role, r.text, r.initial, r.must, r.late, {reached} as e
+        from walk w join rows r on r.conv_id is not distinct from w.conv_id and r.i = w.i + 1
+    )
+), ended as (
+    select w.conv_id, {best("st[1]", "st[4]", one("st[3]", "a"), two("st[2]"))} as f
+    from walk w join counts c on c.conv_id is not distinct from w.conv_id and c.n = w.i
+)
+select o.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+    coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(f.c, 0)::bigint as cost,
+    coalesce(f.a, '') as audit, sha256(coalesce(f.t, '')) as repaired_sha256
+from (select distinct conv_id from conversations) o left join counts c on c.conv_id is not distinct from o.conv_id
+    left join ended e on e.conv_id is not distinct from o.conv_id
+"""
+
+
+ORACLE["op11_dialogue"] = _dialogue_sql()

@@ -3,8 +3,9 @@
 Fingerprints that differ in few bits are found by the pigeonhole rule: cut 64 bits into more blocks than bits may differ,
 and two close fingerprints agree on enough whole blocks to share a key made of those. Candidates of a key are verified
 by Hamming distance. A key whose bucket is large is not compared pair by pair: its members get finer keys made of the
-bits not used yet, level by level, until a bucket is small. The last level leaves at most 8 free bits, so its buckets
-hold at most 256 different fingerprints; no bucket is capped and no link between different texts is lost.
+bits not used yet, level by level, until a bucket is small. The last level leaves at most 9 free bits, so its buckets
+hold at most 512 different fingerprints and are compared whole, large or not: no bucket is capped and no link between
+different texts is lost.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from duebook.llm.common import cut, each_text, free_name, text_blocks
+from duebook.llm.common import cut, each_text, free_name, release, text_blocks
 
 SEED = 42
 DIFFER = 3
@@ -28,6 +29,7 @@ BLOCKS = 6
 BUCKET = 256
 #: Fingerprints up to which all pairs are compared at once.
 MATRIX = 256
+LEVELS = 3
 CHOICES = list(combinations(range(BLOCKS), BLOCKS - DIFFER))
 
 
@@ -46,34 +48,23 @@ def shingle_hashes(text: bytes, words_in_shingle: int) -> np.ndarray:
     return np.frombuffer(hashes, ">u8").astype(np.uint64)
 
 
-def fingerprint(text: bytes, words_in_shingle: int, lanes: int = 1) -> np.ndarray:
-    """64 bits for each lane, as longs: a bit is set if it is set in over half of the shingles' hashes.
-
-    The first lane takes the hashes themselves, the others mix them anew.
-    """
+def fingerprint(text: bytes, words_in_shingle: int) -> int:
+    """64 bits as a long: a bit is set if it is set in over half of the shingles' hashes."""
     hashes = shingle_hashes(text, words_in_shingle)
-    set_in = np.zeros(lanes * 64, np.int64)
+    set_in = np.zeros(64, np.int64)
     for a in range(0, len(hashes), 4096):
-        some = hashes[a : a + 4096]
-        wide = np.empty((len(some), lanes), np.uint64)
-        wide[:, 0] = some
-        for lane in range(1, lanes):
-            x = some * np.uint64(2 * lane * 0x5851F42D4C957F2D + 1 & (1 << 64) - 1)
-            x ^= x >> np.uint64(31)
-            x *= np.uint64(0x94D049BB133111EB)
-            wide[:, lane] = x ^ (x >> np.uint64(29))
-        set_in += np.unpackbits(wide.astype(">u8").view(np.uint8), axis=1).sum(axis=0, dtype=np.uint16)
-    return np.packbits(2 * set_in > len(hashes)).view(">i8").astype(np.int64)
-
-
-def fingerprints(text, words_in_shingle: int = 3, lanes: int = 1):
-    """The fingerprint of each whole text, a column: a long, or an array of them for several lanes; null counts as empty."""
-
-    @F.arrow_udf(T.LongType() if lanes == 1 else T.ArrayType(T.LongType()))
+        some = hashes[a : a + 4096, None].astype(">u8").view(np.uint8)
+        set_in += np.unpackbits(some, axis=1).sum(axis=0, dtype=np.uint16)
+    return int(np.packbits(2 * set_in > len(hashes)).view(">i8")[0])
+
+
+def fingerprints(text, words_in_shingle: int = 3):
+    """The fingerprint of each whole text, a column of longs; null counts as empty."""
+
+    @F.arrow_udf(T.LongType())
     def of(texts: pa.Array) -> pa.Array:
-        found = [fingerprint(t, words_in_shingle, lanes) for block in text_blocks(texts) for t in each_text(*block)]
-        flat = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64), pa.int64())
-        return flat if lanes == 1 else pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * lanes, pa.int32()), flat)
+        found = [fingerprint(t, words_in_shingle) for block in text_blocks(texts) for t in each_text(*block)]
+        return pa.array(found, pa.int64())
 
     return of(F.coalesce(text, F.lit("")))
 
@@ -108,35 +99,17 @@ def finer_keys(members: DataFrame, level: int) -> DataFrame:
     return members.select("code", "fp").mapInArrow(run, "code long, bits long, fp long")
 
 
-def forest(fps: np.ndarray, differ: int) -> list[tuple[int, int]]:
-    """Places of links that join what is connected among a few fingerprints (rows of 64-bit lanes), each verified."""
-    n = len(fps)
-    if n > MATRIX:
-        return whole_forest(fps, differ)
-    close = np.bitwise_count(fps[:, None, :] ^ fps[None, :, :]).sum(axis=2, dtype=np.int64) <= differ
-    left, links = np.ones(n, bool), []
-    for seed in range(n):
-        if not left[seed]:
-            continue
-        left[seed] = False
-        edge = [seed]
-        while edge:
-            here = edge.pop()
-            near = np.flatnonzero(close[here] & left).tolist()
-            left[near] = False
-            links += [(here, x) for x in near]
-            edge += near
-    return links
+def forest(fps: np.ndarray) -> list[tuple[int, int]]:
+    """Places of links that join what is connected among different fingerprints, each verified.
 
-
-def whole_forest(fps: np.ndarray, differ: int) -> list[tuple[int, int]]:
-    """As forest, row by row, so that memory grows with the fingerprints and not with their pairs."""
+    Row by row, so that memory grows with the fingerprints and not with their pairs.
+    """
     left, links = np.arange(len(fps)), []
     while len(left):
         edge, left = [int(left[0])], left[1:]
         while edge and len(left):
             here = edge.pop()
-            close = np.bitwise_count(fps[left] ^ fps[here]).sum(axis=1, dtype=np.int64) <= differ
+            close = np.bitwise_count(fps[left] ^ fps[here]) <= DIFFER
             near = left[close].tolist()
             left = left[~close]
             links += [(here, x) for x in near]
@@ -144,28 +117,26 @@ def whole_forest(fps: np.ndarray, differ: int) -> list[tuple[int, int]]:
     return links
 
 
-def cross_forest(fps: np.ndarray, first: int, differ: int) -> list[tuple[int, int]]:
-    """The same for links between the first so many fingerprints and the others; memory grows with their number only."""
-    left, links = [np.arange(first), np.arange(first, len(fps))], []
-    while len(left[0]) and len(left[1]):
-        edge, left[0] = [int(left[0][0])], left[0][1:]
+def matrix_forest(fps: np.ndarray) -> list[tuple[int, int]]:
+    """The same for a few fingerprints, all pairs at once."""
+    close = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= DIFFER
+    left, links = np.ones(len(fps), bool), []
+    for seed in range(len(fps)):
+        if not left[seed]:
+            continue
+        left[seed] = False
+        edge = [seed]
         while edge:
             here = edge.pop()
-            other = int(here < first)
-            close = np.bitwise_count(fps[left[other]] ^ fps[here]).sum(axis=1, dtype=np.int64) <= differ
-            near = left[other][close].tolist()
-            left[other] = left[other][~close]
+            near = np.flatnonzero(close[here] & left).tolist()
+            left[near] = False
             links += [(here, x) for x in near]
             edge += near
     return links
 
 
-def bucket_links(buckets: DataFrame, differ: int, lanes: int = 1) -> DataFrame:
-    """Links (a, b) within each row's lists `ids` and `fps` (lanes longs for each id).
-
-    Where a column `first` is above 0, only links between the first so many ids and the others count. A task leaves out
-    links between ids that its earlier links connect already.
-    """
+def bucket_links(buckets: DataFrame) -> DataFrame:
+    """Links (a, b) within each row's list `fps`. A task leaves out links between what its earlier links connect already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parent: dict[int, int] = {}
@@ -181,171 +152,40 @@ def bucket_links(buckets: DataFrame, differ: int, lanes: int = 1) -> DataFrame:
             return a != b
 
         for batch in batches:
-            ids, at = batch.column(0).flatten().to_numpy(), np.asarray(batch.column(0).offsets).astype(np.int64)
+            lists = batch.column(0)
+            fps, at = lists.flatten().to_numpy(), np.asarray(lists.offsets).astype(np.int64)
             at = at - at[0]
-            fps = batch.column(1).flatten()
-            while pa.types.is_list(fps.type):
-                fps = fps.flatten()
-            fps = fps.to_numpy().view(np.uint64).reshape(-1, lanes)
             places = []
-            for a, b, first in zip(at, at[1:], batch.column(2).to_pylist()):
-                found = cross_forest(fps[a:b], first, differ) if first else forest(fps[a:b], differ)
+            for a, b in zip(at, at[1:]):
+                own = fps[a:b].view(np.uint64)
+                found = matrix_forest(own) if b - a <= MATRIX else forest(own)
                 places += [(a + x, a + y) for x, y in found]
-            pairs = ids[np.array(places, np.int64).reshape(-1, 2)].tolist()
+            pairs = fps[np.array(places, np.int64).reshape(-1, 2)].tolist()
             links = np.array([p for p in pairs if joins(*p)], np.int64).reshape(-1, 2)
             columns = [pa.array(f(links[:, 0], links[:, 1])) for f in (np.minimum, np.maximum)]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
-    first = F.col("first") if "first" in buckets.columns else F.lit(0)
-    return buckets.select("ids", "fps", first.cast("long")).mapInArrow(run, "a long, b long")
+    return buckets.select("fps").mapInArrow(run, "a long, b long")
 
 
 def close_links(fps: DataFrame) -> DataFrame:
     """Verified links (a, b) that connect all fingerprints within DIFFER bits of each other; input: distinct `fp`."""
     members, found = fps.select(F.lit(0).cast("long").alias("code"), "fp"), None
-    for level in (1, 2, 3):
+    for level in range(1, LEVELS + 1):
         keys = finer_keys(members, level)
         shared = cut(keys.groupBy("code", "bits").agg(F.count("*").alias("n")).filter("n > 1"))
-        small = keys.join(shared.filter(F.col("n") <= BUCKET), ["code", "bits"])
-        buckets = small.groupBy("code", "bits").agg(F.collect_list("fp").alias("ids")).select("ids", F.col("ids").alias("fps"))
-        links = bucket_links(buckets, DIFFER)
+        # What the last level leaves large holds 512 at most.
+        whole = shared if level == LEVELS else shared.filter(F.col("n") <= BUCKET)
+        buckets = keys.join(whole, ["code", "bits"]).groupBy("code", "bits").agg(F.collect_list("fp").alias("fps"))
+        links = bucket_links(buckets)
         found = links if found is None else found.union(links)
         large = shared.filter(F.col("n") > BUCKET)
-        if large.isEmpty():
+        if level == LEVELS or large.isEmpty():
             break
         members = keys.join(large, ["code", "bits"], "left_semi")
     return found.distinct()
 
 
-# ---- a chosen similarity ------------------------------------------------------------------------------------------
-
-#: Lanes of a wide fingerprint, and bits in one of its blocks.
-LANES = 16
-WIDE_BLOCK = 8
-N_BLOCKS = LANES * 64 // WIDE_BLOCK
-#: Keys of three blocks that a fingerprint has.
-KEYS = 160
-KEY_BLOCKS = 3
-#: Keys looked at first; the others need only tell components of these apart.
-FIRST_KEYS = 40
-#: A bucket with more members than this is cut into parts of about as many, and parts are compared with each other.
-PART = 1024
-
-
-def widest(similarity: float) -> int:
-    """Differing bits up to which two wide fingerprints count as similar: the expected number and two deviations."""
-    cosine = 2 * similarity / (1 + similarity)
-    share, n = np.arccos(cosine) / np.pi, LANES * 64
-    return int(n * share + 2 * np.sqrt(n * share * (1 - share)))
-
-
-@cache
-def block_orders() -> np.ndarray:
-    """For each key an order of all blocks that begins with the key's own; no two keys have the same blocks."""
-    draw, seen, out = np.random.default_rng(SEED), set(), []
-    while len(out) < KEYS:
-        order = draw.permutation(N_BLOCKS)
-        if (first := frozenset(order[:KEY_BLOCKS].tolist())) not in seen:
-            seen.add(first)
-            out.append(order)
-    return np.array(out)
-
-
-def blocks_of(fps: pa.Array, rows: int) -> np.ndarray:
-    return fps.flatten().to_numpy().astype(">i8").view(np.uint8).reshape(rows, N_BLOCKS)
-
-
-def wide_keys(fps: DataFrame, first: int, last: int) -> DataFrame:
-    """(code, bits, id, root) for a range of the keys of every fingerprint (id, root, fp)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, roots, blocks = batch.column(0), batch.column(1), blocks_of(batch.column(2), len(batch)).astype(np.int32)
-            for k in range(first, last):
-                order = block_orders()[k]
-                bits = blocks[:, order[0]] << 16 | blocks[:, order[1]] << 8 | blocks[:, order[2]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), k, np.int32)), pa.array(bits), ids, roots], names=["code", "bits", "id", "root"])
-
-    return fps.select("id", "root", "fp").mapInArrow(run, "code int, bits int, id long, root long")
-
-
-def mixed_members(keys: DataFrame) -> DataFrame:
-    """(code, bits, n, id, root): members of buckets that hold more than one root, with the number of members."""
-    sums = keys.groupBy("code", "bits").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"))
-    mixed = cut(sums.filter("a <> b").select("code", "bits", "n"))
-    return cut(keys.join(mixed, ["code", "bits"]).select("code", "bits", "n", "id", "root"))
-
-
-def filled_lists(lists: DataFrame, fps: DataFrame) -> DataFrame:
-    """(list, ids, fps) of each different list of ids; buckets with the same members become one."""
-    numbered = lists.select("ids").distinct().withColumn("list", F.xxhash64("ids"))
-    filled = numbered.select("list", F.explode("ids").alias("id")).join(fps, "id").groupBy("list")
-    return filled.agg(F.collect_list(F.struct("id", "fp")).alias("m")).select("list", F.col("m.id").alias("ids"), F.col("m.fp").alias("fps"))
-
-
-def inner_links(members: DataFrame, fps: DataFrame, differ: int) -> DataFrame:
-    """Links among members (code, bits, part, id) of the same part of a bucket."""
-    lists = members.groupBy("code", "bits", "part").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    return bucket_links(filled_lists(lists, fps), differ, LANES)
-
-
-def cross_links(members: DataFrame, fps: DataFrame, differ: int) -> DataFrame | None:
-    """Links between members (code, bits, n, id, root) of different roots in large buckets: every such pair is compared.
-
-    A root with many members in a bucket has parts of its own, the others are dealt to parts by their root, so members of
-    one part are of one root or were in one list. Each two parts of a bucket meet as one row, unless both are of the same
-    root: a component that fills a bucket meets only what is not yet part of it.
-    """
-    sizes = members.groupBy("code", "bits", "root").agg(F.count("*").alias("m"))
-    wide = F.col("m") >= PART
-    totals = sizes.groupBy("code", "bits").agg(F.count("*").alias("roots"), F.sum(F.when(~wide, F.col("m")).otherwise(0)).alias("rest"))
-    sizes = sizes.join(totals.filter("roots > 1"), ["code", "bits"]).withColumn("own", F.when(wide, F.col("root")))
-    by_id = F.pmod(F.xxhash64("id"), F.greatest(F.ceil(F.col("m") / PART), F.lit(1)))
-    by_root = F.pmod(F.xxhash64("root"), F.greatest(F.ceil(F.col("rest") / PART), F.lit(1)))
-    dealt = members.join(sizes, ["code", "bits", "root"]).withColumn("part", F.when(wide, by_id).otherwise(by_root))
-    lists = dealt.groupBy("code", "bits", "own", "part").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    lists = cut(lists.withColumn("list", F.xxhash64("ids")))
-    if lists.isEmpty():
-        return None
-    filled = cut(filled_lists(lists, fps))
-    rest = lists.filter(F.col("own").isNull()).select("list").distinct()
-    inner = filled.join(rest, "list", "left_semi").select("ids", "fps", F.lit(0).alias("first"))
-    one, two = ([F.col(c).alias(f"{c}_{x}") for c in ("own", "part", "list")] for x in "ab")
-    pairs = lists.select("code", "bits", *one).join(lists.select("code", "bits", *two), ["code", "bits"])
-    # Each two once; those without a root of their own have null there, which counts as different from any root.
-    ordered = F.struct(F.col("own_a").isNull(), "own_a", "part_a") < F.struct(F.col("own_b").isNull(), "own_b", "part_b")
-    pairs = pairs.filter(ordered & ~F.coalesce(F.col("own_a") == F.col("own_b"), F.lit(False)))
-    pairs = pairs.select(F.least("list_a", "list_b").alias("list_a"), F.greatest("list_a", "list_b").alias("list_b")).distinct()
-    half = lambda x: filled.select(F.col("list").alias(f"list_{x}"), F.col("ids").alias(f"ids_{x}"), F.col("fps").alias(f"fps_{x}"))
-    met = pairs.join(half("a"), "list_a").join(half("b"), "list_b")
-    met = met.select(F.concat("ids_a", "ids_b").alias("ids"), F.concat("fps_a", "fps_b").alias("fps"), F.size("ids_a").alias("first"))
-    return bucket_links(inner.union(met), differ, LANES)
-
-
-def similar_links(fps: DataFrame, similarity: float) -> DataFrame:
-    """Verified links (a, b) between ids of wide fingerprints; input: (id, fp), each id once.
-
-    Two texts of the similarity share one of the keys in about 19 of 20 cases, more similar ones nearly always. All that
-    share a key and are within the bound are connected by the links, whatever the size of their bucket. Only components are
-    wanted, so what the first keys have connected is not compared again: first the members of each part of a bucket are,
-    then, in buckets whose members are not all of one component, those of different components. In a large bucket without
-    components that is every pair: comparisons then grow with the square of its members, rows with that of its parts.
-    """
-    differ = widest(similarity)
-    first = mixed_members(wide_keys(fps.withColumn("root", F.col("id")), 0, FIRST_KEYS))
-    part = F.pmod(F.xxhash64("id", "code"), F.ceil(F.col("n") / PART))
-    found = cut(inner_links(first.withColumn("part", part), fps, differ).distinct())
-    roots = components(found).select(F.col("node").alias("id"), "root")
-    rooted = lambda rows: rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    later = mixed_members(wide_keys(rooted(fps), FIRST_KEYS, KEYS))
-    small = later.filter(F.col("n") <= PART).withColumn("part", F.lit(0))
-    large = rooted(first.filter(F.col("n") > PART).drop("root")).select(*later.columns).union(later.filter(F.col("n") > PART))
-    across = cross_links(large, fps, differ)
-    links = inner_links(small, fps, differ)
-    links = cut((links if across is None else links.union(across)).distinct())
-    return found.union(links).distinct()
-
-
 def components(links: DataFrame) -> DataFrame:
     """The smallest member (`root`) of each linked node's component; links: (a, b), a <> b.
 
@@ -353,7 +193,7 @@ def components(links: DataFrame) -> DataFrame:
     neighbourhood, then every smaller neighbour is. The number of rounds grows with the logarithm of the longest chain.
     """
     arcs = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    before = None
+    before = last = None
     while True:
         both = arcs.union(arcs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -361,41 +201,35 @@ def components(links: DataFrame) -> DataFrame:
         least = larger.groupBy("u").agg(F.min("v").alias("m"))
         smaller = larger.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         arcs = cut(smaller.union(least.select("u", F.col("m").alias("v"))).distinct())
+        release(last)
+        last = arcs
         state = arcs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             return arcs.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = state
 
 
-def near_duplicates(
-    df: DataFrame, id: str = "doc_id", text: str = "text", words_in_shingle: int = 3, similarity: float | None = None
-) -> DataFrame:
+def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", words_in_shingle: int = 3) -> DataFrame:
     """Per row: `doc_id`, `text_key` (hash of the text), `fp`, `class` and `component_id`, the smallest id reachable.
 
-    Without a similarity, texts whose 64-bit fingerprints (fp, a long) differ in at most DIFFER bits are linked, all of
-    them. With one, texts of that Jaccard similarity of shingles or more are looked for by wide fingerprints (fp, an array
-    of longs); see similar_links. Null and empty texts have fingerprint zero and are linked like others. Repeated rows
-    stay separate rows of one component. A component whose ids are all null has a null component_id. Other columns are
-    not returned, so names cannot clash.
+    Texts whose fingerprints (fp, a long) differ in at most DIFFER bits are linked, all of them. Null and empty texts have
+    fingerprint zero and are linked like others. Repeated rows stay separate rows of one component. A component whose ids
+    are all null has a null component_id. Other columns are not returned, so names cannot clash.
     """
-    text_column, lanes = df[f"`{text}`"], 1 if similarity is None else LANES
-    found = fingerprints(text_column, words_in_shingle, lanes).alias("fp")
-    rows = df.select(df[f"`{id}`"].alias("doc_id"), F.xxhash64(text_column).alias("text_key"), found)
-    rows = cut(rows.withColumn("node", F.col("fp") if similarity is None else F.xxhash64("fp")))
-    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("fp").alias("fp"))
-    links = close_links(nodes.select("fp")) if similarity is None else similar_links(cut(nodes.select(F.col("node").alias("id"), "fp")), similarity)
-    roots = components(links).withColumnRenamed("node", "linked")
-    classed = nodes.join(roots, nodes["node"] == roots["linked"], "left").select("node", "least_id", F.coalesce("root", "node").alias("class"))
+    text_column = df[f"`{text}`"]
+    found = fingerprints(text_column, words_in_shingle).alias("fp")
+    rows = cut(df.select(df[f"`{id}`"].alias("doc_id"), F.xxhash64(text_column).alias("text_key"), found))
+    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
+    roots = components(close_links(nodes.select("fp"))).withColumnRenamed("node", "linked")
+    classed = nodes.join(roots, nodes["fp"] == roots["linked"], "left").select("fp", "least_id", F.coalesce("root", "fp").alias("class"))
     ids = classed.groupBy("class").agg(F.min("least_id").alias("component_id"))
-    known = classed.select("node", "class").join(ids, "class")
-    return rows.join(known, "node").select("doc_id", "text_key", "fp", "class", "component_id")
+    known = classed.select("fp", "class").join(ids, "class")
+    return rows.join(known, "fp").select("doc_id", "text_key", "fp", "class", "component_id")
 
 
-def one_of_each(
-    df: DataFrame, id: str = "doc_id", text: str = "text", words_in_shingle: int = 3, similarity: float | None = None
-) -> DataFrame:
+def one_of_each(df: DataFrame, id: str = "doc_id", text: str = "text", words_in_shingle: int = 3) -> DataFrame:
     """The table with one row of each component: the smallest id (nulls last), then one of the rows that share it."""
-    members = near_duplicates(df, id, text, words_in_shingle, similarity)
+    members = near_duplicates(df, id, text, words_in_shingle)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
     chosen = members.groupBy("class").agg(F.min(order).alias("row")).select(F.col("row.doc_id").alias("_id"), F.col("row.text_key").alias("_key"))
     key, nth = free_name(df, "_text_key"), free_name(df, "_nth")
