@@ -34,9 +34,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that is linked by a similarity of 0.8 or more on shingles of five words."""
+    """One document of each group that is linked by fingerprints of 3-word shingles at 3 or fewer differing bits."""
     prepare(spark)
-    return simhash.one_of_each(docs, words_in_shingle=5, similarity=0.8)
+    return simhash.one_of_each(docs, words_in_shingle=3)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +48,8 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES = [
     ("quality rules", quality_rules),
     ("language ID", language_id),
-    ("near duplicates", near_duplicates),
-    ("packing", packed_sequences),
+    ("SimHash near-dedup", near_duplicates),
+    ("best-fit packing", packed_sequences),
 ]
 #: No SQL expresses the later stages; tests hold run() against plain code.
 ORACLE_SQL = None
