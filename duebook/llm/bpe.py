@@ -30,12 +30,30 @@ WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028,
 STORE_WORDS = 600_000
 
 
+#: Letters and digits that the tokenizers' tables of Unicode have and this Python's may not, as ranges, and the
+#: lower case of those among them that have one.
+NEW_LETTERS = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CE), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65),
+    (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5),
+    (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D),
+    (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+)
+NEW_DIGITS = ((0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA))
+NEW_LOWER = {
+    0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B,
+    **{c: c + 0x20 for c in range(0x10D50, 0x10D66)}, **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
+}
+
+
 def code_point_classes() -> np.ndarray:
     kinds = np.full(sys.maxunicode + 1, OTHER, np.uint8)
     for c in range(sys.maxunicode + 1):
         first = unicodedata.category(chr(c))[0]
         if first in "LN":
             kinds[c] = LETTER if first == "L" else NUMBER
+    for ranges, kind in ((NEW_LETTERS, LETTER), (NEW_DIGITS, NUMBER)):
+        for first, last in ranges:
+            kinds[first : last + 1] = kind
     kinds[WHITE] = SPACE
     return kinds
 
@@ -252,7 +270,7 @@ class Encoder:
     def _encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.normalise:
             # Letter by letter, as the tokenizer does: no other form of sigma at a word's end.
-            texts = [unicodedata.normalize("NFC", t).replace("Σ", "σ").lower() for t in texts]
+            texts = [unicodedata.normalize("NFC", t).replace("Σ", "σ").lower().translate(NEW_LOWER) for t in texts]
         joined = "".join(texts)
         data, points = np.frombuffer(joined.encode(), np.uint8), np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         return self._encode_points(data, points, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64))

@@ -23,10 +23,15 @@ from duebook.llm.common import text_blocks, without
 UNKNOWN = "und"
 ORDERS = (1, 2, 3, 4)
 SLOTS = 1 << 18
-#: Bounds of the fit: texts learned from and landmarks among them, for each language; languages in all.
+#: Bounds of the fit: texts learned from and landmarks among them, for each language; languages, texts and landmarks in all.
+#: Of more languages the most frequent ones are learned, and many languages share what texts and landmarks there are.
 TEXTS_PER_LANGUAGE = 200
 LANDMARKS_PER_LANGUAGE = 24
-MOST_LANGUAGES = 512
+MOST_LANGUAGES = 128
+MOST_TEXTS = 12_800
+MOST_LANDMARKS = 1_024
+#: A text scores too low for its language if it does not reach this share of what the middle one of those learned from has.
+LEAST_SHARE = 0.42
 RIDGE = 1e-3
 #: Texts scored by one product.
 BATCH = 64
@@ -102,6 +107,7 @@ class LanguageModel:
     landmarks: np.ndarray  # columns by landmarks: presence over the root of the landmark's own number
     weights: np.ndarray  # landmarks by languages
     bias: np.ndarray
+    usual: np.ndarray  # of each language, the middle score of the texts learned from
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
         """Language and score of each text of a block."""
@@ -123,16 +129,17 @@ class LanguageModel:
 
 
 def sample_rows(df: DataFrame, id: Column, lang: Column, text: Column, per_language: int) -> DataFrame:
-    """Up to so many rows of each language, those of the smallest hash of id and language.
+    """Up to so many rows of each of the MOST_LANGUAGES most frequent languages, those of the smallest hash of id and language.
 
-    The hashes are chosen without reading a text; more than MOST_LANGUAGES languages raise.
+    The hashes are chosen without reading a text.
     """
     rows = df.select(lang.alias("lang"), F.xxhash64(id, lang).alias("draw"), text.alias("text")).filter("lang is not null and text is not null")
+    learned = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
+    per_language = max(1, min(per_language, MOST_TEXTS // max(1, len(learned))))
+    rows = rows.filter(F.col("lang").isin(learned))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     chosen = rows.select("lang", "draw").withColumn("place", place).filter(F.col("place") <= per_language)
-    upto = chosen.groupBy("lang").agg(F.max("draw").alias("draw")).limit(MOST_LANGUAGES + 1).collect()
-    if len(upto) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
+    upto = chosen.groupBy("lang").agg(F.max("draw").alias("draw")).collect()
     limit = F.lit(None).cast("long")
     if upto:
         limit = F.create_map(*[F.lit(v) for r in upto for v in (r["lang"], r["draw"])])[F.col("lang")]
@@ -171,7 +178,8 @@ def fit(
     slots = [np.asarray(got["slots"][i].values) for i in order]
     languages = sorted(set(names))
     if not languages:
-        return LanguageModel([], np.full(SLOTS, -1, np.int32), np.zeros((1, 1), np.float32), np.zeros((1, 1), np.float32), np.zeros(1, np.float32))
+        return LanguageModel([], np.full(SLOTS, -1, np.int32), np.zeros((1, 1), np.float32), np.zeros((1, 1), np.float32), *[np.zeros(1, np.float32)] * 2)
+    landmarks_per_language = max(1, min(landmarks_per_language, MOST_LANDMARKS // len(languages)))
     marks, taken = [], dict.fromkeys(languages, 0)
     for i, name in enumerate(names):
         if taken[name] < landmarks_per_language and len(slots[i]):
@@ -193,7 +201,9 @@ def fit(
     bias = target.mean(axis=0)
     left = kernel.T @ kernel + RIDGE * len(order) * between + 1e-9 * len(order) * np.eye(len(marks))
     weights = np.linalg.solve(left, kernel.T @ (target - bias))
-    return LanguageModel(languages, columns, scaled[marks].T.copy(), weights.astype(np.float32), bias.astype(np.float32))
+    own = (kernel @ weights + bias)[target > 0]
+    usual = np.array([np.median(own[[name == x for name in names]]) for x in languages], np.float32)
+    return LanguageModel(languages, columns, scaled[marks].T.copy(), weights.astype(np.float32), bias.astype(np.float32), usual)
 
 
 def predicted(text: Column, model: LanguageModel, df: DataFrame) -> Column:
@@ -217,6 +227,14 @@ def predicted(text: Column, model: LanguageModel, df: DataFrame) -> Column:
     return predict(F.coalesce(text, F.lit("")))
 
 
+def sure(guess: Column, model: LanguageModel, least_share: float = LEAST_SHARE) -> Column:
+    """Whether a prediction is a language whose score is at least so large a share of what that language's texts usually have."""
+    known = F.lit(False)
+    for language, usual in zip(model.languages, model.usual.tolist()):
+        known = F.when(guess["lang"] == language, guess["score"] >= least_share * usual).otherwise(known)
+    return known
+
+
 def with_language(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """The table with `lang_pred` and `score`; columns of these names are replaced."""
     df = without(df, "lang_pred", "score")

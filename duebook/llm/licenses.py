@@ -65,6 +65,24 @@ SAME_AS = {
     "cc-by-nc-4.0": "cc-by-nc",
     "cc0-1.0": "cc0",
 }
+#: Identifiers of the public licence list that are in common use, in lower case.
+IDENTIFIERS = frozenset(
+    "0bsd aal afl-1.1 afl-1.2 afl-2.0 afl-2.1 afl-3.0 agpl-1.0 agpl-3.0 agpl-3.0-only agpl-3.0-or-later apache-1.0 apache-1.1 "
+    "apache-2.0 apsl-1.0 apsl-2.0 artistic-1.0 artistic-2.0 beerware blueoak-1.0.0 bsd-1-clause bsd-2-clause "
+    "bsd-2-clause-patent bsd-3-clause bsd-3-clause-clear bsd-4-clause bsl-1.0 busl-1.1 bzip2-1.0.6 cc-by-1.0 cc-by-2.0 cc-by-2.5 "
+    "cc-by-3.0 cc-by-4.0 cc-by-nc-2.0 cc-by-nc-3.0 cc-by-nc-4.0 cc-by-nc-nd-3.0 cc-by-nc-nd-4.0 cc-by-nc-sa-3.0 cc-by-nc-sa-4.0 "
+    "cc-by-nd-3.0 cc-by-nd-4.0 cc-by-sa-2.0 cc-by-sa-2.5 cc-by-sa-3.0 cc-by-sa-4.0 cc0-1.0 cddl-1.0 cddl-1.1 cecill-2.1 cecill-b "
+    "cecill-c cpl-1.0 curl ecl-2.0 efl-2.0 epl-1.0 epl-2.0 eupl-1.1 eupl-1.2 fsfap ftl gfdl-1.1-only gfdl-1.2-only gfdl-1.3-only "
+    "gfdl-1.3-or-later gpl-1.0 gpl-1.0-only gpl-1.0-or-later gpl-2.0 gpl-2.0-only gpl-2.0-or-later gpl-3.0 gpl-3.0-only "
+    "gpl-3.0-or-later hpnd icu ijg imagemagick intel ipl-1.0 isc jasper-2.0 lgpl-2.0 lgpl-2.0-only lgpl-2.0-or-later lgpl-2.1 "
+    "lgpl-2.1-only lgpl-2.1-or-later lgpl-3.0 lgpl-3.0-only lgpl-3.0-or-later libpng libpng-2.0 libtiff lpl-1.02 lppl-1.3c mit mit-0 "
+    "mit-cmu miros mpl-1.0 mpl-1.1 mpl-2.0 ms-pl ms-rl mulanpsl-2.0 ncsa netcdf nist-pd odbl-1.0 odc-by-1.0 ofl-1.0 ofl-1.1 "
+    "oldap-2.8 openssl osl-2.1 osl-3.0 pddl-1.0 php-3.0 php-3.01 postgresql psf-2.0 python-2.0 qpl-1.0 ruby sgi-b-2.0 sissl "
+    "sleepycat spl-1.0 sspl-1.0 tcl ucl-1.0 unicode-3.0 unicode-dfs-2016 unlicense upl-1.0 vim vsl-1.0 w3c watcom-1.0 wtfpl x11 "
+    "xnet zend-2.0 zlib zpl-2.1".split()
+)
+#: Identifiers that refer to a licence beside the text.
+REFERENCE = re.compile(r"(documentref-[a-z0-9.-]+:)?licenseref-[a-z0-9.-]+")
 #: Labels whose texts may be used without conditions on what is made from them.
 PERMISSIVE = frozenset({"mit", "apache-2", "bsd", "bsd-2", "bsd-3", "cc0", "cc-by", "public-domain", "isc", "zlib", "unlicense"})
 
@@ -131,7 +149,10 @@ def postfix(expression: str) -> list[str]:
 
 
 def evaluate(expression: str) -> Licence:
-    """`or` needs one side, `and` both; `with` adds permissions to its left side and names no licence itself."""
+    """`or` needs one side, `and` both; `with` adds permissions to its left side and names no licence itself.
+
+    Words that are no known identifier name no licence, and nothing that needs them is permissive.
+    """
     stack: list[tuple[set[str], bool]] = []
     for token in postfix(expression):
         if token in BINDS:
@@ -144,8 +165,10 @@ def evaluate(expression: str) -> Licence:
                 many |= few
                 stack.append((many, either))
         else:
-            label = SAME_AS.get(token.rstrip("+"), token.rstrip("+"))
-            stack.append(({label}, label in PERMISSIVE))
+            name = token.rstrip("+")
+            label = SAME_AS.get(name, name)
+            known = name in IDENTIFIERS or label in PERMISSIVE or REFERENCE.fullmatch(name)
+            stack.append(({label} if known else set(), label in PERMISSIVE))
     labels, permissive = stack.pop()
     return Licence(frozenset(labels), permissive)
 
@@ -203,11 +226,11 @@ def automaton() -> ahocorasick.Automaton:
 
 def scan(text: bytes, words: str) -> tuple:
     """FOUND less n_words. words: the text's words between single blanks, a blank at both ends."""
-    base: list[int] = []
+    begins: list[int] = []
     base_labels, labels, expressions, permissive, score, tagged = set(), set(), [], None, 0.0, False
     for end, (length, label, notice, is_tag) in automaton().iter(words):
         if label:
-            base.append(words.count(" ", 0, end - length + 1))
+            begins.append(end - length + 1)
             base_labels.add(label)
             score = 1.0
         if notice:
@@ -217,12 +240,17 @@ def scan(text: bytes, words: str) -> tuple:
     if tagged:
         for match in TAG_PATTERN.finditer(text.lower()):
             expression = tag_expression(match[1].decode(errors="replace"))
-            if expression:
-                licence = evaluate(expression)
+            licence = evaluate(expression) if expression else None
+            if licence and licence.labels:
                 expressions.append(expression)
                 labels |= licence.labels
                 permissive = licence.permissive and permissive is not False
                 score = 1.0
+    base: list[int] = []
+    if begins:
+        # A phrase begins with the blank before its first word, so the blanks before that are the words before it.
+        blanks = np.flatnonzero(np.frombuffer(words.encode("latin-1"), np.uint8) == 32)
+        base = np.searchsorted(blanks, begins).tolist()
     labels |= base_labels
     if permissive is None and labels:
         permissive = labels <= PERMISSIVE

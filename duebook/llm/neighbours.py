@@ -3,7 +3,9 @@
 Vectors are projected to a few dimensions by normal random numbers: the squared projected distance over the squared true
 distance then follows a chi-square law. Each block of vectors is indexed by a kd-tree over the projections. A query takes
 leaves in the order of their projected distance and verifies what they hold, until whatever lies beyond the next leaf
-would be closer than the k-th neighbour found with a probability below 1 - CONFIDENCE.
+would be closer than the k-th neighbour found, by more than the approximation ratio, with a probability below
+1 - CONFIDENCE. The queries of a block take their leaves in rounds, and a leaf's vectors meet all queries of a round that
+take it in one matrix product.
 
 Largest inner product becomes smallest distance by one more coordinate, root(M^2 - |x|^2), with M the block's largest
 norm, and 0 for a query.
@@ -23,10 +25,17 @@ from duebook.llm.common import cut
 
 PROJECTED = 8
 CONFIDENCE = 0.97
+#: A neighbour counts as found if one no more than so many times as far is. README has the recall measured with it.
+RATIO = 1.9
 LEAF = 32
-#: Different vectors in a block, and queries that meet a block in one task.
+#: Different vectors in a block at most, and in one that is made only to use another core; queries that meet a block in one task.
 BLOCK_VECTORS = 16_384
+LEAST_VECTORS = 2_048
 CHUNK_QUERIES = 4_096
+#: Queries of a task that take their leaves together.
+ROUND_QUERIES = 512
+#: Stands for no neighbour yet.
+NOBODY = np.iinfo(np.int64).max
 SEED = 20_240_131
 
 
@@ -79,35 +88,74 @@ class ProjectedTree:
         low, high = (np.array([f(points[x], axis=0) for x in leaves]) for f in (np.min, np.max))
         return ProjectedTree(vectors, np.concatenate(leaves), begin, low, high, normals, reach)
 
-    def nearest(self, query: np.ndarray, k: int, skip: int, bound: float) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and inner products of at least the k best found, and what ties with the last; row `skip` takes no part."""
-        point = query @ self.normals[:-1]
-        away = np.maximum(np.maximum(self.low - point, point - self.high), 0)
-        away = (away * away).sum(axis=1)
-        leaves = np.argsort(away, kind="stable")
-        most = float(query @ query) + self.reach * self.reach
-        rows, scores, at, step = [], [], 0, max(1, 2 * k // LEAF)
-        found, have, worst = 0, None, -np.inf
-        while at < len(leaves):
-            taken = leaves[at : at + step]
-            own = np.concatenate([self.order[self.begin[x] : self.begin[x + 1]] for x in taken])
-            own = own[own != skip]
-            # Summed row by row in one order, so that equal vectors have equal scores.
-            value = (self.vectors[own] * query).sum(axis=1)
-            good = value >= worst
-            rows.append(own[good])
-            scores.append(value[good])
-            found += int(good.sum())
-            at += step
+    def away(self, points: np.ndarray) -> np.ndarray:
+        """Squared projected distance of each point to each leaf's box."""
+        total = np.zeros((len(points), len(self.low)))
+        for low, high, own in zip(self.low.T, self.high.T, points.T[:, :, None]):
+            gap = np.maximum(np.maximum(low - own, own - high), 0)
+            total += gap * gap
+        return total
+
+    def search(self, queries: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, at: np.ndarray, k: int, bound: float) -> "Found":
+        """The k best different ids for each query, its own not among them; row i has the ids[at[i]:at[i + 1]]."""
+        away = self.away(queries @ self.normals[:-1])
+        order = np.argsort(away, axis=1, kind="stable")
+        most = (queries * queries).sum(axis=1) + self.reach * self.reach
+        found = Found.nothing(len(queries), k)
+        active, taken, step = np.arange(len(queries)), 0, max(1, 2 * k // LEAF)
+        while len(active) and taken < order.shape[1]:
+            leaves = order[active, taken : taken + step]
+            taken += leaves.shape[1]
+            flat, who = leaves.ravel(), np.repeat(active, leaves.shape[1])
+            by_leaf = np.argsort(flat, kind="stable")
+            flat, who = flat[by_leaf], who[by_leaf]
+            first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+            for a, b in zip(first, np.append(first[1:], len(flat))):
+                own = self.order[self.begin[flat[a]] : self.begin[flat[a] + 1]]
+                found.verified[who[a:b]] += len(own)
+                found.take(who[a:b], queries[who[a:b]] @ self.vectors[own].T, own, query_ids, ids, at)
+            if taken < order.shape[1]:
+                worst = found.scores[active, -1]
+                ahead = away[active, order[active, taken]]
+                active = active[(worst == -np.inf) | (ahead < bound * np.maximum(most[active] - 2 * worst, 0))]
             step *= 2
-            if found >= k:
-                have = np.concatenate(scores)
-                worst = np.partition(have, len(have) - k)[len(have) - k]
-                if at < len(leaves) and away[leaves[at]] >= bound * max(most - 2 * worst, 0.0):
-                    break
-        have, rows = np.concatenate(scores), np.concatenate(rows)
-        best = have >= worst
-        return rows[best], have[best]
+        return found
+
+
+@dataclass
+class Found:
+    """The best so far of each query, best first: ids, the rows that have them, and scores; rows verified."""
+
+    ids: np.ndarray
+    rows: np.ndarray
+    scores: np.ndarray
+    verified: np.ndarray
+
+    @staticmethod
+    def nothing(n: int, k: int) -> "Found":
+        return Found(np.full((n, k), NOBODY), np.zeros((n, k), np.int64), np.full((n, k), -np.inf), np.zeros(n, np.int64))
+
+    def take(self, who: np.ndarray, products: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, at: np.ndarray) -> None:
+        """Take what is at least as good as a query's last; an id counts once, with its best row, and ties go to the smaller id."""
+        hit = (products >= self.scores[who, -1:]).any(axis=1)
+        who, products = who[hit], products[hit]
+        if not len(who):
+            return
+        sizes = at[rows + 1] - at[rows]
+        column = np.repeat(np.arange(len(rows)), sizes)
+        own = np.concatenate([ids[at[x] : at[x + 1]] for x in rows])
+        n, k = len(who), self.ids.shape[1]
+        new_ids = np.hstack([self.ids[who], np.broadcast_to(own, (n, len(own)))])
+        new_rows = np.hstack([self.rows[who], np.broadcast_to(rows[column], (n, len(own)))])
+        scores = np.hstack([self.scores[who], products[:, column]])
+        scores[new_ids == query_ids[who][:, None]] = -np.inf
+        # By id, the best of an id first; then by score, which keeps the order of ids.
+        best = np.argsort(-scores, axis=1, kind="stable")
+        best = np.take_along_axis(best, np.argsort(np.take_along_axis(new_ids, best, 1), axis=1, kind="stable"), 1)
+        new_ids, new_rows, scores = (np.take_along_axis(x, best, 1) for x in (new_ids, new_rows, scores))
+        scores[:, 1:][new_ids[:, 1:] == new_ids[:, :-1]] = -np.inf
+        best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+        self.ids[who], self.rows[who], self.scores[who] = (np.take_along_axis(x, best, 1) for x in (new_ids, new_rows, scores))
 
 
 def usable(df: DataFrame, id: str, vector: str) -> DataFrame:
@@ -117,27 +165,30 @@ def usable(df: DataFrame, id: str, vector: str) -> DataFrame:
     return rows.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & fine & F.exists("vector", lambda x: x != 0))
 
 
-def nearest(df: DataFrame, is_query, k: int = 20, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def nearest(df: DataFrame, is_query, k: int = 20, id: str = "vec_id", vector: str = "embedding", ratio: float = RATIO) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that is_query(id column) holds for, its k nearest other rows.
 
     Nearness is the largest inner product; ties go to the smaller id. Rows without id, and vectors that are null, empty,
     zero or not finite, take no part; a query meets only vectors of its own length; rows that share a query's id count as
-    the query itself. Equal vectors are searched once and then stand for all their ids, of which no more than the k + 1
-    smallest can be among the nearest. Every query meets every block of vectors: rows of a query set against all rows.
+    the query itself, and each of its vectors asks. An id with several vectors counts once, with the best. Equal vectors are
+    searched once and then stand for all their ids, of which no more than the k + 1 smallest can be among the nearest.
+    Every query meets every block of vectors: rows of a query set against all rows.
     """
     rows = cut(usable(df, id, vector).distinct().withColumn("block_hash", F.xxhash64("vector")))
     place = F.row_number().over(Window.partitionBy("block_hash", "vector").orderBy("vec_id"))
     first = rows.withColumn("place", place).filter(F.col("place") <= k + 1)
     different = cut(first.groupBy("block_hash", "vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
     n_different, n_queries = different.count(), rows.filter(is_query(F.col("vec_id"))).count()
-    n_blocks, n_chunks = max(1, -(-n_different // BLOCK_VECTORS)), max(1, -(-n_queries // CHUNK_QUERIES))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    n_blocks = max(1, -(-n_different // BLOCK_VECTORS), min(cores, n_different // LEAST_VECTORS))
+    n_chunks = max(1, -(-n_queries // CHUNK_QUERIES))
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     block = F.pmod("block_hash", F.lit(n_blocks)).cast("int")
     chunk = F.pmod(F.xxhash64("vec_id"), F.lit(n_chunks)).cast("int")
     length = F.size("vector").alias("length")
     indexed = different.select(block.alias("block"), each(n_chunks).alias("chunk"), length, "ids", "vector")
     asked = rows.filter(is_query(F.col("vec_id"))).select(each(n_blocks).alias("block"), chunk.alias("chunk"), length, "vec_id", "vector")
-    bound = chi_square_bound(PROJECTED, CONFIDENCE)
+    bound = chi_square_bound(PROJECTED, CONFIDENCE) / ratio**2
 
     def matrix(column: pa.ChunkedArray) -> np.ndarray:
         lists = column.combine_chunks()
@@ -148,16 +199,14 @@ def nearest(df: DataFrame, is_query, k: int = 20, id: str = "vec_id", vector: st
         if vectors.num_rows and queries.num_rows:
             tree, lists = ProjectedTree.build(matrix(vectors["vector"])), vectors["ids"].combine_chunks()
             ids, at = lists.flatten().to_numpy(), np.asarray(lists.offsets) - lists.offsets[0].as_py()
-            alone = {int(ids[a]): i for i, (a, b) in enumerate(zip(at, at[1:])) if b - a == 1}
-            for query_id, query in zip(queries["vec_id"].to_pylist(), matrix(queries["vector"])):
-                found, scores = tree.nearest(query, k, alone.get(query_id, -1), bound)
-                sizes = at[found + 1] - at[found]
-                own = np.concatenate([ids[at[x] : at[x + 1]] for x in found]) if len(found) else np.zeros(0, np.int64)
-                values = np.repeat(scores, sizes)
-                other = own != query_id
-                own, values = own[other], values[other]
-                best = np.lexsort((own, -values))[:k]
-                for column, part in zip(out, (np.full(len(best), query_id), own[best], values[best])):
+            asking, query_ids = matrix(queries["vector"]), queries["vec_id"].to_numpy()
+            for a in range(0, len(asking), ROUND_QUERIES):
+                some, own = asking[a : a + ROUND_QUERIES], query_ids[a : a + ROUND_QUERIES]
+                found = tree.search(some, own, ids, at, k, bound)
+                who, place = np.nonzero(found.scores > -np.inf)
+                # Summed in one order, whatever products a leaf was part of.
+                exact = (tree.vectors[found.rows[who, place]] * some[who]).sum(axis=1)
+                for column, part in zip(out, (own[who], found.ids[who, place], exact)):
                     column.append(part)
         columns = [np.concatenate(c) if c else np.zeros(0) for c in out]
         kinds = (np.int64, np.int64, np.float64)

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,6 +143,24 @@ def kept(policy: Policy = STANDARD, rules: tuple[Rule, ...] = RULES) -> Column:
     return F.col("failed").bitwiseAND(F.lit(policy.mask(rules)).cast("long")) == 0
 
 
+def only_rule(policy: Policy = STANDARD, rules: tuple[Rule, ...] = RULES) -> Column:
+    """The name of the one rule of the policy that a row of the ledger fails; null for none or several."""
+    bits = F.col("failed").bitwiseAND(F.lit(policy.mask(rules)).cast("long"))
+    name = F.lit(None).cast("string")
+    for rule in rules:
+        name = F.when(bits == 1 << rule.bit, rule.name).otherwise(name)
+    return name
+
+
+def save_ledger(ledger: DataFrame, path: str) -> None:
+    """Store the ledger without the texts; one that is there already is an error."""
+    ledger.drop("text").write.mode("errorifexists").parquet(path)
+
+
+def load_ledger(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def ablations(ledger: DataFrame, policy: Policy = STANDARD, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """For each rule of the policy: texts that fail it, that fail nothing else, and that the policy keeps without it.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duebook.llm import bpe, dialogue, html, language, licenses, manifest, neighbours, packing, pieces, quality, sharding, simhash, warc
-from duebook.llm.common import prepare
+from duebook.llm.common import prepare, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,15 +43,24 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
-    """The ledger of every document and the standard policy's verdict."""
-    ledger = quality.with_ledger(table(spark, folder, "documents").select("doc_id", "text"))
-    return ledger.select(
+    """The stored ledger of every document, the standard policy's verdict, and what the policy would keep without a rule.
+
+    The texts are read once, for the ledger. Verdict and ablation are arithmetic on its bits.
+    """
+    path = f"{shared_folder(spark)}/quality-ledger-{uuid.uuid4().hex}"
+    quality.save_ledger(quality.with_ledger(table(spark, folder, "documents").select("doc_id", "text")), path)
+    ledger = quality.load_ledger(spark, path)
+    without = quality.ablations(ledger).select(F.col("rule").alias("only_rule"), "n_kept_without")
+    judged = ledger.select(
         "doc_id",
         *[F.col("measured")[m].alias(m) for m in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         (~quality.kept(quality.BASE)).alias("base_failed"),
         (quality.kept(quality.BASE) & quality.kept()).alias("kept"),
         "failed",
+        quality.only_rule().alias("only_rule"),
     )
+    # One row per rule.
+    return judged.join(F.broadcast(without), "only_rule", "left").select(*judged.columns, "n_kept_without")
 
 
 #: Characters of white space and of words in the rules' sense, as SQL.
@@ -93,7 +103,12 @@ with docs as (
 )
 select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
     n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, failed & 3 <> 0 as base_failed,
-    failed = 0 as kept, failed from bits
+    failed = 0 as kept, failed,
+    case failed when 1 then 'few_words' when 2 then 'repeated_words' when 4 then 'many_symbols' when 8 then 'repeated_lines'
+        when 16 then 'short_words' when 32 then 'long_words' when 64 then 'shouting' when 128 then 'few_letters' when 256 then 'stutters'
+        end as only_rule,
+    case when bit_count(failed) = 1 then (count(*) filter (where failed = 0) over ()) + count(*) over (partition by failed) end as n_kept_without
+from bits
 """
 
 
@@ -136,11 +151,16 @@ def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents dealt to 40 shards of near equal bytes, by way of fixed virtual slots."""
+    """All documents dealt to 40 shards of near equal bytes, by way of fixed virtual slots and a stored map of them.
+
+    Version 1 is dealt, stored and read again, then edited where shards are out of balance; rows go by the newest version.
+    """
     documents = table(spark, folder, "documents").select("doc_id", "text")
     sized = sharding.with_size(documents)
-    shards = sharding.new_map(sharding.slot_loads(sized), 40)
-    placed = sharding.placed(sized, shards)
+    maps = f"{shared_folder(spark)}/shard-maps-{uuid.uuid4().hex}"
+    sharding.save_map(spark, sharding.new_map(sharding.slot_loads(sized), 40), maps)
+    sharding.save_map(spark, sharding.rebalanced(sharding.load_map(spark, maps)), maps)
+    placed = sharding.placed(sized, sharding.load_map(spark, maps))
     return placed.select(
         "doc_id",
         "size",

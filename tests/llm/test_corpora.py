@@ -51,7 +51,8 @@ def test_op3(spark):
         assert got[doc].fingerprint == f"{fps[i]:016x}" and got[doc].component_id == least[roots[i]]
 
 
-def test_no_link_is_lost_in_large_buckets(spark, monkeypatch):
+@pytest.mark.parametrize("bucket", [8, 1])
+def test_no_link_is_lost_in_large_buckets(spark, monkeypatch, bucket):
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 12, dtype=np.uint64)
     fps = {int(b) for b in base}
@@ -62,7 +63,8 @@ def test_no_link_is_lost_in_large_buckets(spark, monkeypatch):
                 x ^= np.uint64(1) << np.uint64(bit)
             fps.add(int(x))
     fps = np.array(sorted(fps), np.uint64)
-    monkeypatch.setattr(simhash, "BUCKET", 8)  # so that all three levels are used
+    # So that all three levels are used, the last one for every link there is with 1.
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
     df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
     roots = {r.node: r.root for r in simhash.components(simhash.close_links(df)).collect()}
     mine = [roots.get(int(x), int(x)) for x in fps.view(np.int64)]
@@ -78,51 +80,22 @@ def test_duplicates_of_odd_tables(edges, nothing):
     kept = simhash.one_of_each(edges).collect()
     assert sorted((r.doc_id or -1, r.text) for r in kept if r.text and len(r.text) < 999) == [(-1, EDGES[5][1]), (1, EDGES[0][1]), (7, "!"), (7, "é ß")]
     assert len(kept) == 6 and kept[0].labels == "x"
-    assert simhash.one_of_each(nothing).count() == 0 and simhash.one_of_each(nothing, similarity=0.8).count() == 0
-
-
-def test_similar_texts(spark):
-    rng = np.random.default_rng(3)
-    words = [f"w{x}" for x in range(5000)]
-    rows, far = [], 0
-    for group in range(60):
-        text = list(rng.choice(words, 400))
-        rows.append((group * 10, " ".join(text)))
-        for copy in (1, 2):
-            other = list(text)
-            for at in rng.choice(400, 4, replace=False):  # a similarity of about 0.9
-                other[at] = "changed"
-            rows.append((group * 10 + copy, " ".join(other)))
-    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words_in_shingle=5, similarity=0.8).collect()
-    assert sum(r.component_id == r.doc_id - r.doc_id % 10 for r in got) >= 0.98 * len(rows)
-    assert len({r.component_id for r in got}) >= 60 and all(r.component_id // 10 == r.doc_id // 10 for r in got)
-
-
-def test_large_buckets_of_wide_fingerprints_are_compared_whole(spark, monkeypatch):
-    """Texts that share half of their blocks and differ in the rest, as long boilerplate makes them, each with a near copy."""
-    monkeypatch.setattr(simhash, "BUCKET", 8)
-    monkeypatch.setattr(simhash, "PART", 8, raising=False)
-    draw = np.random.default_rng(3)
-    blocks = draw.permutation(simhash.N_BLOCKS)[: simhash.N_BLOCKS // 2]
-    free = (blocks[:, None] * 8 + np.arange(8)).ravel()
-    base = draw.integers(0, 2, 1024, dtype=np.uint8)
-
-    def changed(bits, n):
-        bits = bits.copy()
-        bits[draw.choice(free, n, replace=False)] ^= 1
-        return bits
-
-    texts = [changed(base, 180) for _ in range(150)]
-    texts += [changed(t, 170) for t in texts] + [changed(texts[0], 20) for _ in range(40)]
-    rows = np.packbits(np.array(texts), axis=1)
-    keys = rows[:, simhash.block_orders()[:, : simhash.KEY_BLOCKS]]
-    met = lambda a, b: (keys[a] == keys[b]).all(axis=1).any()
-    near = [(a, b) for a in range(len(rows)) for b in range(a) if np.bitwise_count(rows[a] ^ rows[b]).sum() <= simhash.widest(0.8) and met(a, b)]
-    want = linked(len(rows), near)
-    assert 100 < len(set(want)) < 200
-    fps = rows.view(">i8").astype(np.int64).tolist()
-    links = simhash.similar_links(spark.createDataFrame(list(enumerate(fps)), "id long, fp array<long>"), 0.8)
-    assert linked(len(rows), [(r.a, r.b) for r in links.collect()]) == want
+    assert simhash.one_of_each(nothing).count() == 0
+
+
+def test_last_level_buckets_hold_512_at_most():
+    last = len(simhash.CHOICES) ** simhash.LEVELS
+    assert max(64 - simhash.key_mask(code, simhash.LEVELS).bit_count() for code in range(0, last, 7)) <= 9
+
+
+def test_saturated_bucket(spark):
+    """All settings of the nine bits that a key of the last level leaves free: more than BUCKET of them share each of its keys."""
+    code = next(c for c in range(len(simhash.CHOICES) ** 3) if 64 - simhash.key_mask(c, 3).bit_count() == 9)
+    free = [b for b in range(64) if not simhash.key_mask(code, 3) >> b & 1]
+    fps = [sum((n >> i & 1) << b for i, b in enumerate(free)) for n in range(512)]
+    df = spark.createDataFrame([(int(np.uint64(x).astype(np.int64)),) for x in fps], "fp long")
+    links = simhash.close_links(df).collect()
+    assert len(set(linked(512, [(fps.index(r.a % 2**64), fps.index(r.b % 2**64)) for r in links]))) == 1
 
 
 # ---- packing ------------------------------------------------------------------------------------------------------
@@ -254,6 +227,53 @@ def test_neighbours_of_odd_vectors(frame):
     assert neighbours.nearest(none, lambda i: i % 20 == 0).count() == 0
 
 
+def test_repeated_ids_leave_room_for_different_ones(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.9, 0.1]), (0, [0.0, 1.0]), (2, [1.0, 0.1]), (2, [0.99, 0.1]), (2, [0.98, 0.1])]
+    rows += [(i, [0.5 + i / 100, 0.5]) for i in (1, 3, 4, 5)]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i == 0, k=4).collect()
+    best = {}
+    for q, a in rows:
+        for i, b in rows:
+            if q == 0 and i != 0:
+                best[i] = max(best.get(i, -9), a[0] * b[0] + a[1] * b[1])
+    want = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:4]
+    assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(i, pytest.approx(s)) for i, s in want]
+
+
+def test_ids_of_many_vectors_and_vectors_of_many_ids(spark):
+    draw = np.random.default_rng(4)
+    base = draw.standard_normal((60, 6))
+    rows = [(int(draw.integers(0, 40)), base[draw.integers(0, 60)].tolist()) for _ in range(500)]
+    got = {}
+    for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i % 20 == 0, k=12, ratio=1e-9).collect():
+        got.setdefault(r.query_id, []).append(r)
+    for q in (0, 20):
+        best = {}
+        for own in (np.array(v) for i, v in rows if i == q):
+            for i, v in rows:
+                if i != q:
+                    best[i] = max(best.get(i, -99.0), float((np.array(v) * own).sum()))
+        want = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:12]
+        assert [(r.vec_id, r.score) for r in sorted(got[q], key=lambda r: r["rank"])] == [(i, pytest.approx(s, abs=1e-12)) for i, s in want]
+
+
+def test_the_search_stops_where_vectors_stand_out():
+    draw = np.random.default_rng(5)
+    centres = draw.standard_normal((300, 64))
+    vectors = (centres[:, None, :] + 0.15 * draw.standard_normal((300, 30, 64))).reshape(-1, 64)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    ids, at = np.arange(len(vectors)), np.arange(len(vectors) + 1)
+    tree = neighbours.ProjectedTree.build(vectors)
+    asking = ids[::30]
+    bound = neighbours.chi_square_bound(neighbours.PROJECTED, neighbours.CONFIDENCE) / neighbours.RATIO**2
+    found = tree.search(vectors[asking], asking, ids, at, 20, bound)
+    assert found.verified.mean() < 0.3 * len(vectors)
+    scores = vectors[asking] @ vectors.T
+    scores[np.arange(len(asking)), asking] = -np.inf
+    want = np.argsort(-scores, axis=1)[:, :20]
+    assert np.mean([len({*a} & {*b}) / 20 for a, b in zip(found.ids, want)]) >= 0.95
+
+
 def test_chi_square_bound():
     rng = np.random.default_rng(0)
     draws = (rng.standard_normal((200_000, 8)) ** 2).sum(axis=1)
@@ -307,6 +327,72 @@ def test_names_are_noise_as_wholes_and_below_articles(page):
     assert html.main_text(html.parse(f"<html><body>{page}</body></html>"), {}) == "Text"
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<main><h1>Real title</h1><p>Long real text.</p><section class=more><article>Teaser</article></section></main>", "Real title\nLong real text."),
+        ("<div id=content><h1>Real title</h1><p>Long real text.</p></div><article>Teaser</article>", "Real title\nLong real text."),
+        ("<main><article><p>The whole story.</p></article><p>More</p></main>", "The whole story."),
+        ("<form id=aspnetForm><article>Real</article></form>", "Real"),
+        ("<form id=aspnetForm><div><p>All of the page's text</p></div><input name=q></form>", "All of the page's text"),
+        ("<p>Text of a page</p><form><label>Name</label><button>Go</button></form>", "Text of a page"),
+        ('<article><p data-class="nav">a</p><p id="sharing">b</p><p class="alert">c</p><section id="related">d</section><h2 id="comments">e</h2></article>', "a\nb\nc\nd\ne"),
+        ("<article>Text<div class='share'>no</div><p class='ad'>no</p><div class='notice'>no</div></article>", "Text"),
+        ("<article itemprop=articleBody>Text</article><div aria-hidden=true>no</div>", "Text"),
+    ],
+)
+def test_articles_are_found_whole(page, want):
+    assert html.main_text(html.parse(f"<html><body>{page}</body></html>"), {}) == want
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    n = 50_000
+    pages = ["<div>" * n + "<article>x</article>" + "</div>" * n, "<div class='a b'>" * n + "<p>x</p>", "<b><td>" + "<div>" * n + "</b>" * n + "<option>" * n + "x"]
+    for page in pages:
+        began = time.perf_counter()
+        parsed = html.parse(page)
+        html.features(parsed)
+        assert html.main_text(parsed, {}) == "x"
+        assert time.perf_counter() - began < 20
+
+
+def extracted(spark, rows):
+    return {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_statistics_decide_where_nothing_is_declared(spark):
+    """Boxes without telling names: one repeats its text, one its layout only, one differs in both."""
+    page = "<html><body><div class=alpha><p>Read our other pages</p></div><div class=beta><p>Story {0} of its own</p></div><div class=gamma><b>Part</b><p>{1}</p></div></body></html>"
+    rows = [(i, f"http://plain.org/{i}", page.format(i, "word " * (i + 1))) for i in range(20)]
+    got = extracted(spark, rows)
+    assert all(got[i] == f"Story {i} of its own\nPart\n" + " ".join(["word"] * (i + 1)) or got[i] == f"Story {i} of its own\n" + " ".join(["word"] * (i + 1)) for i in range(20))
+    assert all("Read our" not in t for t in got.values())
+
+
+def test_statistics_reach_into_articles_but_not_into_copies(spark):
+    page = "<html><body><article><h1>{0}</h1><p>{1}</p><div class=q7><p>Follow this paper on every page</p></div></article></body></html>"
+    rows = [(i, f"http://paper.org/{i}", page.format(f"Head {i}", f"Body {i} " * 20)) for i in range(12)]
+    # A host of near copies of one article: what these share is no template.
+    copy = "<html><body><article><h1>Same head</h1><p>Same first part of all copies.</p><p>{0}</p></article></body></html>"
+    rows += [(100 + i, f"http://copies.org/{i}", copy.format("last" if i % 9 else f"other {i}")) for i in range(40)]
+    bare = "<html><body><p>Same text of all</p><!-- {0} --></body></html>"
+    rows += [(200 + i, f"http://bare.org/{i}", bare.format(i)) for i in range(20)]
+    got = extracted(spark, rows)
+    assert all(got[i] == f"Head {i}\n" + " ".join([f"Body {i}"] * 20) for i in range(12))
+    assert all(got[100 + i].startswith("Same head\nSame first part of all copies.\n") for i in range(40))
+    assert all(got[200 + i] == "Same text of all" for i in range(20))
+
+
+def test_importance_of_presentation_and_content(spark):
+    page = "<html><body><div class=a>{0}</div><div class=b><i>x</i>{1}</div></body></html>"
+    rows = [("h", n, *f) for n in range(12) for f in html.features(html.parse(page.format(f"text {n}", "<i>x</i>" * n)))]
+    got = html.importances(spark.createDataFrame(rows, html.SEEN)).collect()
+    pairs = {(round(r.presentation, 3), None if r.content is None else round(r.content, 3)) for r in got}
+    assert (0.0, 1.0) in pairs and (1.0, 1.0) in pairs and (0.0, None) in pairs
+
+
 @pytest.mark.parametrize("tag", ["article", "p"])
 def test_depth_does_not_wear_off(spark, tag):
     rows = [(i, f"http://deep.org/{i}", f"<html><body>{'<div>' * 20}<{tag}>Text {i}</{tag}>{'</div>' * 20}<p>Same</p></body></html>") for i in range(10)]
@@ -393,17 +479,16 @@ def test_stages_on_odd_tables(spark, edges, nothing):
 
 
 def test_pipeline(spark):
+    documents = spark.read.parquet(f"{SAMPLE}/documents.parquet")
+    docs = {r.doc_id: r.text for r in documents.collect()}
+    verdicts = {r.doc_id: r.kept for r in QUERIES["op9_quality"](spark, SAMPLE).collect()}
+    passed = documents.filter(F.col("doc_id").isin([d for d, ok in verdicts.items() if ok]))
+    ids = sorted(r.doc_id for r in dict(corpus_pipeline.STAGES)["language ID"](spark, passed, SAMPLE).collect())
+    fps = [plain_fingerprint(docs[d], 3) for d in ids]
+    groups = linked(len(ids), [(a, b) for a in range(len(ids)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 3])
+    want = {ids[r] for r in groups}  # the first of each group
     rows = corpus_pipeline.run(spark, SAMPLE).collect()
     check_packed(rows, 2048, 1.05)
-    docs = {r.doc_id: r for r in spark.read.parquet(f"{SAMPLE}/documents.parquet").collect()}
-    verdicts = {r.doc_id: r.kept for r in QUERIES["op9_quality"](spark, SAMPLE).collect()}
-    kept = {r.doc_id for r in rows}
-    assert all(verdicts[d] for d in kept)
-    texts = [docs[d].text for d in kept]
-    assert len(texts) == len(set(texts))
-    # Every text that passed is there itself or by a near copy: what goes shares half of its shingles with what stays.
-    shingles = lambda t: {tuple(t.lower().split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))}
-    staying = [shingles(t) for t in texts]
-    for d in (d for d, ok in verdicts.items() if ok and d not in kept):
-        own = shingles(docs[d].text)
-        assert max(len(own & s) / len(own | s) for s in staying) > 0.5
+    assert {r.doc_id for r in rows} == want
+    theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert sum(r.length for r in rows) == sum(len(theirs.encode(docs[d], add_special_tokens=False).ids) + 1 for d in want)

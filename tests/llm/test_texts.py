@@ -205,3 +205,71 @@ def test_quality_keeps_good_and_drops_bad(spark):
     got = QUERIES["op9_quality"](spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").collect()
     good, bad = [r for r in got if r.quality == 1 and not r.base_failed], [r for r in got if r.quality == 0]
     assert np.mean([r.kept for r in good]) == 1.0 and np.mean([r.kept for r in bad]) < 0.05
+
+
+def test_words_behind_a_tag_are_known_identifiers():
+    found = lambda line: licenses.scan(line.encode(), " spdx license identifier ")[4:8]
+    tag = "SPDX-License-Identifier: "
+    for line in ("see the LICENSE file", "NOASSERTION", "NONE", "Proprietary OR Internal"):
+        assert found(tag + line) == ([], [], None, 0.0)
+    assert found(tag + "MIT AND Proprietary") == (["mit"], ["mit and proprietary"], False, 1.0)
+    assert found(tag + "Proprietary OR MIT") == (["mit"], ["proprietary or mit"], True, 1.0)
+    assert found(tag + "LicenseRef-Acme-1 WITH Classpath-exception-2.0") == (["licenseref-acme-1"], ["licenseref-acme-1 with classpath-exception-2.0"], False, 1.0)
+    assert found(tag + "GPL-2.0-only WITH Classpath-exception-2.0")[0] == ["gpl-2"]
+
+
+def test_texts_full_of_phrases_take_linear_time():
+    import time
+
+    words = " " + "under the mit license cc by nc " * 40_000
+    began = time.perf_counter()
+    n, first, last, *_ = licenses.scan(words.encode(), words)
+    assert (n, first, last) == (80_000, 0, 7 * 39_999 + 4) and time.perf_counter() - began < 5
+
+
+def test_op5_goes_by_its_stored_map(spark, tmp_path, monkeypatch):
+    from duebook.llm import queries, sharding
+
+    monkeypatch.setattr(queries, "shared_folder", lambda spark: str(tmp_path))
+    rows = QUERIES["op5_sharding"](spark, SAMPLE).collect()
+    (maps,) = tmp_path.glob("shard-maps-*")
+    first, second = (sharding.load_map(spark, str(maps), v) for v in (1, 2))
+    assert {r.version for r in rows} == {2} and all(second.shard_of[r.virtual_slot] == r.shard for r in rows)
+    assert max(second.shard_bytes()) - min(second.shard_bytes()) <= max(first.shard_bytes()) - min(first.shard_bytes())
+
+
+def test_every_character_is_cut_as_the_tokenizer_does():
+    theirs = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    theirs.encode_special_tokens = True
+    mine = bpe.encoder(public_tokenizers.path("word_bpe_49k.json"))
+    points = [chr(c) for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}b1{c}2 {c}{c}!{c}" for c in points]
+    for a in range(0, len(texts), 20_000):
+        part = texts[a : a + 20_000]
+        raw = [t.encode() for t in part]
+        bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+        ids, at = mine.encode(np.frombuffer(b"".join(raw), np.uint8), bounds)
+        for text, want, x, y in zip(part, theirs.encode_batch(part, add_special_tokens=False), at, at[1:]):
+            assert ids[x:y].tolist() == want.ids, hex(ord(text[1]))
+
+
+def test_a_score_is_sure_from_a_share_of_the_usual_one_on(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang is not null")
+    model = language.fit(documents.filter(~language.held_out(F.col("doc_id"))))
+    clean = documents.filter(language.held_out(F.col("doc_id"))).filter("size(split(text, ' ')) >= 20")
+    sure = clean.select(language.sure(language.predicted(clean["text"], model, clean), model).alias("sure"))
+    assert sure.filter("not sure").count() == 0 and sure.count() > 100
+    draw = np.random.default_rng(1)
+    odd = ["".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz     "), 600)) for _ in range(20)] + ["Привет мир и все остальное " * 20, "12 34", ""]
+    table = spark.createDataFrame([(t,) for t in odd], "text string")
+    assert table.filter(language.sure(language.predicted(table["text"], model, table), model)).count() == 0
+
+
+def test_more_languages_than_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 3)
+    monkeypatch.setattr(language, "MOST_TEXTS", 12)
+    monkeypatch.setattr(language, "MOST_LANDMARKS", 6)
+    rows = [(i, f"text {chr(97 + i % 7) * 5} number {i}", f"l{min(i % 7, 4)}" if i % 7 else None) for i in range(140)] + [(999, "rare", "l9")]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 3 and "l4" in model.languages and "l9" not in model.languages
+    assert model.landmarks.shape[1] <= 6 and len(model.usual) == 3
