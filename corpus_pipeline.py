@@ -26,11 +26,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones among them teach; those in none go."""
+    """Documents that are surely in a language that the labelled ones among them teach; those in none go.
+
+    A table without languages, or without any label, teaches none, so that there is nothing to go by and all stay.
+    """
     prepare(spark)
+    if "lang" not in docs.columns:
+        return docs
     model = language.fit(docs.filter(~language.held_out(F.col("doc_id"))))
-    guess = language.predicted(docs["text"], model, docs)
-    return docs.filter(guess["lang"] != language.UNKNOWN)
+    if not model.languages:
+        return docs
+    return docs.filter(language.sure(language.predicted(docs["text"], model, docs), model))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
