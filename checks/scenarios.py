@@ -27,8 +27,8 @@ from duebook.params import (
     ORDER_BY_TYPE,
 )
 from duebook.plans.context import RunContext, build_context, company_context
-from duebook.plans.detail import join_profile, with_account_terms, working_set
-from duebook.sources.sample import sample_tables
+from duebook.plans.detail import join_profile, with_invoice_term, with_term_lists, working_set
+from duebook.sources.sample import sample_tables, sample_with_snapshots
 from duebook.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,9 +79,9 @@ def plain(df: DataFrame, digits: dict[str, int] | None = None) -> DataFrame:
 Build = Callable[[Tables, ReportParams, RunContext], DataFrame]
 
 
-def scenario(build: Build, p: ReportParams, reciprocal: bool = False, digits: dict[str, int] | None = None) -> Query:
+def scenario(build: Build, p: ReportParams, reciprocal: bool = False, digits: dict[str, int] | None = None, source=sample_tables) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        tables = sample_tables(spark, folder, reciprocal)
+        tables = source(spark, folder, reciprocal)
         return plain(build(tables, p, build_context(tables, p)), digits)
 
     return run
@@ -103,9 +103,9 @@ def rows(columns: str, stage=base_transactions, parts: frozenset[str] = BASE_PAR
 
 def terms(columns: str) -> Build:
     def build(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
-        profile = account_profile(tables, p, ctx, BASE_PARTS)
-        df = join_profile(base_transactions(tables, p, ctx, jobs=False), profile, p)
-        return with_account_terms(df, tables, p, ctx).select(*columns.split())
+        rows = base_transactions(tables, p, ctx, jobs=False)
+        profile = with_term_lists(account_profile(tables, p, ctx, BASE_PARTS), rows, tables, p)
+        return with_invoice_term(join_profile(rows, profile, p)).select(*columns.split())
 
     return build
 
@@ -147,10 +147,10 @@ def add(key: str, query: Query, sql: str) -> None:
     ORACLE[key] = sql
 
 
-def add_rows(key: str, columns: str, p: ReportParams, build=None, reciprocal: bool = False, where: str = "true") -> None:
+def add_rows(key: str, columns: str, p: ReportParams, build=None, reciprocal: bool = False, where: str = "true", source=sample_tables) -> None:
     """A query whose rows are transactions, against the step-by-step SQL; where: of the SQL's rows only."""
     build = build or rows(columns)
-    add(key, scenario(build, p, reciprocal), select_working(p, columns.split(), reciprocal, where))
+    add(key, scenario(build, p, reciprocal, source=source), select_working(p, columns.split(), reciprocal, where))
 
 
 def sql(select: str, p: ReportParams | None = None) -> str:
@@ -291,6 +291,9 @@ def _projections() -> None:
     add_rows("transaction_type_desc", "TransactionPK TransactionType TransactionTypeDesc", listing())
     add_rows("balance_all_path", LIST_BASIC + " BalanceInLocal", listing(post_date_to=datetime(1996, 3, 31)))
     add_rows("balance_asof", "TransactionPK InvoiceTotal Balance BalanceInLocal", params())
+    asof, listed = "TransactionPK InvoiceTotal Balance BalanceInLocal", LIST_BASIC + " BalanceInLocal"
+    add_rows("balance_asof_snapshots", asof, params(), source=sample_with_snapshots)
+    add_rows("balance_all_path_snapshots", listed, listing(post_date_to=datetime(1996, 3, 31)), source=sample_with_snapshots)
     add_rows("disbursement_flag", "TransactionPK IsDSBInvoice", params())
     add_rows("invoice_term_header", "TransactionPK TransactionType InvoiceTerm", listing())
     add_rows("invoice_term_best_match", "TransactionPK AccountCode InvoiceTerm", params(), terms("TransactionPK AccountCode InvoiceTerm"))

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duebook.functions.columns import MONEY, moment
+from duebook.functions.columns import MONEY, moment, only_row
 from duebook.params import AgeingDates, ReportParams
 
 # The bucket columns in output order.
@@ -56,7 +56,7 @@ def period_ageing_dates(periods: DataFrame, p: ReportParams) -> AgeingDates:
         rows = rows.filter(F.col("AM_PERIOD") == p.period)
     else:
         rows = rows.filter((F.col("current_start") <= moment(p.today)) & (F.col("current_end") >= moment(p.today)))
-    row = rows.drop("AM_GC_COMPANY", "AM_PERIOD").first()
+    row = only_row(rows.drop("AM_GC_COMPANY", "AM_PERIOD"), "accounting period")
     if row is None:
         if p.all_transactions:
             return AgeingDates(p.today)

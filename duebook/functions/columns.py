@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 MONEY = "decimal(19,4)"
@@ -26,6 +26,14 @@ def moment(value: datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def only_row(df: DataFrame, what: str) -> Row | None:
+    """The row of a lookup, or none. Several rows are an error, as they are in a scalar subquery."""
+    rows = df.limit(2).collect()
+    if len(rows) > 1:
+        raise ValueError(f"more than one {what} found where one is looked up")
+    return rows[0] if rows else None
+
+
 def clock(now: datetime | None) -> Column:
     return F.localtimestamp() if now is None else moment(now)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,9 @@ from duebook.operators.headers import NOT_BALANCED_TYPE, of_ledger
 from duebook.params import ReportParams
 from duebook.sources.tables import Tables
 
+#: Heads up to which an account's or member's amounts go by subsets of its heads, which are up to 2 ** FEW_HEADS.
+FEW_HEADS = 6
+
 
 def company_data(tables: Tables, p: ReportParams) -> DataFrame:
     return tables["OrgCompanyData"].filter(F.col("OB_GC") == F.lit(p.company))
@@ -63,85 +68,104 @@ def group_members(tables: Tables, p: ReportParams) -> DataFrame:
 
 
 def outstanding_by_account(tables: Tables, p: ReportParams) -> DataFrame:
-    """What each account owes now, whatever the report date."""
+    """What each account owes now, whatever the report date.
+
+    All that use it want accounts, so transactions without one go here, and one scan serves all.
+    """
     return (
         of_ledger(tables["AccTransactionHeader"], p)
-        .filter(F.col("AH_TransactionType") != NOT_BALANCED_TYPE)
+        .filter((F.col("AH_TransactionType") != NOT_BALANCED_TYPE) & F.col("AH_OH").isNotNull())
         .groupBy(F.col("AH_OH").alias("org"))
         .agg(F.sum("AH_OutstandingAmount").alias("owed"))
     )
 
 
-def group_sets(members: DataFrame) -> DataFrame:
-    """Distinct members of each group, its head among them."""
-    return members.select("head", F.explode(F.array("member", "head")).alias("member")).distinct()
+@dataclass(frozen=True)
+class Groups:
+    """What exposure is worked out from, built once for a report."""
 
+    #: (head, member): distinct settling accounts and the accounts that use their limit.
+    members: DataFrame
+    #: (org, owed): what each account owes now.
+    owed: DataFrame
+
+    @property
+    def sets(self) -> DataFrame:
+        """Distinct members of each group, its head among them."""
+        return self.members.select("head", F.explode(F.array("member", "head")).alias("member")).distinct()
+
+
+def settlement_groups(tables: Tables, p: ReportParams) -> Groups:
+    return Groups(group_members(tables, p), outstanding_by_account(tables, p))
+
+
+def subsets(heads: Column) -> Column:
+    """All subsets of a few heads, in the heads' order, but for the empty one."""
+    nothing = F.array(F.array().cast("array<string>"))
+    every = F.aggregate(heads, nothing, lambda found, head: F.concat(found, F.transform(found, lambda s: F.array_append(s, head))))
+    return F.filter(every, lambda s: F.size(s) > 0)
+
+
+def spelled_heads() -> Column:
+    """The heads of a group of rows, as text in one order."""
+    return F.array_sort(F.collect_set(F.col("head").cast("string")))
+
+
+def members_by_heads(groups: Groups) -> DataFrame:
+    """(member, heads, owed) of the members that owe anything, with all heads they stand under."""
+    weighted = groups.sets.join(groups.owed.filter(F.col("owed").isNotNull()), F.col("member") == F.col("org"))
+    return weighted.groupBy("member").agg(spelled_heads().alias("heads"), F.first("owed").alias("owed"))
 
-def group_totals(sets: DataFrame, owed: DataFrame) -> DataFrame:
-    """Size and exposure of each group. Each member counts once."""
-    return (
-        sets.join(owed, F.col("member") == F.col("org"), "left")
-        .groupBy("head")
-        .agg(F.count(F.lit(1)).alias("size"), F.sum("owed").alias("total"))
-    )
 
+def common_sums(members: DataFrame) -> DataFrame:
+    """(common, total, owing): what is owed by the members that stand under all of some heads, and by how many.
 
-def exposure_in_groups(tables: Tables, p: ReportParams) -> DataFrame:
+    Each member adds its amount to the subsets of its own heads, so rows grow with the members, however many different
+    combinations these are in.
+    """
+    each = members.filter(F.size("heads") <= FEW_HEADS).select("owed", F.explode(subsets(F.col("heads"))).alias("common"))
+    return each.groupBy("common").agg(F.sum("owed").alias("total"), F.count(F.lit(1)).alias("owing"))
+
+
+def looked_up(members: DataFrame, asked: DataFrame) -> DataFrame:
+    """(combination, total, owing) of what common_sums leaves out: combinations of more than FEW_HEADS heads with all their
+    members, and the others with their members under more than FEW_HEADS heads. A member counts once for a combination."""
+    each = members.select("member", "owed", (F.size("heads") > FEW_HEADS).alias("wide"), F.explode("heads").alias("head"))
+    heads = asked.select("combination", F.explode("combination").alias("head"))
+    wide = F.size("combination") > FEW_HEADS
+    met = heads.filter(wide).join(each.drop("wide"), "head").union(heads.filter(~wide).join(each.filter("wide").drop("wide"), "head"))
+    once = met.groupBy("combination", "member").agg(F.first("owed").alias("owed"))
+    return once.groupBy("combination").agg(F.sum("owed").alias("total"), F.count(F.lit(1)).alias("owing"))
+
+
+def exposure_in_groups(tables: Tables, p: ReportParams, groups: Groups | None = None) -> DataFrame:
     """Exposure of each account over all groups it settles through, as (account, exposure).
 
-    Listing every account with every member of its group would square a large group.
-    Instead a group is summed once, and an account takes the total of its group. Where
-    an account has several groups, the largest still comes in as a total, and only the
-    members of the others that are not in the largest are looked up to be added. Accounts
-    with the same groups share that work, however many groups these are.
+    The sum over a union is that over the single groups, less that over what each two have in common, and so on
+    (inclusion and exclusion). No list of an account's fellow members is made: members add to the subsets of their
+    heads, and an account takes the sums of the subsets of its own. Both are linear in the accounts, as these settle
+    through a handful of groups each. Those with more than FEW_HEADS heads are looked up member by member.
     """
-    members = group_members(tables, p)
-    sets = group_sets(members)
-    owed = outstanding_by_account(tables, p)
-    # An account settles through a handful of groups; their keys name the combination.
-    accounts = members.groupBy(F.col("member").alias("account")).agg(
-        F.array_sort(F.collect_set("head")).alias("combination")
-    )
-    totals = group_totals(sets, owed)
-    group = F.struct("size", "head", "total")
-    combined = (
-        accounts.select("combination")
-        .distinct()
-        .select("combination", F.explode("combination").alias("head"))
-        .join(totals, "head")
-        .groupBy("combination")
-        .agg(F.sort_array(F.collect_list(group), asc=False).alias("groups"))
-    )
-    largest = combined.select(
-        "combination", F.col("groups")[0]["total"].alias("largest_total"), F.col("groups")[0]["head"].alias("largest"), "groups"
-    )
-    others = largest.filter(F.size("combination") > 1).select(
-        "combination", "largest", F.explode(F.expr("transform(slice(groups, 2, size(groups)), g -> g.head)")).alias("head")
-    )
-    in_largest = sets.select(F.col("head").alias("largest"), "member")
-    added = (
-        others.join(sets, "head")
-        .select("combination", "largest", "member")
-        .distinct()
-        .join(in_largest, ["largest", "member"], "left_anti")
-        .join(owed, F.col("member") == F.col("org"))
-        .groupBy("combination")
-        .agg(F.sum("owed").alias("added"))
-    )
+    groups = groups or settlement_groups(tables, p)
+    accounts = groups.members.groupBy(F.col("member").alias("account")).agg(spelled_heads().alias("combination"))
+    asked, members = accounts.select("combination").distinct(), members_by_heads(groups)
+    few = asked.filter(F.size("combination") <= FEW_HEADS)
+    sums = few.select("combination", F.explode(subsets(F.col("combination"))).alias("common")).join(common_sums(members), "common")
+    sign = F.when(F.size("common") % 2 == 1, 1).otherwise(-1)
+    parts = sums.select("combination", (F.col("total") * sign).alias("total"), (F.col("owing") * sign).alias("owing"))
+    parts = parts.union(looked_up(members, asked)).groupBy("combination")
     # A sum without any amount is missing, not zero.
-    exposure = F.when(
-        F.col("largest_total").isNotNull() | F.col("added").isNotNull(),
-        F.coalesce(F.col("largest_total"), F.lit(0)) + F.coalesce(F.col("added"), F.lit(0)),
-    )
-    per_combination = largest.join(added, "combination", "left").select("combination", exposure.alias("exposure"))
-    return accounts.join(per_combination, "combination").select("account", "exposure")
+    exposures = parts.agg(F.when(F.sum("owing") > 0, F.sum("total")).alias("exposure"))
+    return accounts.join(exposures, "combination", "left").select("account", "exposure")
 
 
-def exposure_as_head(tables: Tables, p: ReportParams) -> DataFrame:
+def exposure_as_head(tables: Tables, p: ReportParams, groups: Groups | None = None) -> DataFrame:
     """Exposure of each account together with those it settles for, as (account, exposure)."""
-    owed = outstanding_by_account(tables, p)
-    totals = group_totals(group_sets(group_members(tables, p)), owed)
-    both = owed.join(totals, F.col("org") == F.col("head"), "full")
+    groups = groups or settlement_groups(tables, p)
+    totals = (
+        groups.sets.join(groups.owed, F.col("member") == F.col("org"), "left").groupBy("head").agg(F.sum("owed").alias("total"))
+    )
+    both = groups.owed.join(totals, F.col("org") == F.col("head"), "full")
     return both.select(
         F.coalesce("head", "org").alias("account"),
         F.when(F.col("head").isNotNull(), F.col("total")).otherwise(F.col("owed")).alias("exposure"),
@@ -172,13 +196,14 @@ def with_settlement_credit(accounts: DataFrame, tables: Tables, p: ReportParams)
     df = accounts.withColumns({"ARUseSettlementGroupCreditLimit": usage, "UsingOrgAsOwnSettlementGroup": own})
 
     df = df.join(settling_limits(tables, p), F.col("AccountPK") == F.col("PR_OH_Parent"), "left").drop("PR_OH_Parent")
-    in_group = exposure_in_groups(tables, p).withColumnsRenamed({"account": "grouped", "exposure": "group_exposure"})
+    groups = settlement_groups(tables, p)
+    in_group = exposure_in_groups(tables, p, groups).withColumnsRenamed({"account": "grouped", "exposure": "group_exposure"})
     df = df.join(in_group, F.col("AccountPK") == F.col("grouped"), "left").drop("grouped")
     uses_own = F.col("UsingOrgAsOwnSettlementGroup")
     limit = F.when(uses_own == "N", F.col("group_limit"))
     owed = F.when(uses_own == "N", F.col("group_exposure"))
     if p.is_ar:
-        as_head = exposure_as_head(tables, p).withColumnsRenamed({"account": "heading", "exposure": "head_exposure"})
+        as_head = exposure_as_head(tables, p, groups).withColumnsRenamed({"account": "heading", "exposure": "head_exposure"})
         df = df.join(as_head, F.col("AccountPK") == F.col("heading"), "left").drop("heading")
         limit = limit.when(uses_own == "Y", F.col("CreditLimit"))
         owed = owed.when(uses_own == "Y", F.col("head_exposure"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duebook.functions.columns import delete_where, moment, money, zero
 from duebook.params import ReportParams
 from duebook.plans.context import RunContext
+from duebook.sources.snapshots import with_matched
 from duebook.sources.tables import Tables
 
 # Transaction types that settle others.
@@ -35,18 +38,30 @@ def future_match_groups(tables: Tables, p: ReportParams, ctx: RunContext) -> Dat
     )
 
 
+#: Parts that the links of one match group are dealt to.
+GROUP_PARTS = 32
+
+
 def future_matches(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
     """Per transaction, what was matched in those groups.
 
-    The links are cut down to the groups before anything is summed, as those groups are few.
+    The links are cut down to the groups before anything is summed, as those groups are few. A group may hold a large
+    part of all links, so links meet their group part by part, by their transaction, and are summed in part.
     """
-    groups = future_match_groups(tables, p, ctx)
-    return (
-        tables["AccTransactionMatchLink"]
-        .join(groups, F.col("AP_MatchGroupNum") == F.col("future_group"), "left_semi")
-        .groupBy("AP_AH")
-        .agg(money(F.sum("AP_Amount")).alias("future_matched"))
-    )
+    parts = F.explode(F.sequence(F.lit(0), F.lit(GROUP_PARTS - 1))).alias("group_part")
+    groups = future_match_groups(tables, p, ctx).select("future_group", parts)
+    links = tables["AccTransactionMatchLink"].withColumn("link_part", F.pmod(F.xxhash64("AP_AH"), F.lit(GROUP_PARTS)).cast("int"))
+    same = (F.col("AP_MatchGroupNum") == F.col("future_group")) & (F.col("link_part") == F.col("group_part"))
+    return links.join(groups, same, "left_semi").groupBy("AP_AH").agg(money(F.sum("AP_Amount")).alias("future_matched"))
+
+
+def with_matches(headers: DataFrame, tables: Tables, at: datetime, after: bool) -> DataFrame:
+    """Add what was matched up to a moment, or after it: from snapshots and the links since, or from all links."""
+    if tables.snapshots is not None:
+        return with_matched(headers, tables.snapshots.terms_after(at) if after else tables.snapshots.terms_upto(at))
+    when = F.col("AP_MatchDate")
+    links = matched_amount(tables["AccTransactionMatchLink"], when > moment(at) if after else when <= moment(at))
+    return headers.join(links, F.col("AH_PK") == F.col("AP_AH"), "left").drop("AP_AH")
 
 
 def with_balance(headers: DataFrame, tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
@@ -62,10 +77,7 @@ def with_balance(headers: DataFrame, tables: Tables, p: ReportParams, ctx: RunCo
     elif listing and ctx.match_cutoff is None:
         df, balance = headers, F.col("AH_LocalTotal")
     else:
-        when = F.col("AP_MatchDate")
-        condition = when <= moment(ctx.match_cutoff) if listing else when > moment(ctx.dates.report_date)
-        links = matched_amount(tables["AccTransactionMatchLink"], condition)
-        df = headers.join(links, F.col("AH_PK") == F.col("AP_AH"), "left").drop("AP_AH")
+        df = with_matches(headers, tables, ctx.match_cutoff if listing else ctx.dates.report_date, after=not listing)
         matched = F.coalesce(F.col("matched"), zero())
         balance = F.col("AH_LocalTotal") - matched if listing else outstanding + matched
     df = df.withColumns(

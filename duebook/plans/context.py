@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from duebook.functions.ageing import day_ageing_dates, period_ageing_dates
+from duebook.functions.columns import only_row
 from duebook.params import BLANK_DATE, AgeingDates, ReportParams
 from duebook.sources.tables import Tables
 
@@ -42,17 +43,14 @@ def _next_day(value: datetime | None) -> datetime | None:
 
 def company_context(tables: Tables, p: ReportParams):
     """Country and rate direction of the company."""
-    row = tables["GlbCompany"].filter(F.col("GC_PK") == F.lit(p.company)).first()
+    row = only_row(tables["GlbCompany"].filter(F.col("GC_PK") == F.lit(p.company)), "company")
     return (None, False) if row is None else (row["GC_RN_NKCountryCode"], bool(row["GC_IsReciprocal"]))
 
 
 def period_dates(tables: Tables, p: ReportParams) -> DateRange:
     """First and last day of the period asked for."""
-    row = (
-        tables["AccPeriodManagement"]
-        .filter((F.col("AM_PERIOD") == p.period) & (F.col("AM_GC_COMPANY") == F.lit(p.company)))
-        .first()
-    )
+    periods = tables["AccPeriodManagement"]
+    row = only_row(periods.filter((F.col("AM_PERIOD") == p.period) & (F.col("AM_GC_COMPANY") == F.lit(p.company))), "period")
     return DateRange() if row is None else DateRange(row["AM_StartDate"], row["AM_EndDate"])
 
 

@@ -10,9 +10,9 @@ from duebook.operators.accounts import ALL_PARTS, account_profile, has_account_f
 from duebook.operators.credit import over_limit_codes, settling_accounts
 from duebook.operators.currency import with_period_end_rate, with_revaluation
 from duebook.operators.dimensions import with_match_status_text, with_operator_initials
-from duebook.operators.headers import overdue, reported_headers
+from duebook.operators.headers import overdue
 from duebook.operators.terms import resolve_terms
-from duebook.operators.transactions import disbursement_kept, ledger_amounts, ledger_transactions
+from duebook.operators.transactions import disbursement_kept, ledger_transactions
 from duebook.params import (
     ORDER_BY_INVOICE_DATE,
     ORDER_BY_NUMBER,
@@ -24,6 +24,11 @@ from duebook.params import (
 from duebook.plans.context import RunContext
 from duebook.sources.tables import Tables
 
+#: Parts that the transactions of one account are dealt to, and the columns of a transaction's account and part and
+#: of an account's terms.
+ACCOUNT_PARTS = 32
+KEY, PART, TERMS = "account_key", "account_part", "account_terms"
+
 # The columns of the detail report, in order, with their types.
 DETAIL_COLUMNS = {
     "key": "TransactionPK AccountPK",
@@ -73,22 +78,42 @@ def detail_columns(df: DataFrame) -> list[Column]:
     return columns
 
 
-def marked_over_limit(profile: DataFrame, slim: DataFrame, transactions: DataFrame) -> DataFrame:
-    """Mark accounts over their limit. Transactions are summed per account before they meet the profile."""
-    owed = transactions.groupBy(F.col("AccountPK").alias("owing")).agg(F.sum("Balance").alias("Balance"))
-    balances = slim.select("AccountPK", "AccountCode", "CreditLimit").join(owed, F.col("AccountPK") == F.col("owing"))
+def account_key(account: Column) -> Column:
+    """An account's key as text that is never null: a test for null would be carried down to the transactions."""
+    return F.coalesce(F.concat(F.lit("="), account.cast("string")), F.lit(""))
+
+
+def marked_over_limit(profile: DataFrame, slim: DataFrame, sums: DataFrame) -> DataFrame:
+    """Mark accounts over their limit, from sums of dealt transactions."""
+    owed = sums.groupBy(F.col(KEY).alias("owing")).agg(F.sum("Balance").alias("Balance"))
+    balances = slim.select("AccountPK", "AccountCode", "CreditLimit").join(owed, account_key(F.col("AccountPK")) == F.col("owing"))
     codes = over_limit_codes(balances)
     marked = profile.join(codes, F.col("AccountCode") == F.col("over_code"), "left")
     return marked.withColumn("IsOverLimit", F.when(F.col("over_code").isNotNull(), "*")).drop("over_code")
 
 
+def needs_account(p: ReportParams) -> bool:
+    """The listing needs an account; ageing does only if a filter looks at it."""
+    return p.all_transactions or has_account_filter(p)
+
+
 def join_profile(df: DataFrame, profile: DataFrame, p: ReportParams) -> DataFrame:
-    """Join accounts. The listing needs an account; ageing does only if a filter looks at it.
+    """Join accounts. What the report says of transactions without an account is filled in here.
 
-    What the report says of transactions without an account is filled in here.
+    Transactions that have been dealt meet the profile part by part: it is small beside them and repeated for each part.
     """
-    how = "inner" if p.all_transactions or has_account_filter(p) else "left"
-    joined = df.join(profile.withColumnRenamed("AccountPK", "profile_pk"), F.col("AccountPK") == F.col("profile_pk"), how)
+    how = "inner" if needs_account(p) else "left"
+    renamed = profile.withColumnRenamed("AccountPK", "profile_pk")
+    if PART in df.columns:
+        parts = F.explode(F.sequence(F.lit(0), F.lit(ACCOUNT_PARTS - 1)))
+        renamed = renamed.select("*", account_key(F.col("profile_pk")).alias("profile_key"), parts.alias("profile_part"))
+        on = (F.col(KEY) == F.col("profile_key")) & (F.col(PART) == F.col("profile_part"))
+    elif TERMS in profile.columns:
+        # Terms of transactions without an account stand under the key null.
+        on = F.col("AccountPK").eqNullSafe(F.col("profile_pk"))
+    else:
+        on = F.col("AccountPK") == F.col("profile_pk")
+    joined = df.join(renamed, on, how).drop("profile_key", "profile_part")
     if how == "left":
         if "SettlementGroupOverCreditLimit" in profile.columns:
             over = F.coalesce("SettlementGroupOverCreditLimit", F.lit("N"))
@@ -114,25 +139,60 @@ def fan_out_lines(df: DataFrame, profile: DataFrame, p: ReportParams) -> DataFra
 TERM_KEYS = ("AccountPK", "SettlementPK", "AH_GE", "AH_GB")
 
 
-def account_terms(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
-    """Terms of open receivables by account, settling account, department and branch.
-
-    The combinations come from the headers alone, so that finding them needs no match links.
-    """
-    found = reported_headers(tables, p, ctx).select(F.col("AH_OH").alias("AccountPK"), "AH_GE", "AH_GB").distinct()
+def account_terms(found: DataFrame, tables: Tables, p: ReportParams) -> DataFrame:
+    """Terms by account, settling account, department and branch, for the (AccountPK, AH_GE, AH_GB) found."""
+    found = found.select("AccountPK", "AH_GE", "AH_GB").distinct()
     found = found.join(settling_accounts(tables, p), F.col("AccountPK") == F.col("PR_OH_Parent"), "left")
     return resolve_terms(found.select(*TERM_KEYS), tables, p)
 
 
-def with_account_terms(df: DataFrame, tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
-    """Add invoice terms to rows with the columns they go by."""
-    terms = account_terms(tables, p, ctx).select(*[F.col(c).alias(f"term_{c}") for c in TERM_KEYS], "InvoiceTerm")
-    on = F.col("AccountTerm") == ""
-    for c in TERM_KEYS:
-        on = on & F.col(c).eqNullSafe(F.col(f"term_{c}"))
-    joined = df.join(terms, on, "left")
-    kept = [c for c in df.columns if c != "InvoiceTerm"]
-    return joined.select(*kept, F.coalesce("InvoiceTerm", "AccountTerm").alias("InvoiceTerm"))
+def with_term_lists(profile: DataFrame, found: DataFrame, tables: Tables, p: ReportParams) -> DataFrame:
+    """The profile with the terms of each account's departments and branches, so that transactions get theirs with it.
+
+    An account has as many as the company has pairs of department and branch, at most. Where transactions without an
+    account are reported, those have their terms under their key, or null.
+    """
+    terms = account_terms(found, tables, p)
+    lists = terms.groupBy("AccountPK", "SettlementPK").agg(F.collect_list(F.struct("AH_GE", "AH_GB", "InvoiceTerm")).alias(TERMS))
+    lists = lists.select(F.col("AccountPK").alias("term_account"), F.col("SettlementPK").alias("term_settlement"), TERMS)
+    same = F.col("AccountPK").eqNullSafe(F.col("term_account")) & F.col("SettlementPK").eqNullSafe(F.col("term_settlement"))
+    joined = profile.join(lists, same, "left" if needs_account(p) else "full")
+    account = F.coalesce("AccountPK", "term_account").alias("AccountPK")
+    return joined.select(account, *[c for c in profile.columns if c != "AccountPK"], TERMS)
+
+
+def with_invoice_term(df: DataFrame) -> DataFrame:
+    """The term of the row's department and branch, where the account's own term leaves it open."""
+    fits = F.filter(TERMS, lambda t: t["AH_GE"].eqNullSafe(F.col("AH_GE")) & t["AH_GB"].eqNullSafe(F.col("AH_GB")))
+    term = F.when(F.col("AccountTerm") == "", F.coalesce(F.get(fits, F.lit(0))["InvoiceTerm"], "AccountTerm")).otherwise(F.col("AccountTerm"))
+    return df.drop("InvoiceTerm").withColumn("InvoiceTerm", term).drop(TERMS)
+
+
+def dealt(rows: DataFrame, p: ReportParams) -> DataFrame:
+    """What the report reads of the transactions, shuffled by account and a part of it: a hot account is many tasks."""
+    wanted = {name for names in DETAIL_COLUMNS.values() for name in names.split()}
+    wanted |= {"AH_GE", "AH_GB"} if has_terms(p) else set()
+    part = F.coalesce(F.pmod(F.xxhash64("TransactionPK"), F.lit(ACCOUNT_PARTS)).cast("int"), F.lit(0))
+    rows = with_operator_initials(rows, p)
+    rows = rows.select(*[c for c in rows.columns if c in wanted], account_key(F.col("AccountPK")).alias(KEY), part.alias(PART))
+    if needs_account(p):
+        rows = rows.filter(F.col("AccountPK").isNotNull())
+    return rows.repartition(KEY, PART)
+
+
+def part_sums(rows: DataFrame) -> DataFrame:
+    """Sums of the balances of dealt transactions where these lie, before parts are put together.
+
+    Their checksum makes the sums take every column that the report takes, so that both read one and the same shuffle.
+    """
+    keys = [c for c in (KEY, PART, "AccountPK", "AH_GE", "AH_GB") if c in rows.columns]
+    sums = rows.groupBy(*keys).agg(F.sum("Balance").alias("Balance"), F.max(F.xxhash64(*rows.columns)).alias("checksum"))
+    return sums.filter(F.col("checksum").isNotNull()).drop("checksum", PART)
+
+
+def has_terms(p: ReportParams) -> bool:
+    """Whether terms depend on the account: receivables ageing. The listing words the header's own."""
+    return p.is_ar and not p.all_transactions
 
 
 def working_set(
@@ -140,15 +200,16 @@ def working_set(
 ) -> DataFrame:
     """All reported transactions with all their columns, not yet ordered."""
     profile = account_profile(tables, p, ctx, parts)
+    rows = dealt(fan_out_lines(ledger_transactions(tables, p, ctx), profile, p), p)
+    sums = part_sums(rows)
     if p.over_limit_only is False:
-        slim = account_profile(tables, p, ctx, frozenset())
-        profile = marked_over_limit(profile, slim, ledger_amounts(tables, p, ctx, jobs=False))
-    df = ledger_transactions(tables, p, ctx).filter(disbursement_kept(p))
-    df = join_profile(fan_out_lines(df, profile, p), profile, p)
-    if p.is_ar and not p.all_transactions:
-        df = with_account_terms(df, tables, p, ctx)
+        profile = marked_over_limit(profile, account_profile(tables, p, ctx, frozenset()), sums)
+    if has_terms(p):
+        profile = with_term_lists(profile, sums, tables, p)
+    df = join_profile(rows.filter(disbursement_kept(p)), profile, p)
+    if has_terms(p):
+        df = with_invoice_term(df)
     df = with_match_status_text(df, tables, p)
-    df = with_operator_initials(df, p)
     df = df.withColumns({"AccountCode2": F.col("AccountCode"), "CurrencyCode2": F.col("CurrencyCode")})
     return df.select(*detail_columns(df))
 
@@ -178,16 +239,19 @@ def is_revalued(p: ReportParams) -> bool:
     )
 
 
+def in_question(df: DataFrame, p: ReportParams) -> DataFrame:
+    """Only overdue rows, if asked. The plain transaction order lists all, due or not."""
+    return df if p.order_by == ORDER_BY_TRANSACTION else overdue(df, p)
+
+
 def ordered(df: DataFrame, p: ReportParams) -> DataFrame:
-    """Rows in report order, and only overdue ones if asked. The plain transaction order lists all, due or not."""
-    if p.order_by != ORDER_BY_TRANSACTION:
-        df = overdue(df, p)
-    return df.orderBy(*detail_order(p))
+    return in_question(df, p).orderBy(*detail_order(p))
 
 
-def detail_report(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
+def detail_rows(tables: Tables, p: ReportParams, ctx: RunContext) -> DataFrame:
+    """The rows of the detail report, in no order."""
     df = working_set(tables, p, ctx)
     if is_revalued(p):
         df = with_period_end_rate(df, tables, p, ctx, always=True).drop("repeated_rate")
         df = with_revaluation(df, p, ctx)
-    return ordered(df, p)
+    return in_question(df, p)

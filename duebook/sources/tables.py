@@ -8,10 +8,15 @@ column-oriented source reads no others.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from copy import copy
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:
+    from duebook.sources.snapshots import MatchSnapshots
+
 # The columns of each table, by kind. Keys keep the type they come with.
 SCHEMAS: dict[str, dict[str, str]] = {
     "GlbCompany": {"key": "GC_PK", "text": "GC_RN_NKCountryCode", "boolean": "GC_IsReciprocal"},
@@ -103,6 +108,8 @@ class Tables:
         self._resolve = resolve
         self._trim = trim_padding
         self._seen: dict[str, DataFrame] = {}
+        #: Period-end snapshots of the match links, where there are any.
+        self.snapshots: MatchSnapshots | None = None
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, folder: str, **options) -> Tables:
@@ -118,6 +125,12 @@ class Tables:
     def from_frames(cls, frames: Mapping[str, DataFrame], **options) -> Tables:
         return cls(frames.__getitem__, **options)
 
+    def with_snapshots(self, snapshots: MatchSnapshots) -> Tables:
+        """The same tables; balances as of a date are then worked out from the snapshots."""
+        tables = copy(self)
+        tables.snapshots = snapshots
+        return tables
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._seen:
             self._seen[name] = self._settle(name, self._resolve(name))
