@@ -2,7 +2,7 @@
 
 Pages of a host are merged into one tree of element paths. A path has two importances, each an entropy from 0 (the same on
 every page) to 1 (different on every page): of presentation, the layouts its elements have below them, and of content, the
-texts they hold. They are counted by grouping (host, path, value), so no host's pages ever meet in one task. Each page gets
+texts they hold. They are counted by grouping path and value, so no host's pages ever meet in one task. Each page gets
 back what its paths are worth; its branches are weighed from the leaves up and low ones removed, inside a declared article
 as outside. A branch is worth as much as the most important element in it, however deep that lies.
 
@@ -249,9 +249,9 @@ def parse(html: str) -> Page:
     return Page(nodes, texts, owner)
 
 
-def paths(page: Page) -> list[int]:
-    """A 64-bit name of each node's path: tags and words of class and id from the root down, without places."""
-    named = [0] * len(page.nodes)
+def paths(page: Page, site: int = 0) -> list[int]:
+    """A 64-bit name of each node's path on its site: tags and words of class and id from the root down, without places."""
+    named = [site] * len(page.nodes)
     for i, node in enumerate(page.nodes):
         if i:
             named[i] = xxhash.xxh64_intdigest(f"{named[node.parent]}/{node.tag}.{'.'.join(sorted(node.words))}") - (1 << 63)
@@ -343,27 +343,28 @@ def article_of(page: Page, noise: list[bool]) -> tuple[list[bool], list[bool]] |
     return chosen, articles
 
 
-def declared(page: Page) -> list[float | None]:
-    """What declarations fix: 0 for noise, teasers and all outside a declared article; None where statistics decide."""
+def declared(page: Page) -> tuple[list[float | None], list[bool] | None]:
+    """What declarations fix: 0 for noise, teasers and all outside a declared article, None where statistics decide; and which
+    elements lie in the article, if one is declared."""
     noise = noise_of(page)
     found = article_of(page, noise)
     if found is None:
-        return [0.0 if x else None for x in inherited(page, noise)]
+        return [0.0 if x else None for x in inherited(page, noise)], None
     chosen, teasers = found
     inside, around = inherited(page, chosen), below(page, chosen)
     gone = inherited(page, [x or t for x, t in zip(noise, teasers)])
-    return [0.0 if gone[i] or not (inside[i] or around[i]) else None for i in range(len(page.nodes))]
+    return [0.0 if gone[i] or not (inside[i] or around[i]) else None for i in range(len(page.nodes))], inside
 
 
-def main_text(page: Page, importance: dict[int, float]) -> str:
+def main_text(page: Page, importance: dict[int, float], site: int = 0) -> str:
     """The page's blocks without branches of low importance; importance: of paths that statistics speak of.
 
     In a declared article statistics only remove boxes, and not more than LARGEST_SHARE of the text; where nothing is
     declared they must leave some. Beyond that, what pages have in common are copies of a text and no template.
     """
-    named, fixed, nodes = paths(page), declared(page), page.nodes
-    found = article_of(page, noise_of(page))
-    inside = inherited(page, found[0]) if found else [True] * len(nodes)
+    nodes, (fixed, article) = page.nodes, declared(page)
+    found, inside = article is not None, article or [True] * len(nodes)
+    named = paths(page, site) if importance else [0] * len(nodes)
     worth = [importance.get(named[i], 1.0) if fixed[i] is None else 0.0 for i in range(len(nodes))]
     for i in range(len(nodes) - 1, 0, -1):
         worth[nodes[i].parent] = max(worth[nodes[i].parent], worth[i])
@@ -381,12 +382,12 @@ def main_text(page: Page, importance: dict[int, float]) -> str:
 LAYOUT, CONTENT = False, True
 
 
-def features(page: Page) -> list[tuple[int, bool, int, bool]]:
+def features(page: Page, site: int = 0) -> list[tuple[int, bool, int, bool]]:
     """(path, is content, value, is the path's first of its kind) of the nodes that no declaration fixes, each value once.
 
     Values are the layout below an element, and the text it holds, if any.
     """
-    named, fixed = paths(page), declared(page)
+    named, fixed = paths(page, site), declared(page)[0]
     texts: dict[int, list[str]] = {}
     for text, node in zip(page.texts, page.owner):
         texts.setdefault(node, []).append(text)
@@ -415,36 +416,37 @@ def extract(df: DataFrame, id: str = "page_id", url: str = "url", html: str = "h
     """
     source = F.coalesce(df[f"`{html}`"], F.lit(""))
     pages = df.select(df[f"`{id}`"].alias("page_id"), df[f"`{url}`"].alias("url"), source.alias("html"))
-    pages = pages.withColumn("html_key", F.xxhash64("html")).withColumn("site", host_of(F.col("url")))
+    pages = pages.withColumn("site", F.xxhash64(host_of(F.col("url")))).withColumn("html_key", F.xxhash64("site", "html"))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for site, key, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                rows += [(site, key, *feature) for feature in features(parse(source.as_py()))]
-            columns = list(zip(*rows)) or [()] * 6
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.bool_())
+                rows += [(key, *feature) for feature in features(parse(source.as_py()), site)]
+            columns = list(zip(*rows)) or [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=SEEN.names)
 
-    # Both uses of `different` read one shuffle: neither filters or drops what the other needs, and nothing is null.
+    # Both uses of `different` read one shuffle: neither filters or drops what the other needs, nothing is null, and a count
+    # that is used keeps the second grouping from taking the place of the first.
     different = pages.select("site", "html_key", "html").mapInArrow(collect, SEEN).distinct()
-    low = low_paths(different).select("site", "path")
-    known = different.groupBy("site", "html_key", "path").agg(F.count("*").alias("n")).join(low, ["site", "path"])
-    weights = known.groupBy("site", "html_key").agg(F.collect_list("path").alias("low"))
-    joined = pages.join(weights, ["site", "html_key"], "left").select("page_id", "url", "html", "low")
+    known = different.groupBy("html_key", "path").agg(F.count("*").alias("n")).filter("n > 0").join(low_paths(different).select("path"), "path")
+    weights = known.groupBy("html_key").agg(F.collect_list("path").alias("low"))
+    joined = pages.join(weights, "html_key", "left").select("page_id", "url", "site", "html", "low")
     out = T.StructType([pages.schema["page_id"], pages.schema["url"], T.StructField("text", T.StringType(), False)])
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(parse(source.as_py()), dict.fromkeys(low.as_py() or (), 0.0)) for source, low in zip(batch.column(2), batch.column(3))]
+            rows = zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4))
+            texts = [main_text(parse(source.as_py()), dict.fromkeys(low.as_py() or (), 0.0), site) for site, source, low in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=out.names)
 
     return joined.mapInArrow(prune, out).withColumn("n_chars", F.length("text").cast("long"))
 
 
+#: What a page shows of the paths of its site; paths are named with their site, so no other column tells sites apart.
 SEEN = T.StructType(
     [
-        T.StructField("site", T.StringType(), False),
         T.StructField("html_key", T.LongType(), False),
         T.StructField("path", T.LongType(), False),
         T.StructField("content", T.BooleanType(), False),
@@ -455,18 +457,18 @@ SEEN = T.StructType(
 
 
 def importances(different: DataFrame) -> DataFrame:
-    """(site, path, presentation, content) of paths that LEAST_PAGES different pages have.
+    """(path, presentation, content) of paths that LEAST_PAGES different pages have.
 
     content is null where no page has text there, and 1 where fewer than LEAST_PAGES have.
     """
-    values = different.groupBy("site", "path", "content", "value").agg(F.count("*").alias("n"), F.count_if("first").alias("pages"))
+    values = different.groupBy("path", "content", "value").agg(F.count("*").alias("n"), F.count_if("first").alias("pages"))
     # Entropy to the base of the number of values: 1 - sum(n ln n) / (N ln N).
     total = F.sum("n")
     entropy = 1 - F.try_divide(F.sum(F.col("n") * F.ln("n")), total * F.ln(total))
-    kinds = values.groupBy("site", "path", "content").agg(F.sum("pages").alias("pages"), entropy.alias("worth"))
+    kinds = values.groupBy("path", "content").agg(F.sum("pages").alias("pages"), entropy.alias("worth"))
     seen = F.max(F.when(~F.col("content"), F.col("pages")))
     enough = F.when(F.col("pages") < LEAST_PAGES, 1.0).otherwise(F.coalesce("worth", F.lit(1.0)))
-    both = kinds.groupBy("site", "path").agg(
+    both = kinds.groupBy("path").agg(
         seen.alias("pages"),
         F.max(F.when(~F.col("content"), enough)).alias("presentation"),
         F.max(F.when(F.col("content"), enough)).alias("content"),

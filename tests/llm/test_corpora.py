@@ -387,7 +387,7 @@ def test_statistics_reach_into_articles_but_not_into_copies(spark):
 
 def test_importance_of_presentation_and_content(spark):
     page = "<html><body><div class=a>{0}</div><div class=b><i>x</i>{1}</div></body></html>"
-    rows = [("h", n, *f) for n in range(12) for f in html.features(html.parse(page.format(f"text {n}", "<i>x</i>" * n)))]
+    rows = [(n, *f) for n in range(12) for f in html.features(html.parse(page.format(f"text {n}", "<i>x</i>" * n)))]
     got = html.importances(spark.createDataFrame(rows, html.SEEN)).collect()
     pairs = {(round(r.presentation, 3), None if r.content is None else round(r.content, 3)) for r in got}
     assert (0.0, 1.0) in pairs and (1.0, 1.0) in pairs and (0.0, None) in pairs
