@@ -110,10 +110,15 @@ class ProjectedTree:
             by_leaf = np.argsort(flat, kind="stable")
             flat, who = flat[by_leaf], who[by_leaf]
             first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+            good: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for a, b in zip(first, np.append(first[1:], len(flat))):
                 own = self.order[self.begin[flat[a]] : self.begin[flat[a] + 1]]
-                found.verified[who[a:b]] += len(own)
-                found.take(who[a:b], queries[who[a:b]] @ self.vectors[own].T, own, query_ids, ids, at)
+                asking = who[a:b]
+                found.verified[asking] += len(own)
+                products = queries[asking] @ self.vectors[own].T
+                query, row = np.nonzero(products >= found.scores[asking, -1:])
+                good.append((asking[query], own[row], products[query, row]))
+            found.take(*map(np.concatenate, zip(*good)), query_ids, ids, at)
             if taken < order.shape[1]:
                 worst = found.scores[active, -1]
                 ahead = away[active, order[active, taken]]
@@ -135,27 +140,34 @@ class Found:
     def nothing(n: int, k: int) -> "Found":
         return Found(np.full((n, k), NOBODY), np.zeros((n, k), np.int64), np.full((n, k), -np.inf), np.zeros(n, np.int64))
 
-    def take(self, who: np.ndarray, products: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, at: np.ndarray) -> None:
-        """Take what is at least as good as a query's last; an id counts once, with its best row, and ties go to the smaller id."""
-        hit = (products >= self.scores[who, -1:]).any(axis=1)
-        who, products = who[hit], products[hit]
-        if not len(who):
-            return
+    def take(self, who: np.ndarray, rows: np.ndarray, scores: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, at: np.ndarray) -> None:
+        """Take what a round has found for its queries; an id counts once, with its best row, and ties go to the smaller id."""
         sizes = at[rows + 1] - at[rows]
-        column = np.repeat(np.arange(len(rows)), sizes)
-        own = np.concatenate([ids[at[x] : at[x + 1]] for x in rows])
-        n, k = len(who), self.ids.shape[1]
-        new_ids = np.hstack([self.ids[who], np.broadcast_to(own, (n, len(own)))])
-        new_rows = np.hstack([self.rows[who], np.broadcast_to(rows[column], (n, len(own)))])
-        scores = np.hstack([self.scores[who], products[:, column]])
-        scores[new_ids == query_ids[who][:, None]] = -np.inf
-        # By id, the best of an id first; then by score, which keeps the order of ids.
-        best = np.argsort(-scores, axis=1, kind="stable")
-        best = np.take_along_axis(best, np.argsort(np.take_along_axis(new_ids, best, 1), axis=1, kind="stable"), 1)
-        new_ids, new_rows, scores = (np.take_along_axis(x, best, 1) for x in (new_ids, new_rows, scores))
-        scores[:, 1:][new_ids[:, 1:] == new_ids[:, :-1]] = -np.inf
-        best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-        self.ids[who], self.rows[who], self.scores[who] = (np.take_along_axis(x, best, 1) for x in (new_ids, new_rows, scores))
+        new = np.repeat(at[rows] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        own_ids, who, rows, scores = ids[new], np.repeat(who, sizes), np.repeat(rows, sizes), np.repeat(scores, sizes)
+        touched = np.unique(who)
+        k = self.ids.shape[1]
+        held = np.repeat(touched, k)
+        who = np.concatenate([held, who])
+        own_ids = np.concatenate([self.ids[touched].ravel(), own_ids])
+        rows = np.concatenate([self.rows[touched].ravel(), rows])
+        scores = np.concatenate([self.scores[touched].ravel(), scores])
+        use = (scores > -np.inf) & (own_ids != query_ids[who])
+        who, own_ids, rows, scores = who[use], own_ids[use], rows[use], scores[use]
+        # The best of an id first, then one of each id by score.
+        order = np.lexsort((-scores, own_ids, who))
+        who, own_ids, rows, scores = who[order], own_ids[order], rows[order], scores[order]
+        once = np.append(True, (who[1:] != who[:-1]) | (own_ids[1:] != own_ids[:-1]))[: len(who)]
+        who, own_ids, rows, scores = who[once], own_ids[once], rows[once], scores[once]
+        order = np.lexsort((own_ids, -scores, who))
+        who, own_ids, rows, scores = who[order], own_ids[order], rows[order], scores[order]
+        begin = np.searchsorted(who, who)
+        place = np.arange(len(who)) - begin
+        best = place < k
+        self.ids[touched], self.scores[touched] = NOBODY, -np.inf
+        self.ids[who[best], place[best]] = own_ids[best]
+        self.rows[who[best], place[best]] = rows[best]
+        self.scores[who[best], place[best]] = scores[best]
 
 
 def usable(df: DataFrame, id: str, vector: str) -> DataFrame:
