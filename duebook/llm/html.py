@@ -150,11 +150,18 @@ class Open:
         self.depths: dict[str, list[int]] = {}
         self.blocks: list[int] = []
         self.fences: list[int] = []
+        self.noisy: list[int] = []  # inline elements that are or may be noise, whose text must not run into what follows
         self.roles = {"article": 0, "main": 0}
         self.held: list[str] = [""]
 
-    def push(self, node: int, tag: str, role: str) -> None:
+    def owner(self) -> int:
+        """The node that text belongs to: the innermost block, or an inline element that is noise within it."""
+        return self.nodes[max(self.blocks[-1] if self.blocks else 0, self.noisy[-1] if self.noisy else 0)]
+
+    def push(self, node: int, tag: str, role: str, noisy: bool) -> None:
         depth = len(self.nodes)
+        if noisy:
+            self.noisy.append(depth)
         self.nodes.append(node)
         self.tags.append(tag)
         self.held.append(role)
@@ -175,6 +182,8 @@ class Open:
                 self.blocks.pop()
             if tag in FENCES:
                 self.fences.pop()
+            if self.noisy and self.noisy[-1] == len(self.nodes):
+                self.noisy.pop()
             if role in self.roles:
                 self.roles[role] -= 1
 
@@ -197,7 +206,7 @@ def parse(html: str) -> Page:
             parts.clear()
             if text:
                 texts.append(text)
-                owner.append(stack.nodes[-1])
+                owner.append(stack.owner())
 
     while True:
         match = _TOKEN.search(html, at)
@@ -212,9 +221,9 @@ def parse(html: str) -> Page:
             continue
         tag = tag.lower()
         if match[1]:
-            if tag in BLOCKS:
-                flush()
             depth = stack.deepest((tag,))
+            if tag in BLOCKS or stack.noisy and 0 < depth <= stack.noisy[-1]:
+                flush()
             if depth and (tag in BLOCKS or not stack.fences or stack.fences[-1] <= depth):
                 stack.close(depth)
             continue
@@ -239,12 +248,13 @@ def parse(html: str) -> Page:
             at = end.end() if end else len(html)
             continue
         words, role, named = _role(tag, match[3], stack.roles["article"] > 0, stack.roles["main"] > 0)
-        if (role == "noise" or named) and not block:
+        noisy = (role == "noise" or named) and not block
+        if noisy:
             flush()
         parent = stack.nodes[-1]
         nodes[parent].layout.append(tag)
         nodes.append(Node(tag, parent, words, role, named))
-        stack.push(len(nodes) - 1, tag, role)
+        stack.push(len(nodes) - 1, tag, role, noisy)
     flush()
     return Page(nodes, texts, owner)
 
@@ -365,10 +375,11 @@ def main_text(page: Page, importance: dict[int, float], site: int = 0) -> str:
     nodes, (fixed, article) = page.nodes, declared(page)
     found, inside = article is not None, article or [True] * len(nodes)
     named = paths(page, site) if importance else [0] * len(nodes)
-    worth = [importance.get(named[i], 1.0) if fixed[i] is None else 0.0 for i in range(len(nodes))]
+    # Inline elements hold no text of their own and are worth what blocks there are in them.
+    worth = [importance.get(named[i], 1.0) if fixed[i] is None and nodes[i].tag in BLOCKS else 0.0 for i in range(len(nodes))]
     for i in range(len(nodes) - 1, 0, -1):
         worth[nodes[i].parent] = max(worth[nodes[i].parent], worth[i])
-    low = [i > 0 and fixed[i] is None and worth[i] < THRESHOLD for i in range(len(nodes))]
+    low = [n.tag in BLOCKS and fixed[i] is None and worth[i] < THRESHOLD for i, n in enumerate(nodes)]
     if found:
         low = [x and inside[nodes[i].parent] and nodes[i].tag not in PROSE for i, x in enumerate(low)]
     low = inherited(page, low)
@@ -383,9 +394,9 @@ LAYOUT, CONTENT = False, True
 
 
 def features(page: Page, site: int = 0) -> list[tuple[int, bool, int, bool]]:
-    """(path, is content, value, is the path's first of its kind) of the nodes that no declaration fixes, each value once.
+    """(path, is content, value, is the path's first of its kind) of the blocks that no declaration fixes, each value once.
 
-    Values are the layout below an element, and the text it holds, if any.
+    A block that holds text shows that, others the layout below them.
     """
     named, fixed = paths(page, site), declared(page)[0]
     texts: dict[int, list[str]] = {}
@@ -394,11 +405,10 @@ def features(page: Page, site: int = 0) -> list[tuple[int, bool, int, bool]]:
     found: dict[tuple[int, bool, int], bool] = {}
     met: set[tuple[int, bool]] = set()
     for i, node in enumerate(page.nodes):
-        if i and fixed[i] is None:
-            held = [(LAYOUT, ">".join(node.layout))] + ([(CONTENT, "\n".join(texts[i]))] if i in texts else [])
-            for kind, value in held:
-                found.setdefault((named[i], kind, xxhash.xxh64_intdigest(value) - (1 << 63)), (named[i], kind) not in met)
-                met.add((named[i], kind))
+        if fixed[i] is None and node.tag in BLOCKS:
+            kind, value = (CONTENT, "\n".join(texts[i])) if i in texts else (LAYOUT, ">".join(node.layout))
+            found.setdefault((named[i], kind, xxhash.xxh64_intdigest(value) - (1 << 63)), (named[i], kind) not in met)
+            met.add((named[i], kind))
     return [(*value, first) for value, first in found.items()]
 
 
@@ -457,25 +467,22 @@ SEEN = T.StructType(
 
 
 def importances(different: DataFrame) -> DataFrame:
-    """(path, presentation, content) of paths that LEAST_PAGES different pages have.
+    """(path, presentation, content): of blocks without text and of those with, where LEAST_PAGES different pages have them.
 
-    content is null where no page has text there, and 1 where fewer than LEAST_PAGES have.
+    Either is null where no page has such a block, and 1 where fewer pages have.
     """
     values = different.groupBy("path", "content", "value").agg(F.count("*").alias("n"), F.count_if("first").alias("pages"))
     # Entropy to the base of the number of values: 1 - sum(n ln n) / (N ln N).
     total = F.sum("n")
     entropy = 1 - F.try_divide(F.sum(F.col("n") * F.ln("n")), total * F.ln(total))
     kinds = values.groupBy("path", "content").agg(F.sum("pages").alias("pages"), entropy.alias("worth"))
-    seen = F.max(F.when(~F.col("content"), F.col("pages")))
-    enough = F.when(F.col("pages") < LEAST_PAGES, 1.0).otherwise(F.coalesce("worth", F.lit(1.0)))
-    both = kinds.groupBy("path").agg(
-        seen.alias("pages"),
-        F.max(F.when(~F.col("content"), enough)).alias("presentation"),
-        F.max(F.when(F.col("content"), enough)).alias("content"),
+    worth = F.when(F.col("pages") < LEAST_PAGES, 1.0).otherwise(F.coalesce("worth", F.lit(1.0)))
+    return kinds.groupBy("path").agg(
+        F.max(F.when(~F.col("content"), worth)).alias("presentation"), F.max(F.when(F.col("content"), worth)).alias("content")
     )
-    return both.filter(F.col("pages") >= LEAST_PAGES).drop("pages")
 
 
 def low_paths(different: DataFrame) -> DataFrame:
-    """Paths below THRESHOLD: those with text by it or by their layout, whichever differs more; others by their layout."""
-    return importances(different).filter(F.greatest("presentation", F.coalesce("content", F.lit(0.0))) < THRESHOLD)
+    """Paths below THRESHOLD in presentation and in content, as far as they have them."""
+    nothing = F.lit(0.0)
+    return importances(different).filter(F.greatest(F.coalesce("presentation", nothing), F.coalesce("content", nothing)) < THRESHOLD)

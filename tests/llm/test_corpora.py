@@ -386,11 +386,26 @@ def test_statistics_reach_into_articles_but_not_into_copies(spark):
 
 
 def test_importance_of_presentation_and_content(spark):
-    page = "<html><body><div class=a>{0}</div><div class=b><i>x</i>{1}</div></body></html>"
-    rows = [(n, *f) for n in range(12) for f in html.features(html.parse(page.format(f"text {n}", "<i>x</i>" * n)))]
+    page = "<html><body><div class=alpha>{0}</div><div class=beta>same</div><ul>{1}</ul></body></html>"
+    rows = [(n, *f) for n in range(12) for f in html.features(html.parse(page.format(f"text {n}", "<li>x</li>" * n)))]
     got = html.importances(spark.createDataFrame(rows, html.SEEN)).collect()
-    pairs = {(round(r.presentation, 3), None if r.content is None else round(r.content, 3)) for r in got}
-    assert (0.0, 1.0) in pairs and (1.0, 1.0) in pairs and (0.0, None) in pairs
+    # html and body, alpha, beta, ul by its number of items, li.
+    rounded = lambda x: None if x is None else round(x, 3)
+    pairs = sorted(str((rounded(r.presentation), rounded(r.content))) for r in got)
+    assert pairs == sorted(map(str, [(0.0, None), (0.0, None), (None, 1.0), (None, 0.0), (1.0, None), (None, 0.0)]))
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<article><p>Text <button>Share</button> goes on</p></article>", "Text\ngoes on"),
+        ("<article><p>Text <span class=ad>buy <b>now</b></span>goes on</p></article>", "Text\ngoes on"),
+        ("<article><p><b>Bold<p>Next</article>", "Bold\nNext"),
+        ("<p>One <a href=x>two</a> <i>three</i></p>", "One two three"),
+    ],
+)
+def test_inline_elements(page, want):
+    assert html.main_text(html.parse(f"<html><body>{page}</body></html>"), {}) == want
 
 
 @pytest.mark.parametrize("tag", ["article", "p"])
