@@ -197,6 +197,16 @@ def test_a_match_group_of_a_third_of_all_links(ledger, make):
     assert re.search(r"Join \[.*AP_MatchGroupNum.*pmod\(xxhash64\(AP_AH|Join \[.*AP_MatchGroupNum.*link_part", df._jdf.queryExecution().toString())
 
 
+def test_parts_of_match_groups_are_not_broadcast(ledger, make):
+    p = make(future_matches_apart=True)
+    headers = [{"AH_PK": f"r{i}", "AH_TransactionType": "REC", "AH_PostDate": F_day("2024-05-01")} for i in range(20)]
+    links = [{"AP_AH": f"r{i}", "AP_MatchGroupNum": f"g{i}", "AP_Amount": i} for i in range(20)]
+    tables = ledger(AccTransactionHeader=headers, AccTransactionMatchLink=links)
+    plan = executed(matching.future_matches(tables, p, build_context(tables, p)))
+    joins = [x for x in plan if "Join" in x.nodeName() and "group_part" in x.simpleString(1000)]
+    assert [x.nodeName() for x in joins] == ["SortMergeJoin"]
+
+
 def F_day(text):
     from conftest import day
 
