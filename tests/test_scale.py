@@ -180,6 +180,19 @@ def test_store_table_keeps_missing_keys(spark, tmp_path):
     assert sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
 
 
+def test_sample_receivables_read_and_store_no_payables(spark):
+    tables, views = sample_tables(spark, FOLDER), sample_views(spark, FOLDER)
+    for ledger_, stored_ in (("AR", False), ("AP", True)):
+        own = F.col("AH_Ledger") == ledger_
+        plan = executed(tables["AccTransactionHeader"].filter(own).select("AH_PK", "AH_LocalTotal"))
+        scans = " ".join(p.toString() for p in plan if "Scan" in p.nodeName())
+        assert ("l_suppkey" in scans, "_payables" in scans) == (False, stored_)
+        assert not any("Exchange" in k for k in kinds(plan) if "Broadcast" not in k)
+    for name in ("AccTransactionHeader", "AccTransactionMatchLink"):
+        assert tables[name].dtypes == views[name].dtypes and tables[name].count() == views[name].count()
+        assert tables[name].exceptAll(views[name]).isEmpty()
+
+
 # ---- match groups, ordered parts, lookups -------------------------------------------------------------------------
 
 
