@@ -140,6 +140,16 @@ def test_a_hot_account_is_many_tasks(ledger, make, spark):
     assert found["=o1"] > ACCOUNT_PARTS / 2 and found[""] > ACCOUNT_PARTS / 2
 
 
+def test_profiles_are_repeated_for_parts_in_use_only(ledger, make, spark):
+    n = 200
+    headers = [{"AH_PK": f"t{i}", "AH_OH": f"o{i}"} for i in range(n)]
+    tables = ledger(AccTransactionHeader=headers, OrgHeader=orgs(*[f"o{i}" for i in range(n)]))
+    for p in (make(), make(all_transactions=True, transaction_types="INV")):
+        out = run_report(tables, p)
+        assert sorted(r["AccountCode"] for r in out.collect()) == sorted(r["OH_Code"] for r in tables["OrgHeader"].collect())
+        assert most_rows(executed(out)) < 10 * n
+
+
 # ---- storage ------------------------------------------------------------------------------------------------------
 
 
