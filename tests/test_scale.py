@@ -287,6 +287,15 @@ def test_snapshots_give_what_the_links_give(spark, ledger, tmp_path):
                 assert matched_at(headers, terms) == {k: v for k, v in sums.items() if v}, (at, bool(more))
 
 
+def test_snapshots_are_summed_where_their_links_lie(spark, ledger, tmp_path, monkeypatch):
+    plans, write = [], MatchSnapshots._store
+    monkeypatch.setattr(MatchSnapshots, "_store", lambda self, df, *a: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(self, df, *a)))
+    links = [{"AP_AH": f"t{i % 7}", "AP_Amount": i, "AP_MatchDate": F_day(f"2024-0{i % 5 + 1}-01")} for i in range(40)]
+    made = MatchSnapshots.build(ledger(AccTransactionMatchLink=links), Layout(str(tmp_path), "testlie", 3), [F_day("2024-02-28"), F_day("2024-12-31")])
+    assert [p.count("Exchange") for p in plans] == [1, 0]
+    assert sum(r["amount"] for r in made._snapshot(F_day("2024-12-31")).collect()) == sum(range(40))
+
+
 def test_snapshots_read_only_the_months_since_and_shuffle_nothing(spark, stored_tables, tmp_path):
     layout, tables = stored_tables
     made = MatchSnapshots.build(tables, Layout(str(tmp_path), "testmonths", layout.buckets), [F_day("1997-12-31"), F_day("1996-12-31")])
